@@ -32,8 +32,11 @@ def with_lags(
     ``df`` has the columns key, order and value and no others. Rows of one key
     that tie on ``order`` are taken in the order of their value's hash, which
     makes the result repeatable and lets a tie of any size be cut into slots.
+    Whether there is any hot key is looked up first, reading the key column only.
     """
     hot = hot_keys(df, key, hot_rows)
+    if hot.isEmpty():
+        return _window_lags(df, key, order, value, offsets)
     usual = _window_lags(df.join(hot, key, "left_anti"), key, order, value, offsets)
     split = _bucket_lags(df.join(hot, key, "left_semi"), key, order, value, offsets)
     return usual.unionByName(split)

@@ -49,7 +49,8 @@ def _violations(points: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 def document_violations(inspected: DataFrame) -> DataFrame:
     """Documents without id, without data, with data that is no list or with no points."""
-    empty = F.when(F.size("points") == 0, F.array(F.lit("no_values"))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    empty = F.when((F.size("points") == 0) & (F.size("problems") == 0), F.array(F.lit("no_values"))).otherwise(none)
     return inspected.select("document", F.explode(F.concat("problems", empty)).alias("rule"))
 
 
@@ -76,13 +77,6 @@ def duplicate_points(points: DataFrame) -> DataFrame:
     return counts.where(F.col("n_points") > 1)
 
 
-def point_observations(points: DataFrame) -> DataFrame:
-    """The points that can be dated to a month, as (document, date, value)."""
-    date = c.period_date(c.integer(F.col("year")), F.col("period"))
-    dated = points.select("document", date.alias("date"), c.number(F.col("value")).alias("value"))
-    return dated.where("date IS NOT NULL")
-
-
 def month_gaps(observations: DataFrame, key: str = "series_id") -> DataFrame:
     """Pairs of neighbouring months of a series that lie more than one month apart."""
     # Distinct months first: a series then has at most twelve rows per year.
@@ -114,33 +108,88 @@ def outliers(observations: DataFrame, key: str = "series_id", deviations: float
     return observations.join(stats, key).where(far)
 
 
-def findings(inspected: DataFrame) -> DataFrame:
-    """Number of violations per document and rule, over all rules."""
-    points = document_points(inspected)
-    dated = point_observations(points)
+def _differences(sorted_values: Column) -> Column:
+    """Steps between neighbours of an array."""
+    steps = F.greatest(F.size(sorted_values) - 1, F.lit(0))
+    return F.zip_with(F.slice(sorted_values, 2, steps), F.slice(sorted_values, 1, steps), lambda b, a: b - a)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _n_outliers(values: Column) -> Column:
+    def total(of) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + of(x))
+
+    n = F.nullif(F.size(values), F.lit(0))
+
+    def spread(mean: Column) -> Column:
+        return F.struct(mean.alias("mean"), F.sqrt(total(lambda x: (x - mean) * (x - mean)) / n).alias("std"))
 
-    def count(df: DataFrame, rule: Column) -> DataFrame:
-        return df.groupBy("document", rule.alias("rule")).agg(F.count("*").alias("n_violations"))
+    def far(s: Column) -> Column:
+        return F.size(F.filter(values, lambda x: F.abs(x - s["mean"]) > 3 * s["std"]))
 
-    return (
-        count(document_violations(inspected), F.col("rule"))
-        .unionByName(count(structure_violations(points), F.col("rule")))
-        .unionByName(count(type_violations(points), F.col("rule")))
-        .unionByName(count(duplicate_points(points), F.lit("duplicate_point")))
-        .unionByName(count(month_gaps(dated, "document"), F.lit("gap")))
-        .unionByName(count(outliers(dated, "document"), F.lit("outlier")))
+    return F.coalesce(_let(_let(total(lambda x: x) / n, spread), far), F.lit(0))
+
+
+def judge_documents(inspected: DataFrame) -> DataFrame:
+    """One row per document: its number of violations per rule, and whether it is valid.
+
+    A document is one row with all its points, so every rule, also those over
+    the whole series, is judged in place: one pass and no shuffle.
+    """
+    points = F.coalesce("points", F.array().cast(_POINTS))
+    dated = F.filter(
+        F.transform(
+            points,
+            lambda p: F.struct(
+                c.period_date(c.integer(p["year"]), p["period"]).alias("date"), c.number(p["value"]).alias("value")
+            ),
+        ),
+        lambda o: o["date"].isNotNull(),
+    )
+    prepared = inspected.select("file", "document", "problems", points.alias("points"), dated.alias("dated"))
+
+    def having(rule) -> Column:
+        return F.size(F.filter("points", rule))
+
+    def lacking(field: str) -> Column:
+        return having(lambda p: p[field].isNull())
+
+    keys = F.transform("points", lambda p: F.concat_ws("|", p["year"], p["period"]))
+    months = F.sort_array(F.array_distinct(F.transform("dated", lambda o: c.month_index(o["date"]))))
+    values = F.filter(F.transform("dated", lambda o: o["value"]), lambda v: v.isNotNull())
+    counts = {
+        **{rule: lacking(field) for field, rule in REQUIRED.items()},
+        "bad_year": having(lambda p: p["year"].isNotNull() & c.integer(p["year"]).isNull()),
+        "bad_value": having(lambda p: p["value"].isNotNull() & c.number(p["value"]).isNull()),
+        "bad_period": having(lambda p: ~p["period"].rlike(c.MONTH_PERIOD)),
+        "duplicate_point": F.size(keys) - F.size(F.array_distinct(keys)),
+        "gap": F.size(F.filter(_differences(months), lambda step: step > 1)),
+        "outlier": _n_outliers(values),
+        "no_values": ((F.size("points") == 0) & (F.size("problems") == 0)).cast("int"),
+    }
+    of_points = F.create_map(*[part for rule, n in counts.items() for part in (F.lit(rule), n)])
+    of_document = F.map_from_entries(F.transform("problems", lambda rule: F.struct(rule, F.lit(1))))
+    violations = F.map_filter(F.map_concat(of_points, of_document), lambda rule, n: n > 0)
+    return prepared.select("file", "document", violations.alias("violations")).withColumn(
+        "is_valid", F.size("violations") == 0
     )
 
 
-def report_summary(inspected: DataFrame, found: DataFrame) -> DataFrame:
+def findings(judged: DataFrame) -> DataFrame:
+    """The judgements in long form: document, broken rule and number of violations."""
+    return judged.select("document", F.explode("violations").alias("rule", "n_violations"))
+
+
+def report_summary(judged: DataFrame) -> DataFrame:
     """Total, valid and invalid documents and the rate of valid ones as text."""
-    per_document = found.groupBy("document").agg(F.sum("n_violations").alias("n"))
-    documents = inspected.select("document").distinct()
-    judged = documents.join(per_document, "document", "left").select(F.col("n").isNull().alias("ok"))
     totals = judged.agg(
         F.count("*").alias("total_files"),
-        F.count_if("ok").alias("valid_files"),
-        F.count_if(~F.col("ok")).alias("invalid_files"),
+        F.count_if("is_valid").alias("valid_files"),
+        F.count_if(~F.col("is_valid")).alias("invalid_files"),
     )
     rate = F.coalesce(c.percent(F.col("valid_files"), F.col("total_files")), F.lit(0.0))
     return totals.withColumn("success_rate", F.format_string("%.2f%%", rate))

@@ -166,7 +166,7 @@ found AS (
   SELECT document, rule, CAST(count(*) AS bigint) AS n_violations
   FROM (SELECT document, rule FROM broken_type
         UNION ALL SELECT document, rule FROM broken_structure
-        UNION ALL SELECT document, 'duplicate_point' FROM repeated
+        UNION ALL SELECT document, 'duplicate_point' FROM repeated, range(1, n_points)
         UNION ALL SELECT document, 'gap' FROM gap
         UNION ALL SELECT document, 'outlier' FROM outlier)
   GROUP BY document, rule)"""

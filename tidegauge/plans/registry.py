@@ -33,6 +33,13 @@ def _dirty_dim(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return s.obs_dirty(spark, sf), s.dim(spark, sf)
 
 
+def _stored(spark: SparkSession, view: DataFrame, name: str) -> DataFrame:
+    """A view as the table it is in use, for reports that read it more than once."""
+    path = scratch(spark, name)
+    tables.write_by_year(view, path)
+    return spark.read.parquet(path)
+
+
 # --- stages -----------------------------------------------------------------
 
 
@@ -101,7 +108,7 @@ def values_recent(spark, sf):
 
 def latest_changes_top(spark, sf):
     fact, dim = _fact_dim(spark, sf)
-    return reports.latest_changes_top(views.row_changes(fact), dim)
+    return reports.latest_changes_top(_stored(spark, views.row_changes(fact), "changes"), dim)
 
 
 def last_12_months(spark, sf):
@@ -114,7 +121,7 @@ def last_12_months_by_series(spark, sf):
 
 def cross_indicator_pairs(spark, sf):
     fact, dim = _fact_dim(spark, sf)
-    return reports.cross_indicator_pairs(views.row_changes(fact), dim)
+    return reports.cross_indicator_pairs(_stored(spark, views.row_changes(fact), "changes"), dim)
 
 
 # --- gold checks ------------------------------------------------------------
@@ -347,12 +354,12 @@ def dq_dup_points(spark, sf):
 
 
 def dq_report(spark, sf):
-    return quality_raw.findings(_inspected(spark, sf))
+    found = quality_raw.findings(quality_raw.judge_documents(_inspected(spark, sf)))
+    return found.withColumn("n_violations", F.col("n_violations").cast("bigint"))
 
 
 def dq_summary(spark, sf):
-    inspected = _inspected(spark, sf)
-    return quality_raw.report_summary(inspected, quality_raw.findings(inspected))
+    return quality_raw.report_summary(quality_raw.judge_documents(_inspected(spark, sf)))
 
 
 # --- catalogs and extraction ------------------------------------------------
@@ -443,7 +450,7 @@ ARRIVALS = [("1998-01-01", "2000-01-01"), ("1995-01-01", "1998-01-01"), ("2000-0
 def _arrivals(spark, sf):
     """Observations as files by year range, the first range delivered late."""
     path = scratch(spark, "arrivals")
-    rows = s.obs(spark, sf).withColumn("part", _arrival_number())
+    rows = _stored(spark, s.obs(spark, sf), "observations").drop("year").withColumn("part", _arrival_number())
     for number in range(len(ARRIVALS) + 1):
         rows.where(F.col("part") == number).drop("part").write.mode("append").parquet(path)
     return streaming.observation_stream(spark, path, files_per_batch=1)
@@ -472,7 +479,8 @@ def stream_yearly(spark, sf):
 
 def stream_changes(spark, sf):
     path, checkpoint = scratch(spark, "changes"), scratch(spark, "progress")
-    streaming.maintain_changes(_arrivals(spark, sf), path, checkpoint, available_now=True).awaitTermination()
+    query = streaming.maintain_changes(_arrivals(spark, sf), path, checkpoint, buckets=8, available_now=True)
+    query.awaitTermination()
     return streaming.read_changes(spark, path, s.dim(spark, sf))
 
 

@@ -38,25 +38,26 @@ def stage_pressure(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFr
     the pairs are weighted as a join would weight them, without forming them.
     """
     latest = fact.agg(F.max("date").alias("d")).scalar()
-    month_ago, year_ago = F.add_months(latest, -1), F.add_months(latest, -12)
-    rows = monthly_rows(fact).where(F.col("date").isin(latest, month_ago, year_ago))
-    value = F.col("value")
+    date, value = F.col("date"), F.col("value")
+    when = F.when(date == latest, "now").when(date == F.add_months(latest, -1), "month")
+    when = when.when(date == F.add_months(latest, -12), "year")
+    rows = monthly_rows(fact).select("series_id", "value", when.alias("when")).where(F.col("when").isNotNull())
     base = F.nullif(value, F.lit(0.0))
 
-    def at(date: Column, expression: Column) -> Column:
-        return F.when(F.col("date") == date, expression)
+    def at(name: str, expression: Column) -> Column:
+        return F.when(F.col("when") == name, expression)
 
     per_series = rows.groupBy("series_id").agg(
-        F.count(at(latest, F.lit(1))).alias("now_rows"),
-        F.count(at(latest, value)).alias("now_n"),
-        F.sum(at(latest, value)).alias("now_sum"),
+        F.count(at("now", F.lit(1))).alias("now_rows"),
+        F.count(at("now", value)).alias("now_n"),
+        F.sum(at("now", value)).alias("now_sum"),
         *[
             column
-            for name, date in (("month", month_ago), ("year", year_ago))
+            for name in ("month", "year")
             for column in (
-                F.count(at(date, F.lit(1))).alias(f"{name}_rows"),
-                F.count(at(date, base)).alias(f"{name}_n"),
-                F.sum(at(date, 1 / base)).alias(f"{name}_inverse"),
+                F.count(at(name, F.lit(1))).alias(f"{name}_rows"),
+                F.count(at(name, base)).alias(f"{name}_n"),
+                F.sum(at(name, 1 / base)).alias(f"{name}_inverse"),
             )
         ],
     )

@@ -10,12 +10,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegauge.functions import columns as c
 
 LAST_FULL_YEAR = 2000
-FIRST_FULL_YEAR_DATE = "2001-01-01"
 STAGE_NAMES = ["Stage 1", "Stage 2", "Stage 3", "Stage 4"]
 
 
+# The columns used, so that opening a table needs no look at its files.
+COLUMNS = {
+    "lineitem": "l_partkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +29,7 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
         c.month_start(F.col("l_shipdate").cast("date")).alias("month"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5).alias("cents"),
     )
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     return lines.join(parts, "l_partkey").groupBy("brand", "month").agg(
@@ -35,41 +41,40 @@ def _mean(cents: Column, n: Column) -> Column:
     return cents / F.lit(100.0) / n
 
 
-def _monthly(cell: DataFrame, value: Column) -> DataFrame:
-    return cell.select(
-        c.surrogate_id(F.col("brand")).alias("series_id"),
-        F.col("month").alias("date"),
-        value.alias("value"),
-        F.lit(False).alias("is_annual_avg"),
-    )
-
+def _with_years(cell: DataFrame) -> DataFrame:
+    """Cells by (brand, date, annual): the months and, for complete years, their sum.
 
-def _years(cell: DataFrame) -> DataFrame:
-    complete = cell.where(F.col("month") < F.lit(FIRST_FULL_YEAR_DATE).cast("date"))
-    return complete.groupBy("brand", F.year("month").alias("year")).agg(
-        F.sum("cents").alias("cents"), F.sum("n").alias("n")
-    )
+    Every month is sent to itself and to its year, so both come from one scan.
+    """
+    itself = F.struct(F.col("month").alias("date"), F.lit(False).alias("annual"))
+    december = F.make_date(F.year("month"), F.lit(12), F.lit(1))
+    year = F.struct(december.alias("date"), F.lit(True).alias("annual"))
+    targets = F.when(F.year("month") <= LAST_FULL_YEAR, F.array(itself, year)).otherwise(F.array(itself))
+    sent = cell.select("brand", "cents", "n", F.explode(targets).alias("to")).select("brand", "cents", "n", "to.*")
+    return sent.groupBy("brand", "date", "annual").agg(F.sum("cents").alias("cents"), F.sum("n").alias("n"))
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact: monthly values and, for complete years, annual averages."""
-    cell = cells(spark, sf_dir)
-    mean = _mean(F.col("cents"), F.col("n"))
-    annual = _years(cell).select(
+    return _with_years(cells(spark, sf_dir)).select(
         c.surrogate_id(F.col("brand")).alias("series_id"),
-        F.make_date("year", F.lit(12), F.lit(1)).alias("date"),
-        mean.alias("value"),
-        F.lit(True).alias("is_annual_avg"),
+        "date",
+        _mean(F.col("cents"), F.col("n")).alias("value"),
+        F.col("annual").alias("is_annual_avg"),
     )
-    return _monthly(cell, mean).unionByName(annual)
 
 
 def obs_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact with nulls, gaps and repeated months."""
-    cell = cells(spark, sf_dir)
-    mean = _mean(F.col("cents"), F.col("n"))
-    rows = _monthly(cell.where("n % 11 <> 0"), F.when(F.col("n") % 7 != 0, mean))
-    return rows.unionByName(_monthly(cell.where("n % 13 = 0"), mean))
+    n, mean = F.col("n"), _mean(F.col("cents"), F.col("n"))
+    kept = F.when(n % 11 != 0, F.array(F.when(n % 7 != 0, mean))).otherwise(F.array().cast("array<double>"))
+    copy = F.when(n % 13 == 0, F.array(mean)).otherwise(F.array().cast("array<double>"))
+    return cells(spark, sf_dir).select(
+        c.surrogate_id(F.col("brand")).alias("series_id"),
+        F.col("month").alias("date"),
+        F.explode(F.concat(kept, copy)).alias("value"),
+        F.lit(False).alias("is_annual_avg"),
+    )
 
 
 def _number_of(brand: Column) -> Column:
@@ -98,35 +103,28 @@ def stage_members(dimension: DataFrame) -> DataFrame:
 
 
 def rawpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw points as text: missing marks, bad values, bad periods, absent fields, gaps."""
-    cell = cells(spark, sf_dir)
-    n = F.col("n")
-    month = F.month("month")
-    points = cell.where("n % 11 <> 0").select(
-        F.col("brand").alias("series_id"),
-        F.year("month").cast("string").alias("year"),
-        F.when(n % 17 == 0, "Q01").otherwise(F.concat(F.lit("M"), F.lpad(month.cast("string"), 2, "0"))).alias("period"),
-        F.when(n % 23 != 0, F.date_format("month", "MMMM")).alias("periodName"),
-        F.when(n % 7 == 0, "-").when(n % 19 == 0, "n/a").otherwise(_money(F.col("cents"))).alias("value"),
-        n.cast("string").alias("code"),
+    """Raw points as text: missing marks, bad values, bad periods, absent fields, gaps, copies."""
+    n, date, annual = F.col("n"), F.col("date"), F.col("annual")
+    cell = _with_years(cells(spark, sf_dir)).where("annual OR n % 11 <> 0")
+    month = F.concat(F.lit("M"), F.lpad(F.month(date).cast("string"), 2, "0"))
+    money = _money(F.col("cents"))
+    plain = F.struct(
+        F.when(annual, "M13").otherwise(month).alias("period"),
+        F.when(annual, "Annual").otherwise(F.date_format(date, "MMMM")).alias("periodName"),
+        money.alias("value"),
     )
-    annual = _years(cell).select(
-        F.col("brand").alias("series_id"),
-        F.col("year").cast("string").alias("year"),
-        F.lit("M13").alias("period"),
-        F.lit("Annual").alias("periodName"),
-        _money(F.col("cents")).alias("value"),
-        F.lit("0").alias("code"),
+    faulty = F.struct(
+        F.when(n % 17 == 0, "Q01").otherwise(month).alias("period"),
+        F.when(n % 23 != 0, F.date_format(date, "MMMM")).alias("periodName"),
+        F.when(n % 7 == 0, "-").when(n % 19 == 0, "n/a").otherwise(money).alias("value"),
     )
-    repeated = cell.where("n % 11 <> 0 AND n % 13 = 0").select(
+    versions = F.when(annual, F.array(plain)).when(n % 13 == 0, F.array(faulty, plain)).otherwise(F.array(faulty))
+    return cell.select("brand", date, annual, n, F.explode(versions).alias("point")).select(
         F.col("brand").alias("series_id"),
-        F.year("month").cast("string").alias("year"),
-        F.concat(F.lit("M"), F.lpad(month.cast("string"), 2, "0")).alias("period"),
-        F.date_format("month", "MMMM").alias("periodName"),
-        _money(F.col("cents")).alias("value"),
-        n.cast("string").alias("code"),
+        F.year(date).cast("string").alias("year"),
+        "point.*",
+        F.when(annual, "0").otherwise(n.cast("string")).alias("code"),
     )
-    return points.unionByName(annual).unionByName(repeated)
 
 
 def rawpoint_with_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
