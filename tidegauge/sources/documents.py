@@ -25,7 +25,7 @@ def read_json_text(spark: SparkSession, path: str, lines: bool = False) -> DataF
     Large collections belong in the line form: it splits within files, while an
     object over many lines is one row however long it is.
     """
-    text = spark.read.option("wholetext", not lines).option("pathGlobFilter", JSON_FILES).text(path)
+    text = spark.read.option("pathGlobFilter", JSON_FILES).text(path, wholetext=not lines)
     name = F.col("_metadata.file_name")
     return text.where(~name.isin(BOOKKEEPING_FILES)).select(
         F.col("value").alias("json"),
