@@ -41,6 +41,28 @@ def test_since_prunes_years(spark, tmp_path):
     assert recent.count() == 20
 
 
+def test_latest_date_and_windows_after_it_read_the_newest_years(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    tables.write_by_year(fact_of(spark, range(40)), path)
+    fact = spark.read.parquet(path)
+    latest = tables.latest_date(fact)
+    recent = tables.since(fact, views.F.add_months(latest, -2))
+    assert {r.date for r in recent.collect()} == {month(37), month(38), month(39)}
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    pruned = [line for line in plan.splitlines() if "FileScan" in line and "PartitionFilters: [isnotnull(year" in line]
+    assert pruned and all("ubquery" in line for line in pruned)
+
+
+def test_views_over_a_bucketed_table_need_no_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/db'")
+    tables.write_bucketed(fact_of(spark, range(36)), "bucketed.fact", 4)
+    fact = spark.table("bucketed.fact")
+    for view in (views.period_state(fact, streaming.MONTHLY(views.F.col("date"))), views.row_changes(fact)):
+        assert "Exchange" not in view._jdf.queryExecution().executedPlan().toString()
+        assert view.count() == 72
+    spark.sql("DROP DATABASE bucketed CASCADE")
+
+
 def test_table_definitions(spark, tmp_path):
     for _ in range(2):
         tables.create_tables(spark, "macro_test", str(tmp_path))

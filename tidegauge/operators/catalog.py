@@ -124,13 +124,14 @@ def batches_within_budget(
     kept = batches if max_batches is None else batches.where(F.col("batch") <= max_batches)
     if remaining is None:
         return kept
-    last = kept.groupBy("series_type").agg(F.max("batch").alias("n"))
-    earlier = F.lit(0)
-    for i, series_type in enumerate(SERIES_TYPES):
-        before = last.where(F.col("series_type").isin(SERIES_TYPES[:i])).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-        )
-        earlier = F.when(F.col("series_type") == series_type, before.scalar()).otherwise(earlier)
+    last = [
+        F.coalesce(F.max(F.when(F.col("series_type") == name, F.col("batch"))), F.lit(0)) for name in SERIES_TYPES
+    ]
+    # Requests before the first type, before the second, and so on; in one row.
+    before = F.array(*[sum(last[:i], F.lit(0)) for i in range(len(SERIES_TYPES) + 1)])
+    turn = F.array_position(F.array(*map(F.lit, SERIES_TYPES)), F.col("series_type"))
+    place = F.when(turn > 0, turn - 1).otherwise(len(SERIES_TYPES)).cast("int")
+    earlier = F.get(kept.agg(before.alias("before")).scalar(), place)
     return kept.where(F.col("batch") + earlier <= remaining)
 
 

@@ -9,7 +9,7 @@ the last few values) from bucket to bucket.
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 HOT_ROWS = 1_000_000
-SLOTS = 64  # buckets per key and order value
+SLOT_BITS = 10  # a key is cut into up to 1024 buckets per order value
 EXPAND = 10_000  # copies of one row that a task writes out at a time
 
 
@@ -66,12 +66,12 @@ def _bucket_lags(df, key, order, value, offsets) -> DataFrame:
         df.groupBy(key, order, value)
         .agg(F.count("*").alias("_n"))
         .withColumn("_tie", _tie(value))
-        .withColumn("_slot", F.shiftright("_tie", 58))
+        .withColumn("_slot", F.shiftright("_tie", 64 - SLOT_BITS))
     )
     copies = F.array_repeat(value, F.least("_n", F.lit(deepest)).cast("int"))
 
     # The last values of each bucket, then of all buckets before it. A key has
-    # at most SLOTS buckets per order value, whatever its number of rows.
+    # at most 1024 buckets per order value, whatever its number of rows.
     ends = (
         runs.withColumn("_back", F.row_number().over(W.partitionBy(*bucket).orderBy(F.desc("_tie"), F.desc(value))))
         .where(F.col("_back") <= deepest)

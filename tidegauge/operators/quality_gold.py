@@ -6,6 +6,7 @@ from tidegauge.functions import columns as c
 from tidegauge.operators.star import with_names
 from tidegauge.operators.views import yearly_values
 from tidegauge.schemas import ANNUAL_TOLERANCE
+from tidegauge.sources.tables import latest_date, since
 
 
 def date_coverage(fact: DataFrame) -> DataFrame:
@@ -91,8 +92,7 @@ def duplicate_keys(tables: dict[str, tuple[DataFrame, list[str]]], top: int = 5)
 
 def recent_nulls(fact: DataFrame, dim: DataFrame, months: int = 3) -> DataFrame:
     """Indicators with missing values in the last months before the latest date."""
-    latest = fact.agg(F.max("date").alias("d")).scalar()
-    recent = fact.where(F.col("date") >= F.add_months(latest, -months))
+    recent = since(fact, F.add_months(latest_date(fact), -months))
     by_series = recent.groupBy("series_id").agg(*_null_columns())
     totals = (
         with_names(by_series, dim, "indicator_name", "industry_name")

@@ -1,6 +1,6 @@
 """The derived tables: monthly, yearly and change views over the fact."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions import columns as c
 from tidegauge.operators.hot import HOT_ROWS, with_lags
@@ -90,30 +90,23 @@ def changes_by_rows(fact: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -
 def changes_by_calendar(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """Month and year changes by date: against the same series 1 and 12 months earlier.
 
-    One row per series and month, valued at the month's mean. Every month is
-    also sent 1 and 12 months ahead, so that a single aggregation brings a month
-    and its two bases together: no self-join, no window, any share of rows.
+    One row per series and month, valued at the month's mean. The window comes
+    after that aggregation, so a series of any size brings it at most twelve
+    rows per year.
     """
     means = period_state(fact, c.month_start(F.col("date"))).select(
         "series_id", "date", (F.col("value_sum") / F.nullif("value_count", F.lit(0))).alias("value")
     )
-    ahead = F.explode(F.array(F.lit(0), F.lit(1), F.lit(12))).alias("ahead")
-    sent = means.select("series_id", "date", "value", ahead).withColumn("date", F.add_months("date", F.col("ahead")))
+    months = W.partitionBy("series_id").orderBy(c.month_index(F.col("date")))
 
-    def of(ahead: int) -> Column:
-        return F.max(F.when(F.col("ahead") == ahead, F.col("value")))
+    def earlier(n: int) -> Column:
+        return F.max("value").over(months.rangeBetween(-n, -n))
 
-    met = sent.groupBy("series_id", "date").agg(
-        F.bool_or(F.col("ahead") == 0).alias("_present"),
-        of(0).alias("value"),
-        of(1).alias("_1"),
-        of(12).alias("_12"),
-    )
-    changes = met.where("_present").select(
+    changes = means.select(
         "series_id",
         "date",
         "value",
-        c.change(F.col("value"), F.col("_1")).alias("mom_change_calendar"),
-        c.change(F.col("value"), F.col("_12")).alias("yoy_change_calendar"),
+        c.change(F.col("value"), earlier(1)).alias("mom_change_calendar"),
+        c.change(F.col("value"), earlier(12)).alias("yoy_change_calendar"),
     )
     return named(changes, dim)

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.operators.star import with_names
-from tidegauge.sources.tables import since
+from tidegauge.sources.tables import latest_date, since
 
 
 def latest_like(fact: DataFrame, dim: DataFrame, pattern: str, top: int = 10) -> DataFrame:
@@ -39,8 +39,8 @@ def _percent(change: str) -> Column:
 
 def latest_changes(changes: DataFrame) -> DataFrame:
     """Rows of the changes view at its latest date."""
-    latest = changes.agg(F.max("date").alias("d")).scalar()
-    return changes.where(F.col("date") == latest)
+    latest = latest_date(changes)
+    return since(changes, latest).where(F.col("date") == latest)
 
 
 def latest_changes_top(changes: DataFrame, dim: DataFrame, top: int = 10) -> DataFrame:
@@ -63,8 +63,7 @@ def latest_changes_top(changes: DataFrame, dim: DataFrame, top: int = 10) -> Dat
 
 
 def _last_months(fact: DataFrame, dim: DataFrame, pattern: str, months: int) -> DataFrame:
-    latest = fact.agg(F.max("date").alias("d")).scalar()
-    recent = fact.where(F.col("date") >= F.add_months(latest, -months))
+    recent = since(fact, F.add_months(latest_date(fact), -months))
     named = dim.where(F.col("indicator_name").like(pattern))
     return with_names(recent, named, "indicator_name", "industry_name").select(
         "series_id", "indicator_name", "industry_name", "date", "value", "is_annual_avg"

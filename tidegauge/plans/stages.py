@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidegauge.functions import columns as c
-from tidegauge.operators.star import with_names
 from tidegauge.operators.views import monthly_rows
 from tidegauge.schemas import LOW_PRESSURE, MEDIUM_PRESSURE, STAGES
+from tidegauge.sources.tables import latest_date, since
 
 
 def stage_map(spark: SparkSession) -> DataFrame:
@@ -15,8 +15,12 @@ def stage_map(spark: SparkSession) -> DataFrame:
 
 
 def stage_keys(dim: DataFrame, stages: DataFrame) -> DataFrame:
-    """(series_id, raw_series_id, stage) of the series that belong to a stage."""
-    return dim.select("series_id", "raw_series_id").join(stages, "raw_series_id")
+    """(series_id, raw_series_id, stage) of the series that belong to a stage.
+
+    The map is a fixed short list and the dimension has one row per series, so
+    the result has as few rows as the map and may go to every task.
+    """
+    return F.broadcast(dim.select("series_id", "raw_series_id").join(F.broadcast(stages), "raw_series_id"))
 
 
 def stage_observations(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFrame:
@@ -37,17 +41,18 @@ def stage_pressure(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFr
     change over all (now, then) row pairs comes from sums: with copies of a row
     the pairs are weighted as a join would weight them, without forming them.
     """
-    latest = fact.agg(F.max("date").alias("d")).scalar()
+    latest = latest_date(fact)
     date, value = F.col("date"), F.col("value")
     when = F.when(date == latest, "now").when(date == F.add_months(latest, -1), "month")
     when = when.when(date == F.add_months(latest, -12), "year")
-    rows = monthly_rows(fact).select("series_id", "value", when.alias("when")).where(F.col("when").isNotNull())
+    compared = since(monthly_rows(fact), F.add_months(latest, -12)).join(stage_keys(dim, stages), "series_id")
+    rows = compared.select("stage", "series_id", "value", when.alias("when")).where(F.col("when").isNotNull())
     base = F.nullif(value, F.lit(0.0))
 
     def at(name: str, expression: Column) -> Column:
         return F.when(F.col("when") == name, expression)
 
-    per_series = rows.groupBy("series_id").agg(
+    per_series = rows.groupBy("stage", "series_id").agg(
         F.count(at("now", F.lit(1))).alias("now_rows"),
         F.count(at("now", value)).alias("now_n"),
         F.sum(at("now", value)).alias("now_sum"),
@@ -62,7 +67,6 @@ def stage_pressure(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFr
         ],
     )
     complete = per_series.where("now_rows > 0 AND month_rows > 0 AND year_rows > 0")
-    member = complete.join(stage_keys(dim, stages), "series_id")
 
     def mean_change(name: str, other: str) -> Column:
         pairs = F.col("now_n") * F.col(f"{name}_n")
@@ -70,7 +74,7 @@ def stage_pressure(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFr
         weight = F.col(f"{other}_rows")
         return F.sum(total * weight) / F.nullif(F.sum(pairs * weight), F.lit(0))
 
-    means = member.groupBy("stage").agg(
+    means = complete.groupBy("stage").agg(
         mean_change("year", "month").alias("yoy"), mean_change("month", "year").alias("mom")
     )
     return means.select(
@@ -84,10 +88,7 @@ def stage_pressure(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFr
 
 def stage_index(fact: DataFrame, dim: DataFrame, stages: DataFrame) -> DataFrame:
     """Mean value of a stage's series per date."""
-    rows = monthly_rows(fact).groupBy("series_id", "date").agg(F.sum("value").alias("s"), F.count("value").alias("n"))
-    sums = rows.join(stage_keys(dim, stages), "series_id").groupBy("stage", "date")
-    totals = sums.agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    return totals.select("stage", "date", (F.col("s") / F.nullif("n", F.lit(0))).alias("index_value"))
+    return stage_observations(fact, dim, stages).groupBy("stage", "date").agg(F.avg("value").alias("index_value"))
 
 
 def stage_yoy(index: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.schemas import DIMENSION, FACT
 
@@ -60,10 +60,35 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def since(table: DataFrame, start: dt.date) -> DataFrame:
+def write_bucketed(df: DataFrame, table: str, buckets: int) -> None:
+    """Write a catalog table by year whose files also keep a series together.
+
+    Views over it then need no shuffle by series. It suits tables without
+    dominating series; ``write_by_year`` spreads those.
+    """
+    (
+        df.withColumn("year", F.year("date"))
+        .repartition(buckets, "series_id")
+        .write.mode("overwrite")
+        .format("parquet")
+        .partitionBy("year")
+        .bucketBy(buckets, "series_id")
+        .sortBy("series_id", "date")
+        .saveAsTable(table)
+    )
+
+
+def since(table: DataFrame, start: dt.date | Column) -> DataFrame:
     """Rows from ``start`` on; skips earlier years where the table has that column."""
     rows = table.where(F.col("date") >= F.lit(start))
-    return rows.where(F.col("year") >= start.year) if "year" in table.columns else rows
+    return rows.where(F.col("year") >= F.year(F.lit(start))) if "year" in table.columns else rows
+
+
+def latest_date(table: DataFrame) -> Column:
+    """The latest date as a scalar; reads dates of the newest year only where there are years."""
+    if "year" in table.columns:
+        table = table.where(F.col("year") == table.agg(F.max("year").alias("y")).scalar())
+    return table.agg(F.max("date").alias("d")).scalar()
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
