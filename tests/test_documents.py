@@ -169,3 +169,11 @@ def test_written_documents_read_back(spark, tmp_path):
     again = documents.read_series_documents(spark, out, lines=True)
     assert values(again) == values(docs)
     assert again.collect()[0].series_type == "industry"
+
+
+def test_texts_are_parsed_once(spark, tmp_path):
+    write(str(tmp_path), "a.json", {"seriesID": "A", "data": [point()]})
+    docs = documents.read_series_documents(spark, str(tmp_path))
+    for exploded in (silver.explode_points(docs), quality_raw.document_points(inspect(spark, str(tmp_path)))):
+        plan = exploded._jdf.queryExecution().optimizedPlan().toString()
+        assert "Filter (size(" not in plan

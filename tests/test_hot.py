@@ -1,6 +1,7 @@
 """Ordered operators on keys that hold most rows, against plain loops."""
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -38,12 +39,12 @@ def _expected(spark, rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**9])
+@pytest.mark.parametrize("hot_rows, slot_rows", [(0, 1), (0, 50), (100, 20), (100, 10**6), (10**9, 1)])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_lags_are_the_same_on_every_path(spark, seed, hot_rows):
+def test_lags_are_the_same_on_every_path(spark, seed, hot_rows, slot_rows):
     rows = _rows(seed)
     df = spark.createDataFrame(rows, "key string, month int, value double")
-    got = hot.with_lags(df, "key", "month", "value", OFFSETS, hot_rows).collect()
+    got = hot.with_lags(df, "key", "month", "value", OFFSETS, hot_rows, slot_rows).collect()
     assert sorted((tuple(r) for r in got), key=repr) == _expected(spark, rows)
 
 
@@ -57,11 +58,13 @@ def test_copies_beyond_one_piece_are_all_written(spark):
 
 def test_no_task_windows_over_a_whole_hot_key(spark):
     df = spark.createDataFrame(_rows(1), "key string, month int, value double")
-    plan = hot.with_lags(df, "key", "month", "value", OFFSETS, 100)._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window" in line and "collect_list" in line]
-    # The only window by key alone runs over the bucket ends.
-    assert any("_end" in line for line in windows)
-    assert all("_end" in line or "_slot" in line for line in windows)
+    lagged = hot.with_lags(df, "key", "month", "value", OFFSETS, 100, 20)
+    plan = lagged._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    by_key = [line for line in windows if re.search(r"\], \[key#\d+\], \[", line)]
+    assert any("_slot" in line for line in windows)
+    # By key alone: the usual series, and the ends of the buckets.
+    assert len(by_key) == 2 and any("collect_list(_end" in line for line in by_key)
 
 
 @pytest.mark.parametrize("digits", [1, 4])

@@ -6,10 +6,15 @@ keys into buckets that respect the order and carry only small summaries (counts,
 the last few values) from bucket to bucket.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidegauge.session import stored
+
 HOT_ROWS = 1_000_000
-SLOT_BITS = 10  # a key is cut into up to 1024 buckets per order value
+SLOT_ROWS = 100_000  # rows of one order value that stay in one bucket
+MAX_SLOT_BITS = 12  # beyond which an order value is not cut any finer
 EXPAND = 10_000  # copies of one row that a task writes out at a time
 
 
@@ -26,6 +31,7 @@ def with_lags(
     value: str,
     offsets: dict[str, int],
     hot_rows: int = HOT_ROWS,
+    slot_rows: int = SLOT_ROWS,
 ) -> DataFrame:
     """Add, per offset, the value that many rows earlier within the key.
 
@@ -37,9 +43,13 @@ def with_lags(
     hot = hot_keys(df, key, hot_rows)
     if hot.isEmpty():
         return _window_lags(df, key, order, value, offsets)
-    usual = _window_lags(df.join(hot, key, "left_anti"), key, order, value, offsets)
-    split = _bucket_lags(df.join(hot, key, "left_semi"), key, order, value, offsets)
-    return usual.unionByName(split)
+    hot = stored(hot, "hot-keys")
+    usual, crowded = df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+    # One number for the driver: the rows of the fullest order value.
+    fullest = crowded.groupBy(key, order).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    bits = min(MAX_SLOT_BITS, math.ceil(math.log2(max(fullest / slot_rows, 1))))
+    split = _bucket_lags(crowded, key, order, value, offsets, bits)
+    return _window_lags(usual, key, order, value, offsets).unionByName(split)
 
 
 def _tie(value: str) -> Column:
@@ -56,57 +66,42 @@ def _last(values: Column, k: int) -> Column:
     return F.when(F.size(values) > k, F.slice(values, -k, k)).otherwise(values)
 
 
-def _bucket_lags(df, key, order, value, offsets) -> DataFrame:
+def _bucket_lags(df, key, order, value, offsets, slot_bits) -> DataFrame:
     deepest = max(offsets.values())
     bucket = [key, order, "_slot"]
-    within = W.partitionBy(*bucket).orderBy("_tie", value)
 
-    # Copies of a row become one run with a count, already on the map side.
+    # Copies of a row become one run with a count, already on the map side. Past
+    # ``deepest`` copies a run looks back into itself and all its copies are
+    # alike, so that one row with a count stands for them.
     runs = (
         df.groupBy(key, order, value)
         .agg(F.count("*").alias("_n"))
         .withColumn("_tie", _tie(value))
-        .withColumn("_slot", F.shiftright("_tie", 64 - SLOT_BITS))
+        .withColumn("_slot", F.shiftright("_tie", 64 - slot_bits) if slot_bits else F.lit(0))
     )
-    copies = F.array_repeat(value, F.least("_n", F.lit(deepest)).cast("int"))
+    copy = F.explode(F.sequence(F.lit(0), F.least("_n", F.lit(deepest + 1)).cast("int") - 1))
+    alike = F.when(F.col("_copy") == deepest, F.col("_n") - deepest).otherwise(F.lit(1))
+    rows = runs.withColumn("_copy", copy).withColumn("_alike", alike).drop("_n")
 
     # The last values of each bucket, then of all buckets before it. A key has
-    # at most 1024 buckets per order value, whatever its number of rows.
+    # at most 4096 buckets per order value, whatever its number of rows.
+    backwards = W.partitionBy(*bucket).orderBy(F.desc("_tie"), F.desc(value), F.desc("_copy"))
     ends = (
-        runs.withColumn("_back", F.row_number().over(W.partitionBy(*bucket).orderBy(F.desc("_tie"), F.desc(value))))
+        rows.withColumn("_back", F.row_number().over(backwards))
         .where(F.col("_back") <= deepest)
-        .withColumn("_copies", copies)
         .groupBy(*bucket)
-        .agg(F.sort_array(F.collect_list(F.struct("_back", "_copies")), asc=False).alias("_ends"))
-        .select(*bucket, _last(F.flatten("_ends._copies"), deepest).alias("_end"))
+        .agg(F.sort_array(F.collect_list(F.struct("_back", value)), asc=False)[value].alias("_end"))
     )
     earlier = W.partitionBy(key).orderBy(order, "_slot").rowsBetween(-deepest, -1)
-    halo = ends.select(*bucket, _last(F.flatten(F.collect_list("_end").over(earlier)), deepest).alias("_halo"))
-
-    # The values right before each run: from its own bucket, else from the halo.
-    nearby = F.flatten(F.collect_list("_copies").over(within.rowsBetween(-deepest, -1)))
-    before = runs.withColumn("_copies", copies).withColumn("_near", nearby).join(halo, bucket)
-    before = before.withColumn("_before", _last(F.concat("_halo", "_near"), deepest))
-
-    # Copy j of a run looks back into the run itself once j reaches the offset,
-    # so all copies from ``deepest`` on are alike and stay one row with a count.
-    copy = F.explode(F.sequence(F.lit(0), F.least("_n", F.lit(deepest + 1)).cast("int") - 1))
-    alike = F.when(F.col("_j") == deepest, F.col("_n") - deepest).otherwise(F.lit(1))
-    rows = before.withColumn("_j", copy).withColumn("_alike", alike)
-    lagged = rows.select(
-        key,
-        order,
-        value,
-        "_tie",
-        "_alike",
-        *[
-            F.when(F.col("_j") >= k, F.col(value))
-            .otherwise(F.get("_before", F.size("_before") - k + F.col("_j")))
-            .alias(name)
-            for name, k in offsets.items()
-        ],
-    )
-    return _write_out(lagged, [key, order, "_tie"]).drop("_tie", "_alike")
+    before = ends.select(*bucket, F.flatten(F.collect_list("_end").over(earlier)).alias("_before"))
+    halo = before.select(*bucket, F.posexplode(_last(F.col("_before"), deepest)).alias("_place", value))
+
+    # Each bucket behind the values before it; those only lend their values.
+    whole = rows.withColumn("_place", F.lit(None).cast("int")).unionByName(halo, allowMissingColumns=True)
+    w = W.partitionBy(*bucket).orderBy(F.asc_nulls_last("_place"), "_tie", value, "_copy")
+    lagged = whole.withColumns({name: F.lag(value, k).over(w) for name, k in offsets.items()})
+    kept = lagged.where("_place IS NULL").select(key, order, value, "_tie", "_alike", *offsets)
+    return _write_out(kept, [key, order, "_tie"]).drop("_tie", "_alike")
 
 
 def _write_out(df: DataFrame, keys: list[str]) -> DataFrame:

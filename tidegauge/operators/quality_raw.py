@@ -7,6 +7,7 @@ point and broken rule, so no document's findings have to fit into one row.
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions import columns as c
+from tidegauge.operators.silver import explode_list
 from tidegauge.schemas import POINT
 
 REQUIRED = {"year": "missing_year", "period": "missing_period", "periodName": "missing_period_name", "value": "missing_value"}
@@ -35,9 +36,8 @@ def inspect_documents(text: DataFrame) -> DataFrame:
 
 
 def document_points(inspected: DataFrame) -> DataFrame:
-    return inspected.select("document", F.posexplode("points").alias("position", "point")).select(
-        "document", "position", "point.*"
-    )
+    exploded = explode_list(inspected, "document", "points", "position", "point")
+    return exploded.select("document", "position", "point.*")
 
 
 def _violations(points: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -181,7 +181,7 @@ def judge_documents(inspected: DataFrame) -> DataFrame:
 
 def findings(judged: DataFrame) -> DataFrame:
     """The judgements in long form: document, broken rule and number of violations."""
-    return judged.select("document", F.explode("violations").alias("rule", "n_violations"))
+    return explode_list(judged, "document", "violations", "rule", "n_violations")
 
 
 def report_summary(judged: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Raw points to clean observations, with a quarantine for what cannot be read."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegauge.functions import columns as c
 from tidegauge.schemas import DECEMBER, SILVER
@@ -8,9 +8,17 @@ from tidegauge.schemas import DECEMBER, SILVER
 
 def explode_points(docs: DataFrame) -> DataFrame:
     """One row per point of the documents (series_id, points)."""
-    return docs.select("series_id", F.posexplode("points").alias("position", "point")).select(
-        "series_id", "position", "point.*"
-    )
+    return explode_list(docs, "series_id", "points", "position", "point").select("series_id", "position", "point.*")
+
+
+def explode_list(df: DataFrame, key: str, values: str, *names: str) -> DataFrame:
+    """(key, *names): the elements of an array with positions, or of a map.
+
+    The outer form with a filter behind it, because a plain explode of a parsed
+    column also filters by its size further down and so has it parsed twice.
+    """
+    generator = F.explode_outer if isinstance(df.schema[values].dataType, T.MapType) else F.posexplode_outer
+    return df.select(key, generator(values).alias(*names)).where(F.col(names[0]).isNotNull())
 
 
 def _reason(points: DataFrame) -> Column:

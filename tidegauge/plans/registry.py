@@ -452,7 +452,7 @@ def _arrivals(spark, sf):
     path = scratch(spark, "arrivals")
     rows = _stored(spark, s.obs(spark, sf), "observations").drop("year").withColumn("part", _arrival_number())
     for number in range(len(ARRIVALS) + 1):
-        rows.where(F.col("part") == number).drop("part").write.mode("append").parquet(path)
+        rows.where(F.col("part") == number).drop("part").hint("rebalance").write.mode("append").parquet(path)
     return streaming.observation_stream(spark, path, files_per_batch=1)
 
 
