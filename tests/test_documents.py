@@ -57,6 +57,11 @@ def test_subfolders_are_read_only_when_the_top_holds_nothing(spark, tmp_path):
     assert [v[0] for v in values(documents.read_series_documents(spark, top))] == ["C"]
 
 
+def test_folder_without_documents_gives_none(spark, tmp_path):
+    write(str(tmp_path), "extraction_progress.json", {})
+    assert documents.read_series_documents(spark, str(tmp_path)).count() == 0
+
+
 def test_last_document_of_a_series_wins(spark, tmp_path):
     folder = str(tmp_path)
     for i, name in enumerate(["z.json", "m.json", "n.json"]):

@@ -133,9 +133,8 @@ def test_incremental_views_equal_a_batch_run(spark, tmp_path, arrivals):
 
 def test_a_replayed_batch_counts_once(spark, tmp_path):
     state = views.period_state(fact_of(spark, range(12)), streaming.MONTHLY(views.F.col("date")))
-    for _ in range(2):
-        streaming._write_batch(state, str(tmp_path / "s"), 0)
-    streaming._write_batch(state, str(tmp_path / "s"), 1)
+    for batch_id in (0, 0, 1):
+        streaming._replace(state.withColumn("batch_id", views.F.lit(batch_id)), str(tmp_path / "s"), "batch_id")
     dim = spark.createDataFrame([(s, s, s, "BLS") for s in "ab"], DIM)
     merged = spark.read.parquet(str(tmp_path / "s")).groupBy("series_id", "date").agg(*views.merge_state())
     assert {r.value_count for r in merged.collect()} == {2}

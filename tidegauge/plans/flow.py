@@ -12,6 +12,7 @@ from tidegauge.operators import catalog, quality_gold, quality_raw, silver as ob
 from tidegauge.plans import reports, stages as stage_plans
 from tidegauge.sources import catalogs, documents, ledger as ledgers, snapshots, tables
 
+# --- fixed values: names of files, folders and tables -----------------------
 CATALOG_FILES = {
     "aggregation": "ppi_aggregation_series_ids.csv",
     "commodity": "ppi_commodity_series_ids.csv",

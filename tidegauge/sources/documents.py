@@ -9,6 +9,7 @@ Four shapes occur, one JSON object each:
 * a consolidated object ``{id: {"series_type": t, "data": document}, ...}``
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.schemas import BOOKKEEPING_FILES, POINT
@@ -80,10 +81,14 @@ def with_points(documents: DataFrame) -> DataFrame:
 
 def read_series_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Series documents of a folder; one level of subfolders where it holds none itself."""
-    top = parse_documents(read_json_text(spark, path, lines))
-    if top.isEmpty():
-        top = parse_documents(read_json_text(spark, f"{path.rstrip('/')}/*/", lines))
-    return with_points(top)
+    found = parse_documents(read_json_text(spark, path, lines))
+    if found.isEmpty():
+        try:
+            found = parse_documents(read_json_text(spark, f"{path.rstrip('/')}/*/", lines))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return with_points(found)
 
 
 def latest_per_series(documents: DataFrame) -> DataFrame:

@@ -1,9 +1,8 @@
 """Incremental views.
 
-Each micro-batch writes under its own batch id and a replay overwrites exactly
-that, so a restart or a lost executor cannot count rows twice. Readers merge
-what the batches left; the result equals a batch run over all rows, in whatever
-order they came.
+Each micro-batch writes its rows or states under its own batch id and a replay
+overwrites exactly that, so a restart or a lost executor cannot count rows
+twice. The views equal a batch run over all rows, in whatever order they came.
 """
 
 from collections.abc import Callable
@@ -31,11 +30,15 @@ def _start(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, in
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Write one batch's rows, replacing those of an earlier attempt."""
-    stamped = df.withColumn("batch_id", F.lit(batch_id))
-    spread = stamped.hint("rebalance", *partitions) if partitions else stamped
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").parquet(path)
+def _replace(df: DataFrame, path: str, *partitions: str) -> None:
+    """Write rows, replacing the partitions they belong to and no others."""
+    (
+        df.hint("rebalance", *partitions)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions)
+        .parquet(path)
+    )
 
 
 def maintain_periods(
@@ -44,7 +47,8 @@ def maintain_periods(
     """Keep aggregate states per series and period (``month_start`` or ``year_start``)."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(period_state(batch, start(F.col("date"))), path, batch_id)
+        state = period_state(batch, start(F.col("date")))
+        _replace(state.withColumn("batch_id", F.lit(batch_id)), path, "batch_id")
 
     return _start(stream, checkpoint, on_batch, available_now)
 
@@ -58,24 +62,23 @@ def read_periods(spark: SparkSession, path: str, dim: DataFrame) -> DataFrame:
 def maintain_changes(
     stream: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS, available_now: bool = False
 ) -> StreamingQuery:
-    """Keep the changes view: recompute the series a batch touches, and only those.
+    """Keep the changes view: recompute what a batch touches, and only that.
 
-    A late month moves the bases of later rows, so a touched series is computed
-    anew from all its rows. Rows lie in buckets by series; only touched buckets
-    are read.
+    A late month moves the bases of later rows, so a series is computed anew
+    from all its rows. Rows and changes lie in buckets by series; the buckets
+    that a batch touches are read and their changes replaced.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bucket = F.pmod(F.xxhash64("series_id"), F.lit(buckets)).cast("int")
-        _write_batch(batch.withColumn("bucket", bucket), f"{path}/rows", batch_id, "bucket")
+        new = batch.withColumns({"bucket": bucket, "batch_id": F.lit(batch_id)})
+        _replace(new, f"{path}/rows", "bucket", "batch_id")
         rows = spark.read.schema(_with_partitions(OBSERVATION)).parquet(f"{path}/rows")
-        new = rows.where(F.col("batch_id") == batch_id)
-        touched = [row.bucket for row in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        series = new.select("series_id").distinct()
+        stored = rows.where(F.col("batch_id") == batch_id).select("bucket").distinct()
+        touched = [row.bucket for row in stored.collect()]  # at most ``buckets`` numbers
         history = rows.where(F.col("bucket").isin(touched) & (F.col("batch_id") <= batch_id))
-        changes = row_changes(history.join(series, "series_id", "left_semi"))
-        _write_batch(changes.withColumn("bucket", bucket), f"{path}/changes", batch_id, "bucket")
+        _replace(row_changes(history).withColumn("bucket", bucket), f"{path}/changes", "bucket")
 
     return _start(stream, checkpoint, on_batch, available_now)
 
@@ -85,11 +88,8 @@ def _with_partitions(schema: StructType) -> StructType:
 
 
 def read_changes(spark: SparkSession, path: str, dim: DataFrame) -> DataFrame:
-    """The changes view: of each series the version its last batch computed."""
-    versions = spark.read.parquet(f"{path}/changes")
-    newest = versions.groupBy("series_id").agg(F.max("batch_id").alias("batch_id"))
-    current = versions.join(newest, ["series_id", "batch_id"], "left_semi")
-    return named(current.select("series_id", "date", "value", "mom_change", "yoy_change"), dim)
+    """The changes view with the series' names."""
+    return named(spark.read.parquet(f"{path}/changes").drop("bucket"), dim)
 
 
 MONTHLY, YEARLY = c.month_start, c.year_start
