@@ -10,7 +10,12 @@ from tidegauge.functions import columns as c
 from tidegauge.operators.silver import explode_list
 from tidegauge.schemas import POINT
 
-REQUIRED = {"year": "missing_year", "period": "missing_period", "periodName": "missing_period_name", "value": "missing_value"}
+REQUIRED = {
+    "year": "missing_year",
+    "period": "missing_period",
+    "periodName": "missing_period_name",
+    "value": "missing_value",
+}
 _POINTS = f"array<{POINT.simpleString()}>"
 
 

@@ -11,9 +11,10 @@ from tidegauge.sources.tables import latest_date, since
 def latest_like(fact: DataFrame, dim: DataFrame, pattern: str, top: int = 10) -> DataFrame:
     """The latest values of indicators whose name matches, with their metadata."""
     named = dim.where(F.col("indicator_name").like(pattern))
-    rows = with_names(fact, named, "indicator_name", "source", "industry_name", "seasonal_adjustment")
+    attributes = ["indicator_name", "source", "industry_name", "seasonal_adjustment"]
     return (
-        rows.select("series_id", "date", "value", "is_annual_avg", "indicator_name", "source", "industry_name", "seasonal_adjustment")
+        with_names(fact, named, *attributes)
+        .select("series_id", "date", "value", "is_annual_avg", *attributes)
         .orderBy(F.desc("date"), "series_id", "is_annual_avg", "value")
         .limit(top)
     )
@@ -112,7 +113,10 @@ def cross_indicator_pairs(changes: DataFrame, dim: DataFrame, top: int = 10) ->
     # A row that is extreme both ways must not count twice; its copies must stay.
     kept = extreme.groupBy("series_id", "date", "yoy_change", "_copy").agg(F.lit(1))
     a = with_names(kept, dim, "indicator_name").select(
-        F.col("series_id").alias("series1"), "date", F.col("yoy_change").alias("yoy1"), F.col("indicator_name").alias("indicator1")
+        F.col("series_id").alias("series1"),
+        "date",
+        F.col("yoy_change").alias("yoy1"),
+        F.col("indicator_name").alias("indicator1"),
     )
     b = a.select(
         F.col("series1").alias("series2"), "date", F.col("yoy1").alias("yoy2"), F.col("indicator1").alias("indicator2")

@@ -159,9 +159,8 @@ def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of an earlier run, which got as far as the cheaper parts."""
     part = table(spark, sf_dir, "part")
-    kind = (
-        F.when(F.col("p_size") <= 20, "aggregated").when(F.col("p_type") == "ECONOMY", "commodity").otherwise("industry")
-    )
+    kind = F.when(F.col("p_size") <= 20, "aggregated").when(F.col("p_type") == "ECONOMY", "commodity")
+    kind = kind.otherwise("industry")
     failed = F.col("p_size") % 4 == 0
     return part.where("p_size <= 40").select(
         F.col("p_partkey").cast("string").alias("series_id"),

@@ -60,10 +60,13 @@ def parse_documents(text: DataFrame) -> DataFrame:
     def document(series_id, series_type, data):
         return F.struct(series_id.alias("series_id"), series_type.alias("series_type"), data.alias("data"))
 
+    def entry(e):
+        return document(e["key"], e["value"]["series_type"], e["value"]["data"]["data"])
+
     headed = F.coalesce(F.col("head.seriesID"), F.col("head.series_id"))
     found = (
         F.when(headed.isNotNull(), F.array(document(headed, nothing, F.col("head.data"))))
-        .when(F.size(inner) > 0, F.transform(inner, lambda e: document(e["key"], e["value"]["series_type"], e["value"]["data"]["data"])))
+        .when(F.size(inner) > 0, F.transform(inner, entry))
         .when(first_list.isNotNull(), F.array(document(stem, nothing, first_list)))
     )
     return (
@@ -103,7 +106,9 @@ def latest_per_series(documents: DataFrame) -> DataFrame:
     return documents.join(newest, ["series_id", "modified", "file"], "left_semi")
 
 
-def write_documents(documents: DataFrame, path: str, id_field: str = "seriesID", mode: str = "errorifexists") -> None:
+def write_documents(
+    documents: DataFrame, path: str, id_field: str = "seriesID", mode: str = "errorifexists"
+) -> None:
     """Write (series_id, points) as one JSON document per line."""
     documents.select(F.col("series_id").alias(id_field), F.col("points").alias("data")).write.mode(mode).json(path)
 

@@ -17,7 +17,8 @@ def newest_snapshot(spark: SparkSession, root: str) -> DataFrame:
     File times come from the listing, so this reads no data column; the filter
     on the folder column then opens that snapshot's files only.
     """
-    snapshots = spark.read.schema(T.StructType(SILVER.fields + [T.StructField("snapshot", T.StringType())])).parquet(root)
+    stamped = T.StructType([*SILVER.fields, T.StructField("snapshot", T.StringType())])
+    snapshots = spark.read.schema(stamped).parquet(root)
     stamps = snapshots.select("snapshot", F.col("_metadata.file_modification_time").alias("modified"))
     newest = stamps.agg(F.max(F.struct("modified", "snapshot"))["snapshot"].alias("snapshot"))
     return snapshots.where(F.col("snapshot") == newest.scalar()).drop("snapshot")

@@ -25,7 +25,9 @@ def observation_stream(spark: SparkSession, path: str, files_per_batch: int = 10
     return spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _start(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None], available_now: bool) -> StreamingQuery:
+def _start(
+    stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None], available_now: bool
+) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
