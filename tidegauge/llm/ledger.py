@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tidegauge.session import scratch, stored
+from tidegauge.llm.batches import arrow_map
+from tidegauge.session import scratch
 
 SPAN = "struct<kind:string,start:int,end:int>"
 LEDGER = f"blob binary, rules array<string>, spans array<{SPAN}>"
@@ -119,7 +120,7 @@ def scan_new(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
         .where(F.size("rules") > 0)
     )
     texts = todo.alias("t").join(versions.alias("v"), F.col("t.path").eqNullSafe(F.col("v.path")) & (F.col("t.blob") == F.col("v.blob")))
-    found = texts.select("t.blob", "t.rules", "v.content").mapInArrow(_scanner(rules), LEDGER)
+    found = arrow_map(texts.select("t.blob", "t.rules", "v.content"), _scanner(rules), LEDGER)
     found.dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
 
 

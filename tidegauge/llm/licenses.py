@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.batches import ALNUM, LOWER, pieces, utf8, words
+from tidegauge.llm.batches import ALNUM, LOWER, arrow_map, pieces, utf8, words
 
 # Base phrases and their labels.
 PHRASES = {
@@ -202,7 +202,7 @@ def scan_licenses(
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, template_labels array<string>"
-    return rows.mapInArrow(_scanner(templates, phrases), schema)
+    return arrow_map(rows, _scanner(templates, phrases), schema)
 
 
 def op10_license_templates(spark, sf_dir: str) -> DataFrame:
