@@ -39,14 +39,17 @@ class Rows:
         return Rows(self.index[at], self.value[at], first)
 
 
-def _counted(per_text: list[np.ndarray]) -> Rows:
-    """Distinct indices with the logarithm of their counts, each row of length 1."""
+def _counted(per_text: list[np.ndarray], marks: list[np.ndarray] | None = None) -> Rows:
+    """Distinct indices with the logarithm of their counts, each row of length 1; ``marks`` are more indices, of value 0.5."""
     index, value, first = [], [], [0]
-    for own in per_text:
+    for i, own in enumerate(per_text):
         u, n = np.unique(own, return_counts=True)
         v = np.log1p(n)
+        v /= max(np.sqrt((v * v).sum()), 1e-9)
+        if marks is not None:
+            u, v = np.append(u, marks[i]), np.append(v, np.full(len(marks[i]), 0.5))
         index.append(u)
-        value.append(v / max(np.sqrt((v * v).sum()), 1e-9))
+        value.append(v)
         first.append(first[-1] + len(u))
     empty = np.zeros(0)
     return Rows(np.concatenate([empty.astype(np.int32), *index]).astype(np.int32), np.concatenate([empty, *value]).astype(np.float32), np.array(first))
@@ -69,12 +72,36 @@ def hashed_terms(data: np.ndarray, bounds: np.ndarray, bits: int) -> Rows:
     return _counted(out)
 
 
+#: Upper bounds of the classes of a share of words.
+_SHARES = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.5])
+MARKS = 2 * (len(_SHARES) + 1)
+
+
+def _repeats(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two marks for each text with words: the classes of the share of words that equal the word before, and any of the four before."""
+    starts, ends, first = words(LOWER[data], bounds, ALNUM)
+    h = Rolling(LOWER[data]).of(starts, ends)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(first))
+    same = np.zeros((2, len(h)), bool)
+    for k in range(1, 5):
+        hit = (h[k:] == h[:-k]) & (text[k:] == text[:-k])
+        same[1, k:] |= hit
+        if k == 1:
+            same[0, k:] = hit
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        kinds = np.searchsorted(_SHARES, same[:, a:b].mean(axis=1)) if b > a else np.zeros(0, np.int64)
+        out.append((kinds + np.arange(len(kinds)) * (len(_SHARES) + 1)).astype(np.int32))
+    return out
+
+
 def byte_trigrams(data: np.ndarray, bounds: np.ndarray, bits: int) -> Rows:
-    """Runs of three bytes as they stand (case, marks and blanks included), hashed to ``bits`` bits."""
+    """Runs of three bytes as they stand (case, marks and blanks included), hashed to ``bits`` bits, and how often words repeat close by."""
     wide = data.astype(np.uint32)
     code = (wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16) if len(data) > 2 else np.zeros(0, np.uint32)
     code = ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int32)
-    return _counted([code[a : max(a, b - 2)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
+    code = np.maximum(code, MARKS)  # the first indices are the marks'
+    return _counted([code[a : max(a, b - 2)] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], _repeats(data, bounds))
 
 
 Extractor = Callable[[np.ndarray, np.ndarray, int], Rows]

@@ -11,7 +11,8 @@ way. The prior is estimated from scores on rows that the scorer hasn't seen: the
 ratio of the shares of unlabelled and of positive texts above a threshold (Garg et al.,
 2021, best bin). Labels of bad texts are never used.
 
-The model is linear over hashed runs of three bytes. The fit runs on the driver, on at most
+The model is linear over hashed runs of three bytes and over marks for how often words
+repeat close by. The fit runs on the driver, on at most
 ``max_rows`` texts of each kind chosen by the hash of their id (a documented bound); features
 are made by Spark tasks, and scoring is one narrow pass over all texts.
 

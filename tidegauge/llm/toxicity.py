@@ -46,7 +46,7 @@ class FactorizationMachine:
         return sigmoid(self.margin(rows))
 
 
-def fit(rows: Rows, labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, steps: int = 400, rate: float = 0.3, l2: float = 1e-6, seed: int = 7) -> FactorizationMachine:
+def fit(rows: Rows, labels: np.ndarray, bits: int = BITS, factors: int = FACTORS, steps: int = 900, rate: float = 0.4, l2: float = 1e-6, seed: int = 7) -> FactorizationMachine:
     """Logistic loss, minibatches of 256 rows, step sizes by the sum of squared gradients (Adagrad)."""
     rng = np.random.default_rng(seed)
     share = labels.mean() if len(labels) else 0.0
