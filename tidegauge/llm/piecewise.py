@@ -43,7 +43,7 @@ ALPHA = 0.5
 SEED = 20240501
 SPACE = 0x20
 BLANK = "▁"
-_PIECE_BYTES = 6 << 20
+_PIECE_BYTES = 1 << 20
 _SLOT_BITS = 21
 _SLOT = np.uint64((1 << _SLOT_BITS) - 1)
 _SHIFTS = (np.uint64(43), np.uint64(20))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import ledger, licenses, piecewise, quality, toxicity, warc
+from tidegauge.llm import decontam, ledger, licenses, piecewise, quality, toxicity, warc
 
 QUERIES = {
     "op2_factorization_machine": toxicity.op2_factorization_machine,
     "op3_content_addressed_warc": warc.op3_content_addressed_warc,
     "op4_piece_sampling": piecewise.op4_piece_sampling,
+    "op5_positional_index": decontam.op5_positional_index,
     "op6_blob_ledger": ledger.op6_blob_ledger,
     "op9_positive_unlabelled": quality.op9_positive_unlabelled,
     "op10_license_templates": licenses.op10_license_templates,
@@ -15,4 +16,5 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op3_content_addressed_warc": warc.OP3_SQL,
+    "op5_positional_index": decontam.OP5_SQL,
 }
