@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontam, ledger, licenses, piecewise, quality, toxicity, warc
+from tidegauge.llm import decontam, ledger, licenses, piecewise, quality, shingle_join, toxicity, warc
 
 QUERIES = {
+    "op1_adaptive_prefix_join": shingle_join.op1_adaptive_prefix_join,
     "op2_factorization_machine": toxicity.op2_factorization_machine,
     "op3_content_addressed_warc": warc.op3_content_addressed_warc,
     "op4_piece_sampling": piecewise.op4_piece_sampling,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_adaptive_prefix_join": shingle_join.OP1_SQL,
     "op3_content_addressed_warc": warc.OP3_SQL,
     "op5_positional_index": decontam.OP5_SQL,
 }
