@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontam, ledger, licenses, piecewise, quality, repeats, shingle_join, toxicity, warc
+from tidegauge.llm import decontam, forest, ledger, licenses, piecewise, quality, repeats, shingle_join, toxicity, warc
 
 QUERIES = {
     "op1_adaptive_prefix_join": shingle_join.op1_adaptive_prefix_join,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_piece_sampling": piecewise.op4_piece_sampling,
     "op5_positional_index": decontam.op5_positional_index,
     "op6_blob_ledger": ledger.op6_blob_ledger,
+    "op7_projection_forest": forest.op7_projection_forest,
     "op8_interval_expansion": repeats.op8_interval_expansion,
     "op9_positive_unlabelled": quality.op9_positive_unlabelled,
     "op10_license_templates": licenses.op10_license_templates,
