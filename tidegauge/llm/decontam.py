@@ -50,8 +50,13 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
+def version_of(text: Column) -> Column:
+    """A hash that tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("version"), F.col(text).alias("text"))
+    return docs.select(F.col(key).alias("doc"), version_of(F.col(text)).alias("version"), F.col(text).alias("text"))
 
 
 def _tokens(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -171,6 +176,14 @@ def contamination(
     )
 
 
+def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` without the contaminated ones."""
+    found = contamination(documents, benchmark, window, key, text).where("contaminated")
+    found = found.select(F.col("doc").alias("__doc"), F.col("version").alias("__version")).distinct()
+    same = (F.col(key) == F.col("__doc")) & (version_of(F.col(text)) == F.col("__version"))
+    return documents.join(small(stored(found, "contaminated")), same, "left_anti")
+
+
 def op5_positional_index(spark, sf_dir: str) -> DataFrame:
     found = contamination(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(

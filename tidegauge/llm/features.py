@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm.batches import ALNUM, LOWER, Rolling, arrow_map, pieces, utf8, words
 
@@ -137,18 +138,22 @@ def collected(texts: DataFrame, extract: Extractor, bits: int) -> tuple[Rows, np
     return Rows(index.flatten().to_numpy(), value.flatten().to_numpy(), first), table.column("label").to_numpy()
 
 
-def scored(texts: DataFrame, extract: Extractor, bits: int, score: Callable[[Rows], np.ndarray]) -> DataFrame:
-    """``id`` and ``score`` of every row of ``texts`` (id, text). ``score`` must pickle small or hold a broadcast."""
+def scored(rows: DataFrame, text: str, extract: Extractor, bits: int, score: Callable[[Rows], np.ndarray], to: str = "score") -> DataFrame:
+    """``rows`` and the score of ``text``, in the column ``to`` (replaced if there is one). ``score`` must pickle small or hold a broadcast."""
+    columns = [c for c in rows.columns if c != to]
+    names = [f"c{i}" for i in range(len(columns))]
+    content = names[columns.index(text)]
+    inner = rows.select(*[rows[c].alias(n) for c, n in zip(columns, names, strict=True)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch):
-                rows = extract(*utf8(piece.column("text")), bits)
-                out = np.clip(score(rows), 0.0, 1.0).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(out)], names=["id", "score"])
+            for piece in pieces(batch, content):
+                made = np.clip(score(extract(*utf8(piece.column(content)), bits)), 0.0, 1.0).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], pa.array(made)], names=[*names, "made"])
 
-    kind = texts.schema["id"].dataType.simpleString()
-    return arrow_map(texts.select("id", "text"), task, f"id {kind}, score double")
+    schema = T.StructType([T.StructField(n, inner.schema[n].dataType) for n in names] + [T.StructField("made", T.DoubleType())])
+    out = arrow_map(inner, task, schema)
+    return out.select(*[F.col(n).alias(c) for n, c in zip(names, columns, strict=True)], F.col("made").alias(to))
 
 
 def held_out(key: str) -> Column:

@@ -23,11 +23,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidegauge.llm.batches import arrow_map
+from tidegauge.llm.decontam import small
 from tidegauge.session import scratch
 
 SPAN = "struct<kind:string,start:int,end:int>"
@@ -124,60 +125,63 @@ def scan_new(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
     found.dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
 
 
+def _versions(history: DataFrame, path: str, content: str) -> DataFrame:
+    text = F.coalesce(F.col(content), F.lit(""))
+    return history.select(F.col(path).alias("path"), blob_of(F.col(content)).alias("blob"), text.alias("content"))
+
+
+def blob_of(content: Column) -> Column:
+    """The address of a content: the SHA-256 of its bytes."""
+    return F.unhex(F.sha2(F.coalesce(content, F.lit("")), 256))
+
+
+def findings(spark, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob`` and ``spans`` of the blobs in which ``rules``, in these versions, found something.
+
+    Spans hold kind, start and end (code points, end exclusive), by start, then in the order of ``rules``.
+    """
+    kinds = {r.kind: i for i, r in enumerate(rules)}
+    names = F.array(*[F.lit(r.name) for r in rules])
+    order = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+    # A row's spans are those of its rule versions; only wanted versions count.
+    wanted = F.transform(F.array_intersect("rules", names), lambda name: F.substring_index(name, "@", 1))
+    own = F.filter("spans", lambda s: F.array_contains(wanted, s["kind"]))
+    rows = read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", own.alias("spans")).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    sortable = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
+    ordered = F.transform(F.array_sort(sortable), lambda s: F.struct(s["kind"], s["start"], s["end"]))
+    return rows.where(F.size("spans") > 0).select("blob", ordered.alias("spans"))
+
+
 def scan_history(
     history: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path: str = "path", content: str = "content"
 ) -> DataFrame:
-    """``path``, ``blob`` (binary) and ``spans`` of each row, after scanning what was new.
-
-    Spans hold the kind, start and end (code points, end exclusive) of the findings of the
-    wanted rules, by start, then in the order of ``rules``.
-    """
-    text = F.coalesce(F.col(content), F.lit(""))
-    versions = history.select(F.col(path).alias("path"), F.unhex(F.sha2(text, 256)).alias("blob"), text.alias("content"))
+    """``path``, ``blob`` (binary) and ``spans`` (see `findings`) of each row, after scanning what was new."""
+    versions = _versions(history, path, content)
     scan_new(versions, ledger, rules)
-    order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
-    # A finding of an older version of a rule must not count for the new one.
-    current = F.arrays_overlap("rules", F.array(*[F.lit(r.name) for r in rules]))
-    findings = (
-        read_ledger(history.sparkSession, ledger)
-        .where(current & (F.size("spans") > 0))
-        .groupBy("blob")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    )
-    sortable = F.transform(
-        F.filter("spans", lambda s: F.array_contains(kinds, s["kind"])),
-        lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")),
-    )
-    ordered = F.transform(F.array_sort(sortable), lambda s: F.struct(s["kind"], s["start"], s["end"]))
-    return (
-        versions.select("path", "blob")
-        .join(findings.select("blob", ordered.alias("spans")), "blob", "left")
-        .select("path", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
-    )
+    found = versions.select("path", "blob").join(findings(history.sparkSession, ledger, rules), "blob", "left")
+    return found.select("path", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
-def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with the found spans of ``text`` replaced by ``mark``; ``found``: key, spans; key unique in it."""
-    merged = F.aggregate(
+def redacted(history: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES, path: str = "path", content: str = "content", mark: str = "[secret]") -> DataFrame:
+    """``history`` with every span that was found in ``content`` replaced by ``mark``; spans that overlap make one."""
+    scan_new(_versions(history, path, content), ledger, rules)
+    found = small(findings(history.sparkSession, ledger, rules)).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    text = F.col(content)
+    cut = F.aggregate(
         "__spans",
         F.struct(F.lit("").alias("text"), F.lit(0).alias("at")),
-        lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(
-            F.struct(
-                F.concat(
-                    acc["text"],
-                    F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
-                    F.when(s["start"] >= acc["at"], F.lit(mark)).otherwise(F.lit("")),
-                ).alias("text"),
-                s["end"].alias("at"),
-            )
+        lambda done, s: F.struct(
+            F.concat(
+                done["text"],
+                F.when(s["start"] >= done["at"], F.concat(text.substr(done["at"] + 1, s["start"] - done["at"]), F.lit(mark))).otherwise(F.lit("")),
+            ).alias("text"),
+            F.greatest(done["at"], s["end"]).alias("at"),
         ),
-        lambda acc: F.concat(acc["text"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))),
+        lambda done: F.concat(done["text"], text.substr(done["at"] + 1, F.length(text))),
     )
-    spans = found.where(F.size("spans") > 0).select(F.col(key).alias("__key"), F.col("spans").alias("__spans"))
-    joined = docs.join(spans, docs[key] == F.col("__key"), "left")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(merged)
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    joined = history.join(found, blob_of(text) == F.col("__blob"), "left")
+    clean = F.when(F.col("__spans").isNull(), text).otherwise(cut)
+    return joined.select(*[clean.alias(c) if c == content else F.col(c) for c in history.columns])
 
 
 def _joined(spans, kinds=None):

@@ -133,19 +133,18 @@ def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, ke
     return fit(rows.take(np.flatnonzero(marks == 1)), rows.take(np.flatnonzero(marks == 0)))
 
 
-def score_quality(documents: DataFrame, model: LinearModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id`` and ``score`` (0 to 1) of every row of ``documents``."""
+def score_quality(documents: DataFrame, model: LinearModel, text: str = "text", to: str = "score") -> DataFrame:
+    """``documents`` and the score (0 to 1) of every row, in the column ``to``."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return scored(texts, byte_trigrams, BITS, lambda rows: shared.value.score(rows))
+    return scored(documents, text, byte_trigrams, BITS, lambda rows: shared.value.score(rows), to)
 
 
 def op9_positive_unlabelled(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit_on(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_quality(documents, model).select(
-        F.col("id").alias("doc_id"),
-        held_out("id").alias("held_out"),
+    return score_quality(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )

@@ -96,19 +96,18 @@ def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, ke
     return fit(rows, marks.astype(np.float64))
 
 
-def score_toxicity(documents: DataFrame, model: FactorizationMachine, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id`` and ``score`` (0 to 1) of every row of ``documents``."""
+def score_toxicity(documents: DataFrame, model: FactorizationMachine, text: str = "text", to: str = "score") -> DataFrame:
+    """``documents`` and the score (0 to 1) of every row, in the column ``to``."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    return scored(texts, hashed_terms, BITS, lambda rows: shared.value.score(rows))
+    return scored(documents, text, hashed_terms, BITS, lambda rows: shared.value.score(rows), to)
 
 
 def op2_factorization_machine(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit_on(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(documents, model).select(
-        F.col("id").alias("doc_id"),
-        held_out("id").alias("held_out"),
+    return score_toxicity(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
