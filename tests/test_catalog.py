@@ -32,6 +32,14 @@ def test_catalog_columns_are_taken_by_position(spark, tmp_path):
     assert rows(catalogs.read_catalog(spark, str(tmp_path / "c.csv"))) == [("WPU1", "One, two")]
 
 
+def test_csv_keeps_every_text(spark, tmp_path):
+    names = ['Lumber 2" x 4", cut', " blanks ", "", None, "line\nbreak, \r\n too", "back\\slash\\", '"', "ends with \\", "é,;\t'"]
+    entries = spark.createDataFrame([(f"s{i}", n, "x") for i, n in enumerate(names)], PAIR + ", more string")
+    for _ in range(2):
+        catalogs.write_csv(entries, str(tmp_path / "c"))
+    assert rows(catalogs.read_catalog(spark, str(tmp_path / "c"))) == [(f"s{i}", n) for i, n in enumerate(names)]
+
+
 def test_validity_counts_are_taken_after_the_update(spark):
     listed = spark.createDataFrame([("1", "a", "industry"), ("2", "b", "industry"), ("3", "c", "industry")], TYPED)
     results = spark.createDataFrame([("1", True), ("2", False)], "series_id string, ok boolean")

@@ -71,6 +71,23 @@ def test_last_document_of_a_series_wins(spark, tmp_path):
     assert values(newest) == [("A", "M01", "2")]
 
 
+def test_versions_in_one_file_leave_one_document(spark, tmp_path):
+    first, second = ({"seriesID": "A", "delivered": d, "data": [point(value=v)]} for d, v in (("2024-02", "2"), ("2024-01", "1")))
+    tie = [{"seriesID": "T", "data": [point(value=v)]} for v in "345"]
+    write(str(tmp_path), "a.json", "\n".join(json.dumps(d) for d in (first, second, first, *tie)))
+    newest = documents.latest_per_series(documents.read_series_documents(spark, str(tmp_path), lines=True))
+    assert values(newest)[0] == ("A", "M01", "2") and newest.count() == 2
+
+
+def test_documents_of_one_file_are_judged_apart(spark, tmp_path):
+    line = {"seriesID": "A", "data": [point(), point(period="M02")]}
+    write(str(tmp_path), "a.json", "\n".join(json.dumps(line) for _ in range(2)))
+    inspected = quality_raw.inspect_documents(documents.read_json_text(spark, str(tmp_path), lines=True))
+    points = quality_raw.document_points(inspected)
+    assert quality_raw.duplicate_points(points).count() == 0 and points.count() == 4
+    assert [r.is_valid for r in quality_raw.judge_documents(inspected).collect()] == [True, True]
+
+
 def test_points_become_observations_or_go_to_quarantine(spark, tmp_path):
     points = [
         point(),
@@ -112,7 +129,10 @@ def inspect(spark, folder):
 
 def test_document_rules(spark, tmp_path):
     folder = str(tmp_path)
-    write(folder, "no_id.json", {"data": [point()]})
+    write(folder, "from_file_name.json", {"data": [point()]})
+    write(folder, "nothing.json", {"status": "ok"})
+    write(folder, "all.json", {"D": {"series_type": "industry", "data": {"seriesID": "D", "data": [point(period="M1")]}}})
+    write(folder, "b.json", {"series_id": "B", "data": [point()]})
     write(folder, "no_data.json", {"seriesID": "N"})
     write(folder, "not_list.json", {"seriesID": "L", "data": "[text]"})
     write(folder, "empty.json", {"seriesID": "E", "data": []})
@@ -122,13 +142,13 @@ def test_document_rules(spark, tmp_path):
     found = sorted((r.document, r.rule) for r in quality_raw.document_violations(inspected).collect())
     want = [
         ("E", "no_values"), ("L", "data_not_list"), ("N", "missing_data"),
-        ("broken.json", "invalid_json"), ("no_id.json", "missing_series_id"),
+        ("broken.json", "invalid_json"), ("nothing.json", "missing_data"), ("nothing.json", "missing_series_id"),
     ]
     assert found == want
     judged = quality_raw.judge_documents(inspected)
     assert sorted((r.document, r.rule) for r in quality_raw.findings(judged).collect()) == want
     summary = quality_raw.report_summary(judged).collect()[0]
-    assert (summary.total_files, summary.valid_files, summary.success_rate) == (6, 1, "16.67%")
+    assert (summary.total_files, summary.valid_files, summary.success_rate) == (9, 4, "44.44%")
 
 
 def test_point_rules_are_judged_one_by_one(spark, tmp_path):

@@ -6,7 +6,7 @@ import json
 from tidegauge.plans import flow, stages
 from tidegauge.schemas import STAGES
 
-FIRST, SECOND = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+ZEROTH, FIRST, SECOND = dt.datetime(2023, 12, 1), dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 MEMBERS = [s for group in STAGES.values() for s in group]
 
 
@@ -15,7 +15,10 @@ def point(year, period, value):
 
 
 def series(base, months=26):
-    points = [point(2022 + i // 12, f"M{i % 12 + 1:02d}", base + i) for i in range(months)]
+    return [point(2022 + i // 12, f"M{i % 12 + 1:02d}", base + i) for i in range(months)]
+
+
+def with_years(points, base):
     return points + [point(2022, "M13", base + 5.5), point(2023, "M13", base + 99)]
 
 
@@ -34,24 +37,38 @@ def test_from_catalogs_to_reports(spark, tmp_path):
     for name, entries in listed.items():
         (tmp_path / "bronze" / name).write_text("id,title\n" + "".join(f"{a},{b}\n" for a, b in entries))
 
-    flow.build_catalog(spark, bronze)
+    for _ in range(2):  # every step can be run again
+        flow.build_catalog(spark, bronze)
     known = spark.createDataFrame([(s, True) for s in MEMBERS + ["WPU01"]], "series_id string, ok boolean")
-    flow.validate_catalog(spark, bronze, known)
-    requests = flow.next_requests(spark, bronze, used=[499], has_ledger=False)
+    for _ in range(2):
+        flow.validate_catalog(spark, bronze, known)
+    requests = flow.next_requests(spark, bronze, used=[499])
     assert sorted(rows(requests, "series_type", "batch"))[0] == ("aggregated", 1) and requests.count() == 20
 
     point_type = "array<struct<year:string,period:string,periodName:string,value:string,footnotes:string>>"
     received = spark.createDataFrame(
-        [(s, "aggregated", json.dumps(series(100.0 + 10 * i))) for i, s in enumerate(MEMBERS)]
-        + [("WPU01", "commodity", json.dumps(series(50.0) + [point(2022, "Q01", 1), point(2022, "M01", "x")]))],
+        [(s, "aggregated", json.dumps(series(100.0 + 10 * i) if i < 2 else with_years(series(100.0 + 10 * i), 100.0 + 10 * i))) for i, s in enumerate(MEMBERS)]
+        + [("WPU01", "commodity", json.dumps(with_years(series(50.0), 50.0) + [point(2022, "Q01", 1), point(2022, "M01", "x")]))],
         "series_id string, series_type string, data string",
     ).selectExpr("series_id", "series_type", f"from_json(data, '{point_type}') AS points")
     everything = spark.read.csv(f"{bronze}/{flow.VALIDATED}", header=True).drop("is_valid")
-    flow.record_answer(everything, received, bronze)
+    refused = spark.createDataFrame([("PCU1", "industry")], "series_id string, series_type string")
+    flow.record_failure(refused, "daily quota reached", bronze, ZEROTH)
+    for _ in range(2):
+        flow.record_answer(everything.where("series_id <> 'PCU1'"), received, bronze, FIRST)
+    entries = flow.ledgers.read_ledger(spark, f"{bronze}/{flow.LEDGER}")
+    assert sorted(rows(entries.where("error IS NOT NULL"), "series_id", "error")) == [
+        ("PCU1", "daily quota reached"), ("PCU2", "Series not found in API response"),
+    ]
     assert flow.next_requests(spark, bronze, used=[0]).count() == 0
 
-    summary = flow.check_bronze(spark, bronze, FIRST).collect()[0]
-    assert (summary.total_files, summary.valid_files) == (21, 0)  # annual rows are no M01 to M12
+    for _ in range(2):
+        summary = flow.check_bronze(spark, bronze, FIRST).collect()[0]
+        # All but two series have annual rows, which are no month.
+        assert (summary.total_files, summary.valid_files) == (21, 2)
+    report = spark.read.json(f"{bronze}/{flow.REPORT}/details")
+    assert {r.rule for r in report.collect()} == {"bad_period", "bad_value", "duplicate_point"}
+    assert spark.read.json(f"{bronze}/{flow.REPORT}/stats").count() == 21
 
     flow.build_silver(spark, bronze, silver, FIRST)
     flow.build_gold(spark, silver, gold, FIRST)
@@ -59,7 +76,7 @@ def test_from_catalogs_to_reports(spark, tmp_path):
         "series_id", "series_type", "transform(points, p -> named_struct('year', p.year, 'period', p.period, "
         "'periodName', p.periodName, 'value', string(2 * double(p.value)), 'footnotes', p.footnotes)) AS points",
     )
-    flow.record_answer(again.select("series_id", "series_type"), again, bronze)
+    flow.record_answer(again.select("series_id", "series_type"), again, bronze, SECOND)
     for _ in range(2):  # a re-run changes nothing
         flow.build_silver(spark, bronze, silver, SECOND)
         flow.build_gold(spark, silver, gold, SECOND)
@@ -67,10 +84,10 @@ def test_from_catalogs_to_reports(spark, tmp_path):
     opened = flow.open_gold(spark, gold)
     checks = flow.check_gold(opened)
     assert dict(rows(checks["row_counts"], "table_name", "row_count")) == {
-        "economic_indicators_metadata": 23, "economic_indicators_values": 21 * 28,
+        "economic_indicators_metadata": 23, "economic_indicators_values": 21 * 26 + 19 * 2,
         "economic_indicators_monthly": 21 * 26, "economic_indicators_changes": 21 * 26,
     }
-    assert rows(checks["annual_summary"], "total_comparisons", "mismatches") == [(42, 21)]
+    assert rows(checks["annual_summary"], "total_comparisons", "mismatches") == [(38, 19)]
     assert rows(checks["latest_like"], "indicator_name")[0] == ("PPI manufacturing",)
     assert rows(checks["duplicate_keys"], "check_name") == [("values_series_date",)] * 5
     assert all(check.columns for check in checks.values())

@@ -42,6 +42,21 @@ def test_pairs_are_the_top_of_all_pairs(spark, seed):
     assert [(r.series1, r.series2) for r in got] == [w[:2] for w in want]
 
 
+@pytest.mark.parametrize("top", [3, 10, 60])
+def test_pairs_without_a_difference_fill_up(spark, top):
+    rng = random.Random(top)
+    rows = [(f"s{i:02d}", month(5), 1.0, None, rng.choice([None, None, None, 0.25 * i])) for i in range(30) for _ in range(rng.choice([1, 1, 2]))]
+    changes = spark.createDataFrame(rows, "series_id string, date date, value double, mom_change double, yoy_change double")
+    got = reports.cross_indicator_pairs(changes, dim_of(spark, {r[0] for r in rows}), top=top).collect()
+    pairs = [(a, b) for a, b in itertools.product(rows, rows) if a[0] < b[0]]
+
+    def apart(a, b):
+        return None if a[4] is None or b[4] is None else abs(a[4] - b[4])
+
+    pairs.sort(key=lambda p: (apart(*p) is None, -(apart(*p) or 0), p[0][0], p[1][0]))
+    assert [(r.series1, r.series2) for r in got] == [(a[0], b[0]) for a, b in pairs[:top]]
+
+
 def test_stage_pressure_weighs_copies_like_a_join(spark):
     rng = random.Random(5)
     members = [s for group in STAGES.values() for s in group]

@@ -88,6 +88,33 @@ def test_snapshot_written_last_wins(spark, tmp_path):
     assert snapshots.newest_snapshot(spark, root).count() == 24
 
 
+def test_an_empty_run_is_the_newest(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    silver = spark.createDataFrame([], snapshots.SILVER)
+    one = spark.sql("SELECT 'a' series_id, 2000 year, 1 quarter, 1D value, '[]' footnotes, false is_annual_avg, date'2000-01-01' date, timestamp'2024-01-01' extraction_timestamp")
+    snapshots.write_snapshot(one, root, "1")
+    snapshots.write_snapshot(silver, root, "2")
+    assert snapshots.newest_snapshot(spark, root).count() == 0
+    (tmp_path / "silver" / "snapshot=3").mkdir()  # a run under way
+    assert snapshots.finished_runs(spark, root, "snapshot") == ["1", "2"]
+    with pytest.raises(ValueError):
+        snapshots.newest_snapshot(spark, str(tmp_path / "none"))
+
+
+def test_a_published_run_is_the_whole_state(spark, tmp_path):
+    gold = str(tmp_path / "gold")
+    dim = spark.createDataFrame([("a", "a", "a", "BLS")], DIM)
+    for stamp, months in (("1", range(36)), ("2", range(12)), ("2", range(12))):
+        tables.publish({"values": fact_of(spark, months), "dim": dim}, gold, stamp)
+    assert tables.published(spark, gold, "values").count() == 24
+    tables.register(spark, "published_test", gold, ["values", "dim"])
+    assert spark.table("published_test.values").where("year = 2000").count() == 24
+    tables.publish({"values": fact_of(spark, range(6)), "dim": dim}, gold, "3")
+    tables.register(spark, "published_test", gold, ["values"])
+    assert spark.table("published_test.values").count() == 12
+    spark.sql("DROP DATABASE published_test CASCADE")
+
+
 def test_scratch_folders_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     one, two = scratch(spark, "x"), scratch(spark, "x")

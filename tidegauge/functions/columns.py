@@ -6,7 +6,6 @@ from tidegauge.schemas import ANNUAL_PERIOD, MISSING_VALUE, SOURCE
 
 # Fixed formats.
 NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-MONTH_PERIOD = r"^M(0[1-9]|1[0-2])$"
 
 
 def surrogate_id(raw_series_id: Column, source: str = SOURCE) -> Column:

@@ -76,6 +76,12 @@ def missing_series(requested: DataFrame, received: DataFrame) -> DataFrame:
     )
 
 
+def failed_request(requested: DataFrame, reason: str) -> DataFrame:
+    """Ledger rows of a request that failed as a whole: quota used up, empty answer, an exception's message."""
+    error = F.lit(reason).alias("error")
+    return requested.select("series_id", F.lit("error").alias("status"), error, "series_type")
+
+
 def ledger_of_answer(requested: DataFrame, received: DataFrame) -> DataFrame:
     """Ledger rows of an answered request: success where received, error elsewhere."""
     found = requested.join(received.select("series_id").distinct(), "series_id", "left_semi").select(

@@ -75,11 +75,23 @@ def view_profile(views: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def gold_keys(dim: DataFrame, fact: DataFrame, monthly: DataFrame, changes: DataFrame) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The keys that must be unique, by the name of their check."""
+    key = ["series_id", "date"]
+    return {
+        "metadata_raw_series_id": (dim, ["raw_series_id"]),
+        "values_series_date": (fact, key),
+        "monthly_series_date": (monthly, key),
+        "changes_series_date": (changes, key),
+    }
+
+
 def duplicate_keys(tables: dict[str, tuple[DataFrame, list[str]]], top: int = 5) -> DataFrame:
     """The ``top`` most repeated keys of each table, given as check name: (table, key columns)."""
     result = None
     for name, (table, keys) in tables.items():
-        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        # A missing part shows as such: (a, missing) and (missing, a) are different keys.
+        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
         groups = table.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
         most = (
             groups.select(F.lit(name).alias("check_name"), key.alias("key"), "n_rows")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidegauge.functions import columns as c
 from tidegauge.operators.silver import explode_list
 from tidegauge.schemas import POINT
+from tidegauge.sources import documents
 
 REQUIRED = {
     "year": "missing_year",
@@ -20,29 +21,35 @@ _POINTS = f"array<{POINT.simpleString()}>"
 
 
 def inspect_documents(text: DataFrame) -> DataFrame:
-    """(file, document, problem, points) of JSON texts; ``problem`` if it has no usable points."""
-    doc = F.from_json("json", "seriesID string, data variant")
-    is_list = F.schema_of_variant("doc.data").startswith("ARRAY<")
-    readable = F.try_parse_json("json").isNotNull()
-    return text.withColumn("doc", doc).select(
+    """(file, part, document, problems, points) of JSON texts, whatever their shape.
+
+    The reader's own parser tells the documents, so what can be read is judged
+    by its points. A document without id is called by its file; ``file``,
+    ``part`` and ``document`` together name one document.
+    """
+    shaped = documents.shape_documents(text)
+    readable, missing = F.col("readable"), F.col("data").isNull()
+    return shaped.select(
         "file",
-        F.coalesce("doc.seriesID", "file").alias("document"),
+        "part",
+        F.coalesce("series_id", "file").alias("document"),
         F.filter(
             F.array(
                 F.when(~readable, "invalid_json"),
-                F.when(readable & F.col("doc.seriesID").isNull(), "missing_series_id"),
-                F.when(readable & F.col("doc.data").isNull(), "missing_data"),
-                F.when(F.col("doc.data").isNotNull() & ~is_list, "data_not_list"),
+                F.when(readable & F.col("series_id").isNull(), "missing_series_id"),
+                F.when(readable & missing, "missing_data"),
+                F.when(~missing & ~F.col("is_list"), "data_not_list"),
             ),
             lambda rule: rule.isNotNull(),
         ).alias("problems"),
-        F.when(is_list, F.from_json(F.to_json("doc.data"), _POINTS)).alias("points"),
+        F.when(F.col("is_list"), F.from_json("data", _POINTS)).alias("points"),
     )
 
 
 def document_points(inspected: DataFrame) -> DataFrame:
-    exploded = explode_list(inspected, "document", "points", "position", "point")
-    return exploded.select("document", "position", "point.*")
+    keyed = inspected.withColumn("key", F.struct("file", "part", "document"))
+    exploded = explode_list(keyed, "key", "points", "position", "point")
+    return exploded.select("key.*", "position", "point.*")
 
 
 def _violations(points: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -65,21 +72,60 @@ def structure_violations(points: DataFrame) -> DataFrame:
 
 
 def type_violations(points: DataFrame) -> DataFrame:
-    """Fields that are there but cannot be read: year, value, period M01 to M12."""
+    """Fields that are there but cannot be read: year, value, period of month 1 to 12."""
     return _violations(
         points,
         {
             "bad_year": F.col("year").isNotNull() & c.integer(F.col("year")).isNull(),
             "bad_value": F.col("value").isNotNull() & c.number(F.col("value")).isNull(),
-            "bad_period": ~F.col("period").rlike(c.MONTH_PERIOD),
+            "bad_period": F.col("period").isNotNull() & c.period_month(F.col("period")).isNull(),
         },
     )
 
 
 def duplicate_points(points: DataFrame) -> DataFrame:
     """Periods that a document lists more than once."""
-    counts = points.groupBy("document", "year", "period").agg(F.count("*").alias("n_points"))
-    return counts.where(F.col("n_points") > 1)
+    counts = points.groupBy("file", "part", "document", "year", "period").agg(F.count("*").alias("n_points"))
+    return counts.where(F.col("n_points") > 1).select("document", "year", "period", "n_points")
+
+
+def document_observations(points: DataFrame) -> DataFrame:
+    """(document key, date, value, the value's text) of the points that have a month."""
+    date = c.period_date(c.integer(F.col("year")), F.col("period"))
+    key = F.struct("file", "part", "document").alias("key")
+    value = c.number(F.col("value"))
+    return points.select(key, date.alias("date"), value.alias("value"), F.col("value").alias("text")).where("date IS NOT NULL")
+
+
+def details(inspected: DataFrame) -> DataFrame:
+    """Where the rules are broken: document, rule, position, month and text of every finding.
+
+    A gap has the month before it and how many months lack; a repeated point how often it is there.
+    """
+    points = document_points(inspected)
+    observed = document_observations(points)
+    broken = structure_violations(points).unionByName(type_violations(points))
+    placed = broken.select("document", "rule", "position", F.lit(None).cast("date").alias("month"), F.lit(None).cast("string").alias("detail"))
+
+    def found(rows: DataFrame, rule: str, month: Column, detail: Column) -> DataFrame:
+        position = F.lit(None).cast("int").alias("position")
+        return rows.select("document", F.lit(rule).alias("rule"), position, month.alias("month"), detail.cast("string").alias("detail"))
+
+    gaps = month_gaps(observed, "key").select("key.document", "from_month", "missing_months")
+    far = outliers(observed, "key").select("key.document", "date", "text")
+    repeated = duplicate_points(points)
+    at = c.period_date(c.integer(F.col("year")), F.col("period"))
+    return (
+        placed.unionByName(found(gaps, "gap", F.col("from_month"), F.col("missing_months")))
+        .unionByName(found(far, "outlier", F.col("date"), F.col("text")))
+        .unionByName(found(repeated, "duplicate_point", at, F.col("n_points")))
+    )
+
+
+def document_stats(inspected: DataFrame) -> DataFrame:
+    """Range, mean, count and deviation of the values of each document."""
+    stats = series_stats(document_observations(document_points(inspected)), "key")
+    return stats.select("key.document", *[c for c in stats.columns if c != "key"])
 
 
 def month_gaps(observations: DataFrame, key: str = "series_id") -> DataFrame:
@@ -155,7 +201,7 @@ def judge_documents(inspected: DataFrame) -> DataFrame:
         ),
         lambda o: o["date"].isNotNull(),
     )
-    prepared = inspected.select("file", "document", "problems", points.alias("points"), dated.alias("dated"))
+    prepared = inspected.select("file", "part", "document", "problems", points.alias("points"), dated.alias("dated"))
 
     def having(rule) -> Column:
         return F.size(F.filter("points", rule))
@@ -163,14 +209,14 @@ def judge_documents(inspected: DataFrame) -> DataFrame:
     def lacking(field: str) -> Column:
         return having(lambda p: p[field].isNull())
 
-    keys = F.transform("points", lambda p: F.concat_ws("|", p["year"], p["period"]))
+    keys = F.transform("points", lambda p: F.struct(p["year"], p["period"]))
     months = F.sort_array(F.array_distinct(F.transform("dated", lambda o: c.month_index(o["date"]))))
     values = F.filter(F.transform("dated", lambda o: o["value"]), lambda v: v.isNotNull())
     counts = {
         **{rule: lacking(field) for field, rule in REQUIRED.items()},
         "bad_year": having(lambda p: p["year"].isNotNull() & c.integer(p["year"]).isNull()),
         "bad_value": having(lambda p: p["value"].isNotNull() & c.number(p["value"]).isNull()),
-        "bad_period": having(lambda p: ~p["period"].rlike(c.MONTH_PERIOD)),
+        "bad_period": having(lambda p: p["period"].isNotNull() & c.period_month(p["period"]).isNull()),
         "duplicate_point": F.size(keys) - F.size(F.array_distinct(keys)),
         "gap": F.size(F.filter(_differences(months), lambda step: step > 1)),
         "outlier": _n_outliers(values),
@@ -179,7 +225,7 @@ def judge_documents(inspected: DataFrame) -> DataFrame:
     of_points = F.create_map(*[part for rule, n in counts.items() for part in (F.lit(rule), n)])
     of_document = F.map_from_entries(F.transform("problems", lambda rule: F.struct(rule, F.lit(1))))
     violations = F.map_filter(F.map_concat(of_points, of_document), lambda rule, n: n > 0)
-    return prepared.select("file", "document", violations.alias("violations")).withColumn(
+    return prepared.select("file", "part", "document", violations.alias("violations")).withColumn(
         "is_valid", F.size("violations") == 0
     )
 

@@ -43,29 +43,45 @@ def validate_catalog(spark: SparkSession, bronze: str, results: DataFrame) -> No
     catalogs.write_csv(catalog.apply_validation(combined, results), f"{bronze}/{VALIDATED}")
 
 
-def next_requests(spark: SparkSession, bronze: str, used: list[int], has_ledger: bool = True) -> DataFrame:
+def next_requests(spark: SparkSession, bronze: str, used: list[int]) -> DataFrame:
     """The requests that may still run today, for series without a ledger entry."""
-    pending = catalogs.read_validated(spark, f"{bronze}/{VALIDATED}")
-    if has_ledger:
-        pending = catalog.pending_series(pending, ledgers.read_ledger(spark, f"{bronze}/{LEDGER}"))
+    validated = catalogs.read_validated(spark, f"{bronze}/{VALIDATED}")
+    pending = catalog.pending_series(validated, ledgers.read_ledger(spark, f"{bronze}/{LEDGER}"))
     batches = catalog.request_batches(pending)
     return catalog.batches_within_budget(batches, remaining=catalog.remaining_requests(used))
 
 
-def record_answer(requested: DataFrame, received: DataFrame, bronze: str) -> None:
+def _stamp(at: dt.datetime) -> str:
+    return at.strftime("%Y%m%d_%H%M%S_%f")
+
+
+def record_answer(requested: DataFrame, received: DataFrame, bronze: str, at: dt.datetime) -> None:
     """Keep the documents (series_id, series_type, points) of an answer and enter them in the ledger.
 
-    Documents are added; where a series has several, readers take the last.
+    The time names the request: recording it again replaces what it left, so a
+    step that broke off in between can be run again. Of several documents of a
+    series, readers take the one delivered last.
     """
-    documents.write_consolidated(received, f"{bronze}/{DOCUMENTS}", mode="append")
-    ledgers.append_ledger(catalog.ledger_of_answer(requested, received), f"{bronze}/{LEDGER}")
+    delivered = received.withColumn("delivered", F.lit(_stamp(at)))
+    documents.write_consolidated(delivered, f"{bronze}/{DOCUMENTS}/request={_stamp(at)}", mode="overwrite")
+    ledgers.write_ledger(catalog.ledger_of_answer(requested, received), f"{bronze}/{LEDGER}", _stamp(at))
+
+
+def record_failure(requested: DataFrame, reason: str, bronze: str, at: dt.datetime) -> None:
+    """Enter a request without an answer in the ledger, with its reason."""
+    ledgers.write_ledger(catalog.failed_request(requested, reason), f"{bronze}/{LEDGER}", _stamp(at))
 
 
 def check_bronze(spark: SparkSession, bronze: str, run_at: dt.datetime, lines: bool = True) -> DataFrame:
-    """Judge the raw documents, write the report and return its summary."""
+    """Judge the raw documents, write the report (judgements, places, statistics, summary) and return its summary."""
     text = documents.read_json_text(spark, f"{bronze}/{DOCUMENTS}", lines)
-    judged = quality_raw.judge_documents(quality_raw.inspect_documents(text))
+    staged = f"{bronze}/{REPORT}/inspected"
+    quality_raw.inspect_documents(text).write.mode("overwrite").parquet(staged)
+    inspected = spark.read.parquet(staged)
+    judged = quality_raw.judge_documents(inspected)
     catalogs.write_report(judged, f"{bronze}/{REPORT}/documents")
+    catalogs.write_report(quality_raw.details(inspected), f"{bronze}/{REPORT}/details")
+    catalogs.write_report(quality_raw.document_stats(inspected), f"{bronze}/{REPORT}/stats")
     stored = spark.read.schema(judged.schema).json(f"{bronze}/{REPORT}/documents")
     summary = quality_raw.report_summary(stored).withColumn("timestamp", F.lit(run_at))
     catalogs.write_report(summary, f"{bronze}/{REPORT}/summary")
@@ -79,14 +95,14 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, run_at: dt.datet
     """Validated catalog and raw documents to metadata, observations and quarantine."""
     validated = catalogs.read_validated(spark, f"{bronze}/{VALIDATED}")
     snapshots.write_metadata(observed.series_metadata(validated, F.lit(run_at)), f"{silver}/{METADATA}")
-    docs = documents.read_series_documents(spark, f"{bronze}/{DOCUMENTS}", lines)
-    if docs.isEmpty():
-        raise ValueError(f"no series documents in {bronze}/{DOCUMENTS}")
     stamp = run_at.strftime("%Y%m%d_%H%M%S")
-    # The points are stored, so that the texts are not parsed once per output.
+    # The documents are stored, so that the texts are parsed once and not once per use.
     staged = f"{silver}/{POINTS}/snapshot={stamp}"
-    observed.explode_points(documents.latest_per_series(docs)).write.mode("overwrite").parquet(staged)
-    points = spark.read.parquet(staged)
+    documents.read_series_documents(spark, f"{bronze}/{DOCUMENTS}", lines).write.mode("overwrite").parquet(staged)
+    docs = spark.read.parquet(staged)
+    if docs.isEmpty():
+        raise ValueError(f"no series documents in {bronze}/{DOCUMENTS}")
+    points = observed.explode_points(documents.latest_per_series(docs))
     records = observed.standardize(points, F.lit(run_at))
     snapshots.write_snapshot(observed.clean(records), f"{silver}/{OBSERVATIONS}", stamp)
     observed.quarantine_points(points).write.mode("overwrite").parquet(f"{silver}/{QUARANTINE}/snapshot={stamp}")
@@ -96,20 +112,21 @@ def build_silver(spark: SparkSession, bronze: str, silver: str, run_at: dt.datet
 
 
 def build_gold(spark: SparkSession, silver: str, gold: str, run_at: dt.datetime) -> None:
-    """The newest observations to dimension, fact and views."""
-    metadata = spark.read.parquet(f"{silver}/{METADATA}")
-    tables.write_table(star.build_dimension(metadata, F.lit(run_at)), f"{gold}/{DIMENSION}")
-    dim = spark.read.parquet(f"{gold}/{DIMENSION}")
+    """The newest observations to dimension, fact and views, published as one run."""
+    staged = f"{gold}/staged"
+    metadata = snapshots.read_metadata(spark, f"{silver}/{METADATA}")
+    tables.write_table(star.build_dimension(metadata, F.lit(run_at)), f"{staged}/{DIMENSION}")
+    dim = spark.read.parquet(f"{staged}/{DIMENSION}")
     newest = snapshots.newest_snapshot(spark, f"{silver}/{OBSERVATIONS}")
-    tables.write_by_year(star.build_fact(newest, dim, F.lit(run_at)), f"{gold}/{FACT}")
-    fact = spark.read.parquet(f"{gold}/{FACT}")
-    for name, build in zip(VIEWS, (views.monthly, views.changes_by_rows, views.yearly)):
-        tables.write_by_year(build(fact, dim), f"{gold}/{name}")
+    tables.write_by_year(star.build_fact(newest, dim, F.lit(run_at)), f"{staged}/{FACT}", whole=True)
+    fact = spark.read.parquet(f"{staged}/{FACT}")
+    built = {name: build(fact, dim) for name, build in zip(VIEWS, (views.monthly, views.changes_by_rows, views.yearly))}
+    tables.publish({DIMENSION: dim, FACT: fact, **built}, gold, _stamp(run_at))
 
 
 def open_gold(spark: SparkSession, gold: str) -> dict[str, DataFrame]:
-    """The gold tables by name, also as temporary views for SQL."""
-    opened = {name: spark.read.parquet(f"{gold}/{name}") for name in [DIMENSION, FACT, *VIEWS]}
+    """The gold tables of the run published last, by name, also as temporary views for SQL."""
+    opened = {name: tables.published(spark, gold, name) for name in [DIMENSION, FACT, *VIEWS]}
     for name, table in opened.items():
         table.createOrReplaceTempView(name)
     return opened
@@ -119,7 +136,6 @@ def check_gold(opened: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Every check on the gold tables, by name."""
     dim, fact = opened[DIMENSION], opened[FACT]
     monthly, changes, _ = (opened[name] for name in VIEWS)
-    key = ["series_id", "date"]
     return {
         "row_counts": tables.row_counts({name: opened[name] for name in (DIMENSION, FACT, *VIEWS[:2])}),
         "date_coverage": quality_gold.date_coverage(fact),
@@ -127,14 +143,7 @@ def check_gold(opened: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "cardinality": quality_gold.cardinality(fact),
         "monthly_coverage": quality_gold.view_coverage(monthly),
         "changes_coverage": quality_gold.view_coverage(changes),
-        "duplicate_keys": quality_gold.duplicate_keys(
-            {
-                "metadata_raw_series_id": (dim, ["raw_series_id"]),
-                "values_series_date": (fact, key),
-                "monthly_series_date": (monthly, key),
-                "changes_series_date": (changes, key),
-            }
-        ),
+        "duplicate_keys": quality_gold.duplicate_keys(quality_gold.gold_keys(dim, fact, monthly, changes)),
         "latest_like": reports.latest_like(fact, dim, CHECK_PATTERN),
         "values_recent": reports.values_recent(fact, dim, RECENT),
         "nulls_by_series": quality_gold.nulls_by_series(fact),

@@ -133,13 +133,18 @@ batch AS (SELECT series_type, series_id, CAST((number - 1) // 50 + 1 AS bigint)
 DOCUMENT = (
     RAWPOINT
     + """,
+brand AS (SELECT DISTINCT series_id AS document, CAST(substr(series_id, 7) AS int) AS number FROM rawpoint),
+broken_document AS (
+  SELECT CASE WHEN number NOT IN (23, 25) THEN document END AS document, unnest(CASE number
+           WHEN 21 THEN ['missing_data'] WHEN 22 THEN ['data_not_list'] WHEN 23 THEN ['invalid_json']
+           WHEN 24 THEN ['no_values'] ELSE ['missing_series_id', 'missing_data'] END) AS rule
+  FROM brand WHERE number > 20),
 point AS (
-  SELECT CASE WHEN CAST(substr(series_id, 7) AS int) <= 20 THEN series_id ELSE concat(series_id, '.json') END
-           AS document,
+  SELECT series_id AS document,
          CAST(row_number() OVER (PARTITION BY series_id ORDER BY year, period, period_name NULLS FIRST, value, code)
               - 1 AS int) AS position,
          year, period, period_name, value
-  FROM rawpoint),
+  FROM rawpoint WHERE CAST(substr(series_id, 7) AS int) <= 20),
 broken_type AS (
   SELECT document, position, 'bad_value' AS rule FROM point WHERE try_cast(value AS double) IS NULL
   UNION ALL
@@ -147,20 +152,21 @@ broken_type AS (
 broken_structure AS (
   SELECT document, position, 'missing_period_name' AS rule FROM point WHERE period_name IS NULL
   UNION ALL
-  SELECT DISTINCT document, CAST(NULL AS int), 'missing_series_id' FROM point WHERE document LIKE '%.json'),
+  SELECT document, CAST(NULL AS int), rule FROM broken_document),
 repeated AS (
   SELECT document, year, period, CAST(count(*) AS bigint) AS n_points
   FROM point GROUP BY document, year, period HAVING count(*) > 1),
 dated AS (
-  SELECT document, CAST(year AS int) * 12 + CAST(substr(period, 2) AS int) AS idx, try_cast(value AS double) AS value
+  SELECT document, CAST(year AS int) * 12 + CAST(substr(period, 2) AS int) AS idx, try_cast(value AS double) AS value,
+         value AS text
   FROM point WHERE regexp_matches(period, '^M(0[1-9]|1[0-2])$')),
 gap AS (
-  SELECT document FROM (
-    SELECT document, lead(idx) OVER (PARTITION BY document ORDER BY idx) - idx AS step
+  SELECT document, make_date((idx - 1) // 12, (idx - 1) % 12 + 1, 1) AS month, step - 1 AS lacking FROM (
+    SELECT document, idx, lead(idx) OVER (PARTITION BY document ORDER BY idx) - idx AS step
     FROM (SELECT DISTINCT document, idx FROM dated)) WHERE step > 1),
 outlier AS (
-  SELECT document FROM (
-    SELECT document, value, avg(value) OVER w AS mean, stddev_pop(value) OVER w AS std
+  SELECT document, make_date((idx - 1) // 12, (idx - 1) % 12 + 1, 1) AS month, text FROM (
+    SELECT document, idx, text, value, avg(value) OVER w AS mean, stddev_pop(value) OVER w AS std
     FROM dated WINDOW w AS (PARTITION BY document)) WHERE abs(value - mean) > 3 * std),
 found AS (
   SELECT document, rule, CAST(count(*) AS bigint) AS n_violations
@@ -175,18 +181,16 @@ found AS (
 PRESSURE = """
 latest AS (SELECT max(date) AS d FROM obs),
 stage_values AS (
-  SELECT stage, m.raw_series_id, date, value
-  FROM obs v JOIN dim m ON v.series_id = m.series_id JOIN stage_map g ON m.raw_series_id = g.raw_series_id
+  SELECT stage, g.raw_series_id, date, value FROM stage_map g JOIN dim USING (raw_series_id) JOIN obs USING (series_id)
   WHERE NOT is_annual_avg),
-now AS (SELECT * FROM stage_values WHERE date = (SELECT d FROM latest)),
-month_ago AS (SELECT * FROM stage_values WHERE date = (SELECT CAST(d - INTERVAL 1 MONTH AS date) FROM latest)),
-year_ago AS (SELECT * FROM stage_values WHERE date = (SELECT CAST(d - INTERVAL 12 MONTH AS date) FROM latest)),
+at_dates AS (
+  SELECT stage, raw_series_id, max(value) FILTER (date = d) AS v0,
+         max(value) FILTER (date + INTERVAL 1 MONTH = d) AS v1, max(value) FILTER (date + INTERVAL 12 MONTH = d) AS v12
+  FROM stage_values, latest GROUP BY ALL
+  HAVING bool_or(date = d) AND bool_or(date + INTERVAL 1 MONTH = d) AND bool_or(date + INTERVAL 12 MONTH = d)),
 pressure AS (
-  SELECT c.stage, avg((c.value - y.value) / nullif(y.value, 0) * 100) AS yoy,
-         avg((c.value - p.value) / nullif(p.value, 0) * 100) AS mom
-  FROM now c JOIN month_ago p ON c.stage = p.stage AND c.raw_series_id = p.raw_series_id
-  JOIN year_ago y ON c.stage = y.stage AND c.raw_series_id = y.raw_series_id
-  GROUP BY c.stage),
+  SELECT stage, 100 * avg(v0 / nullif(v12, 0) - 1) AS yoy, 100 * avg(v0 / nullif(v1, 0) - 1) AS mom
+  FROM at_dates GROUP BY stage),
 index_of AS (SELECT stage, date, avg(value) AS index_value FROM stage_values GROUP BY stage, date),
 index_yoy AS (
   SELECT stage, date, index_value,
@@ -201,12 +205,12 @@ last_year AS (
 
 COMPARISON = """
 compared AS (
-  SELECT b.series_id, b.year, provided_annual_value, calculated_annual_value,
-         abs(provided_annual_value - calculated_annual_value) AS difference,
-         abs(provided_annual_value - calculated_annual_value) / provided_annual_value * 100 AS percent_difference
-  FROM (SELECT series_id, CAST(date_trunc('year', date) AS date) AS year, value AS provided_annual_value
-        FROM obs WHERE is_annual_avg) b
-  JOIN yearly y ON b.series_id = y.series_id AND b.year = y.date)"""
+  SELECT *, abs(provided_annual_value - calculated_annual_value) AS difference,
+         100 * abs(1 - calculated_annual_value / provided_annual_value) AS percent_difference
+  FROM (SELECT series_id, CAST(date_trunc('year', date) AS date) AS year,
+               max(value) FILTER (is_annual_avg) AS provided_annual_value,
+               avg(value) FILTER (NOT is_annual_avg) AS calculated_annual_value
+        FROM obs GROUP BY 1, 2 HAVING bool_or(is_annual_avg) AND NOT bool_and(is_annual_avg)))"""
 
 
 def _sql(*parts: str) -> str:
@@ -284,12 +288,12 @@ ORACLE = {
         FROM changes a JOIN changes b ON a.date = b.date AND a.series_id < b.series_id
         WHERE a.date = (SELECT max(date) FROM changes)
         ORDER BY abs(a.yoy_change - b.yoy_change) DESC NULLS LAST, series1, series2 LIMIT 10"""),
-    "annual_mismatch": _sql(OBS, DIM, VIEWS, COMPARISON, """
+    "annual_mismatch": _sql(OBS, DIM, COMPARISON, """
         SELECT indicator_name, source, year, provided_annual_value,
                round(calculated_annual_value, 6) AS calculated_annual_value, round(difference, 6) AS difference,
                round(percent_difference, 6) AS percent_difference
         FROM compared c JOIN dim m ON c.series_id = m.series_id WHERE difference > 0.0001"""),
-    "annual_summary": _sql(OBS, DIM, VIEWS, COMPARISON, """
+    "annual_summary": _sql(OBS, DIM, COMPARISON, """
         SELECT count(*) AS total_comparisons, count(*) FILTER (difference > 0.0001) AS mismatches,
                round(avg(percent_difference), 6) AS avg_percent_difference
         FROM compared"""),
@@ -368,8 +372,14 @@ ORACLE = {
     "unmapped_counts": _sql(SILVER, DIM, """
         SELECT series_id AS raw_series_id, count(*) AS n_unmapped FROM silver
         WHERE series_id NOT IN (SELECT raw_series_id FROM stage_map) GROUP BY series_id"""),
-    "gold_by_year": _sql(OBS, """
-        SELECT *, CAST(year(date) AS int) AS year FROM obs WHERE date >= DATE '1999-01-01'"""),
+    "gold_by_year": _sql(OBS, "SELECT *, CAST(year(date) AS int) AS year FROM obs"),
+    "gold_reload": _sql(OBS, "SELECT *, CAST(year(date) AS int) AS year FROM obs WHERE year(date) <> 1997"),
+    "gold_tables": _sql(OBS, DIM, VIEWS, """
+        SELECT 'economic_indicators_metadata' AS table_name, CAST(NULL AS int) AS year, count(*) AS n_rows FROM dim
+        UNION ALL SELECT 'economic_indicators_values', CAST(year(date) AS int), count(*) FROM obs GROUP BY 2
+        UNION ALL SELECT 'economic_indicators_monthly', CAST(year(date) AS int), count(*) FROM monthly GROUP BY 2
+        UNION ALL SELECT 'economic_indicators_changes', CAST(year(date) AS int), count(*) FROM changes GROUP BY 2
+        UNION ALL SELECT 'economic_indicators_yearly', CAST(year(date) AS int), count(*) FROM yearly GROUP BY 2"""),
     "read_series_docs": _sql(RAWPOINT, """
         SELECT series_id, year, period, period_name AS "periodName", value, footnotes FROM note"""),
     "latest_doc_per_series": _sql(RAWPOINT, """
@@ -383,7 +393,7 @@ ORACLE = {
     "quarantine_points": _sql(SILVER, """
         SELECT series_id, year, period, value, reason FROM judged WHERE reason IS NOT NULL"""),
     "silver_roundtrip": _sql(SILVER, "SELECT * FROM silver"),
-    "latest_snapshot": _sql(SILVER, "SELECT * FROM silver WHERE is_annual_avg"),
+    "latest_snapshot": _sql(SILVER, "SELECT * REPLACE (value * 2 AS value) FROM silver"),
     "dq_structure": _sql(DOCUMENT, "SELECT * FROM broken_structure"),
     "dq_types": _sql(DOCUMENT, "SELECT * FROM broken_type"),
     "dq_dup_points": _sql(DOCUMENT, "SELECT * FROM repeated"),
@@ -391,8 +401,30 @@ ORACLE = {
     "dq_summary": _sql(DOCUMENT, """
         SELECT count(*) AS total_files, count(*) FILTER (ok) AS valid_files, count(*) FILTER (NOT ok) AS invalid_files,
                printf('%.2f%%', count(*) FILTER (ok) / count(*) * 100) AS success_rate
-        FROM (SELECT DISTINCT document, document NOT IN (SELECT document FROM found) AS ok FROM point)"""),
+        FROM (SELECT number <= 20 AND document NOT IN (SELECT document FROM found WHERE document IS NOT NULL) AS ok
+              FROM brand)"""),
+    "dq_shapes": _sql(DOCUMENT, """
+        SELECT CASE WHEN number NOT IN (23, 25) THEN document END AS document,
+               CASE number WHEN 21 THEN 'missing_data' WHEN 22 THEN 'data_not_list' WHEN 23 THEN 'invalid_json'
+                           WHEN 25 THEN 'missing_series_id,missing_data' ELSE '' END AS problems,
+               CASE WHEN number <= 20 OR number = 24 THEN (SELECT count(*) FROM point p WHERE p.document = b.document) END
+                 AS n_points
+        FROM brand b"""),
+    "dq_details": _sql(DOCUMENT, """
+        SELECT document, rule, position, CAST(NULL AS date) AS month, CAST(NULL AS varchar) AS detail FROM broken_type
+        UNION ALL SELECT document, rule, position, NULL, NULL FROM broken_structure WHERE position IS NOT NULL
+        UNION ALL SELECT document, 'gap', NULL, month, CAST(lacking AS varchar) FROM gap
+        UNION ALL SELECT document, 'outlier', NULL, month, text FROM outlier
+        UNION ALL SELECT document, 'duplicate_point', NULL, CASE WHEN regexp_matches(period, '^M(0[1-9]|1[0-2])$') THEN
+                    make_date(CAST(year AS int), CAST(substr(period, 2) AS int), 1) END, CAST(n_points AS varchar)
+        FROM repeated"""),
     "combine_catalogs": _sql(CATALOG, "SELECT * FROM combined"),
+    "catalog_files_combined": _sql(CATALOG, """
+        SELECT series_id, CASE CAST(right(series_id, 1) AS int)
+                 WHEN 0 THEN concat(series_name, ', 2" x 4", cut') WHEN 1 THEN concat('  ', series_name, ' ')
+                 WHEN 2 THEN concat(series_name, chr(10), ' second line') WHEN 3 THEN ''
+                 WHEN 4 THEN concat(series_name, chr(92)) WHEN 5 THEN NULL ELSE series_name END AS series_name, series_type
+        FROM combined"""),
     "catalog_roundtrip": _sql(CATALOG, "SELECT * FROM validated"),
     "duplicate_totals": _sql(CATALOG, """
         SELECT count(*) AS total_rows, count(DISTINCT (series_id, series_name)) AS unique_rows,

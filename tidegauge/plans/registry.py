@@ -5,6 +5,8 @@ digits here (four for deviations), as in the SQL they are checked against.
 """
 
 import datetime as dt
+import functools
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +18,6 @@ from tidegauge.streaming import views as streaming
 
 PATTERN = "%PPI%"
 RECENT = dt.date(2001, 1, 1)
-GOLD_SINCE = dt.date(1999, 1, 1)
 RUN = "2024-01-01 00:00:00"
 MAX_BATCHES, REMAINING = 12, 30
 
@@ -197,15 +198,7 @@ def nulls_by_series(spark, sf):
 def dup_keys(spark, sf):
     fact, dim = _dirty_dim(spark, sf)
     view = _views(fact, dim)
-    key = ["series_id", "date"]
-    return quality_gold.duplicate_keys(
-        {
-            "metadata_raw_series_id": (dim, ["raw_series_id"]),
-            "values_series_date": (fact, key),
-            "monthly_series_date": (view["monthly"], key),
-            "changes_series_date": (view["changes"], key),
-        }
-    )
+    return quality_gold.duplicate_keys(quality_gold.gold_keys(dim, fact, view["monthly"], view["changes"]))
 
 
 def month_gaps(spark, sf):
@@ -255,7 +248,32 @@ def unmapped_counts(spark, sf):
 def gold_by_year(spark, sf):
     path = scratch(spark, "gold")
     tables.write_by_year(s.obs(spark, sf), path)
-    return tables.since(spark.read.parquet(path), GOLD_SINCE)
+    return spark.read.parquet(path)
+
+
+def gold_reload(spark, sf):
+    """A load, then one that lacks a year: nothing of the first shows."""
+    gold = scratch(spark, "gold")
+    fact = s.obs(spark, sf)
+    tables.publish({"values": fact}, gold, "20240101_000000")
+    tables.publish({"values": fact.where("year(date) <> 1997")}, gold, "20240201_000000")
+    return tables.published(spark, gold, "values")
+
+
+def gold_tables(spark, sf):
+    """Rows of the gold tables as SQL users see them, by year where they have one."""
+    gold, database = scratch(spark, "gold"), f"gold_{uuid.uuid4().hex}"
+    fact, dim = _fact_dim(spark, sf)
+    found = {"economic_indicators_metadata": dim, "economic_indicators_values": fact}
+    found |= {f"economic_indicators_{name}": view for name, view in _views(fact, dim).items()}
+    tables.publish(found, gold, "20240101_000000")
+    tables.register(spark, database, gold, list(found))
+    counts = []
+    for name in found:
+        table = spark.table(f"{database}.{name}")
+        year = F.col("year") if "year" in table.columns else F.lit(None).cast("int")
+        counts.append(table.groupBy(year.alias("year")).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "*"))
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 # --- raw documents and silver -----------------------------------------------
@@ -280,12 +298,13 @@ def read_series_docs(spark, sf):
 
 
 def latest_doc_per_series(spark, sf):
+    """Every series delivered twice or once, both versions in the same files."""
     path = scratch(spark, "versions")
     docs = _docs(spark, sf)
     annual = docs.withColumn("points", F.filter("points", lambda p: p["period"] == "M13"))
-    documents.write_documents(annual, path)
     redelivered = docs.where(F.substring("series_id", 7, 9).cast("int") > 12)
-    documents.write_documents(redelivered, path, mode="append")
+    first, second = annual.withColumn("delivered", F.lit("1")), redelivered.withColumn("delivered", F.lit("2"))
+    documents.write_documents(second.unionByName(first).coalesce(1), path)
     return _points_of(documents.latest_per_series(documents.read_series_documents(spark, path, lines=True)))
 
 
@@ -319,24 +338,30 @@ def silver_roundtrip(spark, sf):
 
 
 def latest_snapshot(spark, sf):
-    """Two runs, the second with an earlier stamp: the one written last counts."""
+    """Two full runs, the second with an earlier stamp: the one written last counts."""
     root = scratch(spark, "snapshots")
     rows = _silver(spark, sf)
     snapshots.write_snapshot(rows, root, "20240201_000000")
-    snapshots.write_snapshot(rows.where("is_annual_avg"), root, "20240101_000000")
+    revised = rows.withColumn("value", F.col("value") * 2)
+    snapshots.write_snapshot(revised, root, "20240101_000000")
     return snapshots.newest_snapshot(spark, root).drop("extraction_timestamp")
 
 
 def _inspected(spark, sf):
-    docs = _docs(spark, sf)
-    named = F.substring("series_id", 7, 9).cast("int") <= 20
-    text = docs.select(
-        F.when(named, F.to_json(F.struct(F.col("series_id").alias("seriesID"), F.col("points").alias("data"))))
-        .otherwise(F.to_json(F.struct("series_id", F.col("points").alias("data"))))
-        .alias("json"),
-        F.concat("series_id", F.lit(".json")).alias("file"),
-    )
-    return quality_raw.inspect_documents(text)
+    """Documents of three shapes and some broken ones, as lines of files; those without id are nobody's."""
+    path = scratch(spark, "raw")
+    s.raw_texts(_docs(spark, sf)).write.text(path)
+    inspected = quality_raw.inspect_documents(documents.read_json_text(spark, path, lines=True))
+    return inspected.withColumn("document", F.nullif("document", "file"))
+
+
+def dq_shapes(spark, sf):
+    found = _inspected(spark, sf)
+    return found.select("document", F.array_join("problems", ",").alias("problems"), F.size("points").cast("bigint").alias("n_points"))
+
+
+def dq_details(spark, sf):
+    return quality_raw.details(_inspected(spark, sf))
 
 
 def dq_structure(spark, sf):
@@ -378,6 +403,17 @@ def _pending(spark, sf):
     return catalog.pending_series(_combined(spark, sf), s.ledger(spark, sf))
 
 
+def catalog_files_combined(spark, sf):
+    """Catalogs as files, with names that need quotes."""
+    path = scratch(spark, "catalogs")
+    parts = []
+    for name, part in zip(("aggregation", "commodity", "industry"), s.catalogs(spark, sf)):
+        awkward = part.select("series_id", s.awkward(F.col("series_name"), F.col("series_id")).alias("title"), F.lit("x, y").alias("more"))
+        catalog_files.write_csv(awkward, f"{path}/{name}.csv")
+        parts.append(catalog_files.read_catalog(spark, f"{path}/{name}.csv"))
+    return catalog.combine_catalogs(*parts)
+
+
 def combine_catalogs(spark, sf):
     return _combined(spark, sf)
 
@@ -494,11 +530,11 @@ QUERIES = {
         annual_mismatch, annual_summary, annual_rows_by_indicator, view_profile, view_coverage, date_coverage,
         cardinality, table_row_counts, recent_nulls, null_share, nulls_by_series, dup_keys, month_gaps,
         series_stats, outliers_3sigma, dedupe_rows,
-        build_dim, map_series_ids, unmapped_counts, gold_by_year,
+        build_dim, map_series_ids, unmapped_counts, gold_by_year, gold_reload, gold_tables,
         read_series_docs, latest_doc_per_series, standardize_series, annual_flag, period_to_date, footnotes_json,
         quarantine_points, silver_roundtrip, latest_snapshot,
-        dq_structure, dq_types, dq_dup_points, dq_report, dq_summary,
-        combine_catalogs, catalog_roundtrip, duplicate_totals, series_by_type, apply_validation, validity_by_type,
+        dq_structure, dq_types, dq_dup_points, dq_report, dq_summary, dq_shapes, dq_details,
+        combine_catalogs, catalog_files_combined, catalog_roundtrip, duplicate_totals, series_by_type, apply_validation, validity_by_type,
         pending_series, retry_series, missing_series, request_batches, batches_within_budget, upsert_consolidated,
         status_by_type,
         stream_monthly, stream_yearly, stream_changes,

@@ -99,33 +99,29 @@ def last_12_months_by_series(fact: DataFrame, dim: DataFrame, pattern: str, mont
 
 
 def cross_indicator_pairs(changes: DataFrame, dim: DataFrame, top: int = 10) -> DataFrame:
-    """The series pairs whose latest yearly changes differ most.
+    """The series pairs whose latest yearly changes differ most; pairs without a difference come last.
 
     A pair among the ``top`` joins a series from the top + 1 highest with one
     from the top + 1 lowest: had either more than ``top`` series before it, each
     of those would give a pair at least as far apart and earlier in the order.
     So the pairs come from a few extreme series instead of all series.
     """
-    rows = latest_changes(changes).where("yoy_change IS NOT NULL").select("series_id", "date", "yoy_change")
-    extreme = _extreme(rows, F.desc("yoy_change"), F.max, top).unionByName(
-        _extreme(rows, F.asc("yoy_change"), F.min, top)
+    rows = latest_changes(changes).select("series_id", "date", "yoy_change")
+    known = rows.where("yoy_change IS NOT NULL")
+    extreme = _extreme(known, F.desc("yoy_change"), F.max, top).unionByName(
+        _extreme(known, F.asc("yoy_change"), F.min, top)
     )
     # A row that is extreme both ways must not count twice; its copies must stay.
     kept = extreme.groupBy("series_id", "date", "yoy_change", "_copy").agg(F.lit(1))
-    a = with_names(kept, dim, "indicator_name").select(
-        F.col("series_id").alias("series1"),
-        "date",
-        F.col("yoy_change").alias("yoy1"),
-        F.col("indicator_name").alias("indicator1"),
-    )
-    b = a.select(
-        F.col("series1").alias("series2"), "date", F.col("yoy1").alias("yoy2"), F.col("indicator1").alias("indicator2")
-    )
+    apart = _pairs(kept, dim)
+    open_ended = _pairs(_first_with_gaps(rows, top), dim).where("yoy1 IS NULL OR yoy2 IS NULL")
     difference = F.col("yoy1") - F.col("yoy2")
+    order = [F.desc_nulls_last(F.abs(difference)), F.asc("series1"), F.asc("series2")]
+    first = [pairs.orderBy(*order).limit(top) for pairs in (apart, open_ended)]
     return (
-        a.join(b, "date")
-        .where("series1 < series2")
-        .orderBy(F.desc(F.abs(difference)), "series1", "series2")
+        first[0]
+        .unionByName(first[1])
+        .orderBy(*order)
         .limit(top)
         .select(
             "series1",
@@ -139,6 +135,36 @@ def cross_indicator_pairs(changes: DataFrame, dim: DataFrame, top: int = 10) ->
     )
 
 
+def _pairs(rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """All pairs of a few rows, the smaller series first."""
+    a = with_names(rows, dim, "indicator_name").select(
+        F.col("series_id").alias("series1"),
+        "date",
+        F.col("yoy_change").alias("yoy1"),
+        F.col("indicator_name").alias("indicator1"),
+    )
+    b = a.select(
+        F.col("series1").alias("series2"), "date", F.col("yoy1").alias("yoy2"), F.col("indicator1").alias("indicator2")
+    )
+    return a.join(b, "date").where("series1 < series2")
+
+
+def _first_with_gaps(rows: DataFrame, top: int) -> DataFrame:
+    """Rows that can make the first ``top`` pairs without a difference.
+
+    Such pairs come in the order of their series. The first series of each is
+    among the ``top`` smallest, its partner within the ``top`` series behind it
+    or the ``top`` behind it that lack a change.
+    """
+    unknown = F.col("yoy_change").isNull()
+    series = rows.groupBy("series_id").agg(F.bool_or(unknown).alias("_lacks"))
+    most = 2 * top + 1
+    first = series.orderBy("series_id").limit(most).unionByName(series.where("_lacks").orderBy("series_id").limit(most))
+    near = rows.join(first.select("series_id").distinct(), "series_id", "left_semi")
+    rank = F.row_number().over(W.partitionBy("series_id", unknown).orderBy("yoy_change"))
+    return near.withColumn("_rank", rank).where(F.col("_rank") <= top).drop("_rank")
+
+
 def _extreme(rows: DataFrame, order: Column, best, top: int) -> DataFrame:
     """Up to ``top`` rows each of the top + 1 series that come first in ``order``."""
     value = F.asc("_best") if best is F.min else F.desc("_best")

@@ -8,6 +8,7 @@ number of lines behind a cell, so that every check has something to find.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegauge.functions import columns as c
+from tidegauge.schemas import NOT_FOUND
 
 LAST_FULL_YEAR = 2000
 STAGE_NAMES = ["Stage 1", "Stage 2", "Stage 3", "Stage 4"]
@@ -145,6 +146,42 @@ def rawdoc(points: DataFrame) -> DataFrame:
     return points.groupBy("series_id").agg(F.sort_array(F.collect_list(point)).alias("points"))
 
 
+def raw_texts(docs: DataFrame) -> DataFrame:
+    """Documents (series_id, points) as JSON lines: by number of the series three shapes, then broken ones."""
+    number, data = _number_of(F.col("series_id")), F.col("points").alias("data")
+    inner = F.struct(F.col("series_id").alias("seriesID"), data)
+    no_data = F.struct(F.col("series_id").alias("seriesID"))
+    industry = F.lit("industry").alias("series_type")
+
+    def consolidated(document: Column) -> Column:
+        return F.to_json(F.create_map("series_id", F.struct(industry, document.alias("data"))))
+
+    text = (
+        F.when(number <= 8, F.to_json(inner))
+        .when(number <= 16, F.to_json(F.struct("series_id", data)))
+        .when(number <= 20, consolidated(inner))
+        .when(number == 21, consolidated(no_data))
+        .when(number == 22, F.to_json(F.struct(F.col("series_id").alias("seriesID"), F.lit("none").alias("data"))))
+        .when(number == 23, F.expr("substr(to_json(struct(series_id, points)), 1, 40)"))
+        .when(number == 24, F.to_json(F.struct("series_id", F.slice("points", 1, 0).alias("data"))))
+        .otherwise(F.lit('{"note": 1}'))
+    )
+    return docs.select(text.alias("value"))
+
+
+def awkward(name: Column, series_id: Column) -> Column:
+    """Names with all that a CSV file must quote, by the id's last digit."""
+    digit = F.substring(series_id, -1, 1).cast("int")
+    return (
+        F.when(digit == 0, F.concat(name, F.lit(', 2" x 4", cut')))
+        .when(digit == 1, F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(digit == 2, F.concat(name, F.lit("\n second line")))
+        .when(digit == 3, F.lit(""))
+        .when(digit == 4, F.concat(name, F.lit("\\")))
+        .when(digit != 5, name)
+    )
+
+
 def catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Aggregation, commodity and industry catalogs; they overlap."""
     part = table(spark, sf_dir, "part")
@@ -165,6 +202,6 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.where("p_size <= 40").select(
         F.col("p_partkey").cast("string").alias("series_id"),
         F.when(failed, "error").otherwise("success").alias("status"),
-        F.when(failed, "Series not found in API response").alias("error"),
+        F.when(failed, NOT_FOUND).alias("error"),
         kind.alias("series_type"),
     )

@@ -101,3 +101,18 @@ FACT = T.StructType(
         T.StructField("updated_at", T.TimestampType()),
     ]
 )
+
+_VIEW_KEY = [
+    T.StructField("series_id", T.StringType()),
+    T.StructField("raw_series_id", T.StringType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("indicator_name", T.StringType()),
+    T.StructField("date", T.DateType()),
+]
+_MEASURES = [T.StructField(name, T.DoubleType()) for name in ("avg_value", "min_value", "max_value")]
+
+PERIOD_VIEW = T.StructType([*_VIEW_KEY, *_MEASURES])
+YEARLY_VIEW = T.StructType([*_VIEW_KEY, *_MEASURES, T.StructField("calculated_annual_value", T.DoubleType())])
+CHANGES_VIEW = T.StructType(
+    [*_VIEW_KEY, *[T.StructField(name, T.DoubleType()) for name in ("value", "mom_change", "yoy_change")]]
+)

@@ -1,18 +1,27 @@
 """The extraction ledger: what became of each requested series."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegauge.schemas import LEDGER
 
+_STORED = T.StructType([*LEDGER.fields, T.StructField("request", T.StringType())])
 
-def append_ledger(entries: DataFrame, path: str) -> None:
-    """Add the entries of one extraction step."""
-    entries.select(LEDGER.fieldNames()).write.mode("append").json(path)
+
+def write_ledger(entries: DataFrame, path: str, request: str) -> None:
+    """Enter what became of one request; entering it again replaces it. Requests sort by time."""
+    entries.select(LEDGER.fieldNames()).write.mode("overwrite").json(f"{path}/request={request}")
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The last entry of each series, by file time and then by file name."""
-    order = F.struct("_metadata.file_modification_time", "_metadata.file_name")
+    """The last entry of each series: by request, then success before error. No ledger yet is an empty one."""
+    try:
+        entries = spark.read.schema(_STORED).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+    order = F.struct("request", F.col("status") == "success", "status", "error")
     entry = F.struct("status", "error", "series_type")
-    entries = spark.read.schema(LEDGER).json(path).select("series_id", order.alias("at"), entry.alias("entry"))
-    return entries.groupBy("series_id").agg(F.max_by("entry", "at").alias("entry")).select("series_id", "entry.*")
+    last = entries.groupBy("series_id").agg(F.max_by(entry, order).alias("entry"))
+    return last.select("series_id", "entry.*")

@@ -1,10 +1,21 @@
 """Silver snapshots: one folder per run under a common root."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegauge.schemas import SILVER, SILVER_METADATA
 
 
+def finished_runs(spark: SparkSession, root: str, name: str) -> list[str]:
+    """The runs ``name=...`` under ``root`` whose writing came to its end, the last written last.
+
+    The mark that a write leaves at its end tells both; a run that broke off, or is under way, has none.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}=*/_SUCCESS")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    marks = [(f.getModificationTime(), f.getPath().getParent().getName()) for f in files.globStatus(folder) or []]
+    return [run.removeprefix(f"{name}=") for _, run in sorted(marks)]
+
+
 def write_snapshot(silver: DataFrame, root: str, stamp: str) -> None:
     """Write observations as the snapshot ``stamp``; writing it again replaces it."""
     typed = silver.select(*[F.col(f.name).cast(f.dataType) for f in SILVER])
@@ -12,16 +23,14 @@ def write_snapshot(silver: DataFrame, root: str, stamp: str) -> None:
 
 
 def newest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """Observations of the snapshot written last.
+    """Observations of the snapshot written last; one without rows counts as well.
 
-    File times come from the listing, so this reads no data column; the filter
-    on the folder column then opens that snapshot's files only.
+    Times and names come from the folder's listing, so no file is opened for them.
     """
-    stamped = T.StructType([*SILVER.fields, T.StructField("snapshot", T.StringType())])
-    snapshots = spark.read.schema(stamped).parquet(root)
-    stamps = snapshots.select("snapshot", F.col("_metadata.file_modification_time").alias("modified"))
-    newest = stamps.agg(F.max(F.struct("modified", "snapshot"))["snapshot"].alias("snapshot"))
-    return snapshots.where(F.col("snapshot") == newest.scalar()).drop("snapshot")
+    runs = finished_runs(spark, root, "snapshot")
+    if not runs:
+        raise ValueError(f"no snapshot in {root}")
+    return spark.read.schema(SILVER).parquet(f"{root}/snapshot={runs[-1]}")
 
 
 def write_metadata(metadata: DataFrame, path: str) -> None:

@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegauge.schemas import DIMENSION, FACT
+from tidegauge.schemas import CHANGES_VIEW, DIMENSION, FACT, PERIOD_VIEW, YEARLY_VIEW
+from tidegauge.sources.snapshots import finished_runs
 
 MAX_RECORDS_PER_FILE = 50_000_000
 
@@ -23,32 +24,83 @@ def _columns(schema) -> str:
     return ", ".join(one(field) for field in schema)
 
 
+_BY_YEAR = {
+    "economic_indicators_values": FACT,
+    "economic_indicators_monthly": PERIOD_VIEW,
+    "economic_indicators_changes": CHANGES_VIEW,
+    "economic_indicators_yearly": YEARLY_VIEW,
+}
+
+
 def create_tables(spark: SparkSession, database: str, root: str) -> None:
-    """Define dimension and fact, the fact partitioned by year; existing ones stay."""
+    """Define dimension, fact and views, all but the first partitioned by year; existing ones stay."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.economic_indicators_metadata ({_columns(DIMENSION)}) "
         f"USING parquet LOCATION '{root}/economic_indicators_metadata'"
     )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.economic_indicators_values ({_columns(FACT)}, year int) "
-        f"USING parquet PARTITIONED BY (year) LOCATION '{root}/economic_indicators_values'"
-    )
+    for name, schema in _BY_YEAR.items():
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({_columns(schema)}, year int) "
+            f"USING parquet PARTITIONED BY (year) LOCATION '{root}/{name}'"
+        )
+
+
+def publish(contents: dict[str, DataFrame], root: str, stamp: str) -> None:
+    """Write tables as one run; readers see all of it once its last mark is set, and nothing of earlier runs.
+
+    Tables with a date are partitioned by year. A run that is written again replaces itself.
+    """
+    spark = next(iter(contents.values())).sparkSession
+    for name, table in contents.items():
+        path = f"{root}/runs/{stamp}/{name}"
+        if "date" in table.columns:
+            write_by_year(table, path, whole=True)
+        else:
+            write_table(table, path)
+    named = spark.createDataFrame([(name,) for name in contents], "table_name string")
+    named.coalesce(1).write.mode("overwrite").json(f"{root}/published/run={stamp}")
+
+
+def _run_folder(spark: SparkSession, root: str) -> str:
+    runs = finished_runs(spark, f"{root}/published", "run")
+    if not runs:
+        raise ValueError(f"nothing is published in {root}")
+    return f"{root}/runs/{runs[-1]}"
+
+
+def published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the run published last."""
+    return spark.read.parquet(f"{_run_folder(spark, root)}/{name}")
+
+
+def register(spark: SparkSession, database: str, root: str, names: list[str]) -> None:
+    """Name the tables of the run published last in the catalog, with their partitions, in place of earlier ones."""
+    folder = _run_folder(spark, root)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        table = spark.read.parquet(f"{folder}/{name}")
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        by_year = " PARTITIONED BY (year)" if "year" in table.columns else ""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
+        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet{by_year} LOCATION '{folder}/{name}'")
+        if by_year:
+            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
 
 
-def write_by_year(df: DataFrame, path: str) -> None:
+def write_by_year(df: DataFrame, path: str, whole: bool = False) -> None:
     """Write rows with a date partitioned by year and sorted by series and date.
 
     The rebalance gathers a year's rows into files of a good size and cuts a
     year that is too large for one task. Years not in ``df`` stay as they are,
-    so a re-run replaces what it loaded before.
+    so a re-run replaces what it loaded before; with ``whole`` they go.
     """
     (
         df.withColumn("year", F.year("date"))
         .hint("rebalance", "year")
         .sortWithinPartitions("year", "series_id", "date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .option("compression", "snappy")
         .partitionBy("year")
