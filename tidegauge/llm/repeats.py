@@ -107,7 +107,8 @@ def _finding(least: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for piece in pieces(batch):
+            # Parts begin with a text, so a text is cut alike wherever it stands.
+            for piece in pieces(batch, most=_CHUNK):
                 data, bounds = utf8(piece.column("text"))
                 doc, version = (piece.column(c).to_numpy() for c in ("doc", "version"))
                 for low in range(0, max(len(data) - least + 1, 0), _CHUNK):
