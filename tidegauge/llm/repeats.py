@@ -18,8 +18,8 @@ input. All strings are judged, none is sampled:
    but the earliest are repeats.
 5. Repeats are brought back to their documents, joined into spans and cut out.
 
-Equal rows are folded within each batch before every shuffle, so a passage that stands in a
-third of all documents sends one row a batch, and groups are streamed, not gathered.
+Equal rows are folded before every shuffle, so a passage that stands in a third of all
+documents sends one row for many texts, and groups are streamed, not gathered.
 
 Defined cases: null and empty texts have no bytes and keep none; a missing id counts as the
 smallest; rows that repeat id and text are one document (each row gives its result); rows
@@ -43,10 +43,12 @@ from tidegauge.session import stored
 LEAST = 100
 GRAM = 24
 #: Bytes of different strings that one transform takes.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Classes that a run is cut into, by the number of runs that share its minimiser.
 CLASSES = ((1_000, 2), (30_000, 8))
 _CHUNK = 1 << 20
+#: Bytes of text after which equal rows are folded and sent off.
+_FOLD = 8 << 20
 _POSITION = np.uint64((1 << 21) - 1)
 _RUNS = "key long, sh long, doc long, at long"
 
@@ -101,11 +103,16 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], names=list(columns))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from pieces(batch, most=_FOLD)
+
+
 def _finding(least: int):
-    """A task: runs of all texts, folded in each batch. A repeat has ~at; its key only spreads it."""
+    """A task: runs of all texts, folded. A repeat has ~at; its key only spreads it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             parts = []
             # Parts begin with a text, so a text is cut alike wherever it stands.
             for piece in pieces(batch, most=_CHUNK):
@@ -191,7 +198,7 @@ def _cutting(least: int):
     places = least - GRAM + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             parts: list[tuple[np.ndarray, ...]] = []
             texts: list[bytes] = []
             for piece in pieces(batch):
