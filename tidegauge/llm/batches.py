@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 PIECE_BYTES = 1 << 20
-#: Bytes of an Arrow batch, in place of Spark's own bound of 64 MB.
-BATCH_BYTES = 8 << 20
-_BOUND, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: Rows of an Arrow batch, in place of Spark's own 10,000, as rows are whole texts.
+BATCH_ROWS = 1000
+_BOUND, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -28,12 +28,11 @@ _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
 def arrow_map(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``df.mapInArrow``, with this package on the workers' path where they run on this machine.
 
-    On a cluster the package is shipped with the job (``--py-files``). Texts are anything
-    from a word to megabytes, so batches are bounded by bytes; a session that sets its own
-    bound keeps it.
+    On a cluster the package is shipped with the job (``--py-files``). Rows are whole texts,
+    so batches have fewer of them; a session that sets its own bound keeps it.
     """
     if df.sparkSession.conf.get(_BOUND, None) == _DEFAULT:
-        df.sparkSession.conf.set(_BOUND, str(BATCH_BYTES))
+        df.sparkSession.conf.set(_BOUND, str(BATCH_ROWS))
     context = df.sparkSession.sparkContext
     if context.master.startswith("local"):
         root, known = str(Path(__file__).resolve().parents[2]), context.environment.get("PYTHONPATH", "")

@@ -104,8 +104,18 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `_FOLD` bytes of text."""
+    waiting: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        yield from pieces(batch, most=_FOLD)
+        for part in pieces(batch, most=_FOLD):
+            waiting.append(part)
+            size += part.nbytes
+            if size >= _FOLD:
+                yield pa.concat_batches(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
 
 
 def _finding(least: int):
