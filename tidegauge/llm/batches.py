@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 PIECE_BYTES = 1 << 20
 #: Rows of an Arrow batch, in place of Spark's own 10,000, as rows are whole texts.
 BATCH_ROWS = 1000
-_BOUND, _DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+_BOUND = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _BYTE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,7 +31,7 @@ def arrow_map(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator
     On a cluster the package is shipped with the job (``--py-files``). Rows are whole texts,
     so batches have fewer of them; a session that sets its own bound keeps it.
     """
-    if df.sparkSession.conf.get(_BOUND, None) == _DEFAULT:
+    if df.sparkSession.conf.get(_BOUND, None) is None:
         df.sparkSession.conf.set(_BOUND, str(BATCH_ROWS))
     context = df.sparkSession.sparkContext
     if context.master.startswith("local"):
