@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.features import Rows, bounded_sample, byte_trigrams, collected, held_out, scored, sigmoid
 
 BITS = 14
-MAX_ROWS = 12_000
+MAX_ROWS = 8_000
 
 
 @dataclass
