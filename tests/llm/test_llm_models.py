@@ -7,7 +7,7 @@ from llm_data import none, odd
 from tidegauge.llm import quality, toxicity
 from tidegauge.llm.features import Rows, byte_trigrams, hashed_terms
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def rows_of(sets, value=1.0):
@@ -57,13 +57,13 @@ def test_features_of_odd_texts():
 
 @pytest.mark.parametrize("module, query, label", [(toxicity, "op2_factorization_machine", "toxic"), (quality, "op9_positive_unlabelled", "quality")])
 def test_held_out_accuracy(spark, module, query, label):
-    scores = getattr(module, query)(spark, SF)
-    assert scores.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
-    got = scores.where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
+    scores = getattr(module, query)(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id", "left").toPandas()
+    assert len(scores) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert scores["score"].between(0, 1).all()
+    got = scores[scores["held_out"] & scores[label].notna()]
     y, s = got[label].to_numpy(), got["score"].to_numpy()
     auc = (s[y == 1][:, None] > s[y == 0][None]).mean()
-    assert len(got) > 60 and auc > 0.85
-    assert ((s >= 0) & (s <= 1)).all()
+    assert len(got) > 600 and auc > 0.95
 
 
 def labels(spark, rows):

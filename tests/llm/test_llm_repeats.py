@@ -73,6 +73,8 @@ def test_odd_rows(spark):
 
 
 def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
+    """Chunks of some 700 bytes instead of a megabyte; parts are folded after 2,000 bytes."""
     monkeypatch.setattr(repeats, "_CHUNK", 700)
+    monkeypatch.setattr(repeats, "_FOLD", 2000)
     rows = corpus(3)
     assert found(documents(spark, rows)) == brute(rows)
