@@ -41,8 +41,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled piece ids of every text, and whether decoding gives the text back."""
-    coded = piecewise.decode(piecewise.encode(docs))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
+    coded = piecewise.encode(docs, check="lossless")
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
 STAGES = [

@@ -59,6 +59,7 @@ def test_odd_rows(spark):
     for r in coded.collect():
         assert r.decoded == r.text
         assert (r.ids is None) == (r.text is None)
+    assert all(r.same for r in piecewise.encode(df, check="same").collect())
     again = piecewise.encode(df.repartition(7)).select("doc_id", "ids")
     assert sorted(map(str, again.collect())) == sorted(map(str, coded.select("doc_id", "ids").collect()))
     assert piecewise.decode(piecewise.encode(none(spark))).collect() == []

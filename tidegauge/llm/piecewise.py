@@ -249,6 +249,14 @@ def restore(ids: np.ndarray, first: np.ndarray, v: Vocabulary) -> tuple[np.ndarr
     return data, bounds - np.concatenate([[0], np.cumsum(lead)])
 
 
+def _same(data: np.ndarray, bounds: np.ndarray, other: np.ndarray, other_bounds: np.ndarray) -> np.ndarray:
+    """Which texts are equal, byte for byte."""
+    if len(data) == len(other) and (bounds == other_bounds).all() and (data == other).all():
+        return np.ones(len(bounds) - 1, bool)
+    pairs = zip(bounds[:-1], bounds[1:], other_bounds[:-1], other_bounds[1:], strict=True)
+    return np.array([data[a:b].tobytes() == other[c:d].tobytes() for a, b, c, d in pairs], bool)
+
+
 def _valid(column: pa.Array) -> pa.Array | None:
     return column.is_valid() if column.null_count else None
 
@@ -258,10 +266,15 @@ def _lists(first: np.ndarray, values: np.ndarray, valid: pa.Array | None) -> pa.
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, pa.int32()), mask=mask)
 
 
-def encode(rows: DataFrame, key: str = "doc_id", text: str = "text", to: str = "ids", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """``rows`` and the sampled piece ids of ``text``, in the column ``to`` (replaced if there is one)."""
+def encode(
+    rows: DataFrame, key: str = "doc_id", text: str = "text", to: str = "ids", model: str = MODEL, alpha: float = ALPHA, seed: int = SEED, check: str | None = None
+) -> DataFrame:
+    """``rows`` and the sampled piece ids of ``text``, in the column ``to`` (replaced if there is one).
+
+    ``check`` names one more column: whether the ids, decoded at once, give back the text.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(load(model, alpha))
-    columns = [c for c in rows.columns if c != to]
+    columns = [c for c in rows.columns if c not in (to, check)]
     names = [f"c{i}" for i in range(len(columns))]
     inner = rows.select(*[rows[c].alias(n) for c, n in zip(columns, names, strict=True)], F.xxhash64(F.col(key).cast("string"), F.lit(seed)).alias("seed"))
     content = names[columns.index(text)]
@@ -271,12 +284,16 @@ def encode(rows: DataFrame, key: str = "doc_id", text: str = "text", to: str = "
             for piece in pieces(batch, content, _PIECE_BYTES):
                 data, bounds = utf8(piece.column(content))
                 ids, first = sample(data, bounds, piece.column("seed").to_numpy().view(np.uint64), shared.value)
-                made = _lists(first, ids, _valid(piece.column(content)))
-                yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], made], names=[*names, "made"])
+                made = [_lists(first, ids, _valid(piece.column(content)))]
+                if check:
+                    made.append(pa.array(_same(data, bounds, *restore(ids, first, shared.value))))
+                yield pa.RecordBatch.from_arrays([*[piece.column(n) for n in names], *made], names=[*names, "made", "same"][: len(names) + len(made)])
 
-    schema = T.StructType([T.StructField(n, inner.schema[n].dataType) for n in names] + [T.StructField("made", T.ArrayType(T.IntegerType()))])
+    fields = [T.StructField(n, inner.schema[n].dataType) for n in names] + [T.StructField("made", T.ArrayType(T.IntegerType()))]
+    schema = T.StructType(fields + [T.StructField("same", T.BooleanType())] * bool(check))
     out = arrow_map(inner, task, schema)
-    return out.select(*[F.col(n).alias(c) for n, c in zip(names, columns, strict=True)], F.col("made").alias(to))
+    named = [F.col(n).alias(c) for n, c in zip(names, columns, strict=True)]
+    return out.select(*named, F.col("made").alias(to), *[F.col("same").alias(check)] * bool(check))
 
 
 def decode(rows: DataFrame, ids: str = "ids", to: str = "decoded", model: str = MODEL) -> DataFrame:
