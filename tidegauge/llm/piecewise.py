@@ -293,7 +293,7 @@ def encode(
     schema = T.StructType(fields + [T.StructField("same", T.BooleanType())] * bool(check))
     out = arrow_map(inner, task, schema)
     named = [F.col(n).alias(c) for n, c in zip(names, columns, strict=True)]
-    return out.select(*named, F.col("made").alias(to), *[F.col("same").alias(check)] * bool(check))
+    return out.select(*named, F.col("made").alias(to), *([F.col("same").alias(check)] if check else []))
 
 
 def decode(rows: DataFrame, ids: str = "ids", to: str = "decoded", model: str = MODEL) -> DataFrame:
