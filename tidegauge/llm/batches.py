@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Rows of an Arrow batch, in place of Spark's own 10,000, as rows are whole texts.
 BATCH_ROWS = 1000
 _BOUND = "spark.sql.execution.arrow.maxRecordsPerBatch"
