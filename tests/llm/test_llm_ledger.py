@@ -82,3 +82,26 @@ def test_redaction(spark, tmp_path):
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert (7, None) in got and (7, "[secret] tail") in got and (5, "nothing") in got
     assert dict(got)[3].startswith("😀 [secret]") and "deadbeef" not in dict(got)[3]
+
+
+def test_whole_keys_are_redacted(spark, tmp_path):
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "aB3+/xYz" * 6] * 5 + ["Qk9P8w=="])
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    one_line = body.replace("\n", "\\n")
+    keys = {
+        1: f"{begin}\n{body}\n{end}",
+        2: f"{begin}\r\nProc-Type: 4,ENCRYPTED\r\nDEK-Info: AES-128-CBC,0A1B\r\n\r\n" + body.replace("\n", "\r\n") + f"\r\n{end}",
+        3: f"{begin}\\n{one_line}\\n{end}",
+        4: f"{begin} {body.replace(chr(10), ' ')} {end}",
+        5: f"{begin}\n# " + body.replace("\n", "\n# ") + f"\n# {end}",
+        6: f"{begin}\n{body}",
+        7: f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{body}",
+        8: f"{begin}\\n{one_line}",
+        9: f"{begin}\n{body}\n{end}\n{begin}\n{body}",
+    }
+    rows = [(i, f"before {k}\nafter it - that is all") for i, k in keys.items()]
+    rows.append((10, f"{begin} is how a key starts"))
+    out = {r.doc_id: r.text for r in ledger.redacted(documents(spark, rows), f"{tmp_path}/l", path="doc_id", content="text").collect()}
+    assert out.pop(10) == "[secret] is how a key starts"
+    assert out.pop(9) == "before [secret]\n[secret]\nafter it - that is all"
+    assert set(out.values()) == {"before [secret]\nafter it - that is all"}

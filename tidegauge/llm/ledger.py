@@ -66,10 +66,16 @@ BASE_RULES = (
     Rule("access", 1, re.compile(r"AKIA[A-Z0-9]+"), 20, 0, (b"akia",)),
     Rule("hex", 1, re.compile(r"[0-9a-f]{24,}"), 24),  # equal to the kept ones of [0-9a-f]+: a match is a whole run
 )
+# A key goes from its BEGIN to its END marker, whatever stands between them. Where the END is missing, it goes to the end
+# of the base64: runs of 16 or more such characters, and shorter ones that fill a line (line ends may be escaped).
+_BEGIN, _END = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", r"-----END [A-Z ]{0,20}PRIVATE KEY-----"
+_CLOSED = rf"[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+{_END}"
+_GAP, _LINE_END, _B64 = r"""(?:[\s>#"'|,]|\\[nrt])""", r"[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)", r"[A-Za-z0-9+/=]"
+_OPEN = rf"(?:{_LINE_END}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_GAP}++{_B64}{{16,}}+|{_LINE_END}[\x20\t]*+{_B64}++(?={_LINE_END}|\s*\Z|[\"']))*+"
 #: Kinds of our own, which add to the base.
 MORE_RULES = (
     Rule("github", 1, re.compile(r"gh[pousr]_[A-Za-z0-9]{36,}"), needles=(b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_")),
-    Rule("pem", 1, re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"), needles=(b"private key-----",)),
+    Rule("pem", 2, re.compile(rf"{_BEGIN}(?:{_CLOSED}|{_OPEN})"), needles=(b"private key-----",)),
     Rule("jwt", 1, re.compile(r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"), needles=(b"eyj",)),
 )
 RULES = BASE_RULES + MORE_RULES
