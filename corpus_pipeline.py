@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over `documents`, each on what the one before kept.
 
 Repeated rows: stages judge rows by id and text; only near duplicates folds rows that repeat
-both. Null texts count as empty: they have no class to share, no windows and no secrets, and
+both. Rows without id are judged like all others, by their text. Null texts count as empty: they have no class to share, no windows and no secrets, and
 are kept if the classifier keeps the empty text. An empty table stays empty.
 """
 
@@ -25,12 +25,12 @@ def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays: similarity 0.8 on shingles of five words."""
-    return shingle_join.one_of_each(docs, n=5, percent=80)
+    return shingle_join.one_of_each(docs, n=5, percent=80, nameless=True)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth of the words or more stand in passages of the benchmark go."""
-    return decontam.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontam.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), nameless=True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

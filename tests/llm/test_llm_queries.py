@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from llm_data import none, odd
+from llm_data import documents, none, odd, prose
 from oracle_check import connection, spark_rows, sql_rows
 
 import corpus_pipeline
@@ -55,3 +55,14 @@ def test_stages_bear_odd_tables(spark):
     for docs in (odd(spark), none(spark)):
         for _, stage in corpus_pipeline.STAGES[1:]:
             assert stage(spark, docs, SF).count() <= docs.count()
+
+
+def test_rows_without_id_are_judged(spark):
+    a, b, c = (prose(k, 50) for k in (1, 2, 3))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, a), (None, a), (None, f"{a} more"), (4, b), (None, b), (None, c), (None, c), (None, None), (None, None), (None, item), (5, "x " + item)]
+    kept = corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept if r.text not in (a, f"{a} more")), key=str) == sorted([(4, b), (None, c), (None, None), (None, None), (5, "x " + item)], key=str)
+    assert len(kept) == 6
+    left = corpus_pipeline.benchmark_free(spark, documents(spark, rows), SF).collect()
+    assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(rows[:-2], key=str)

@@ -176,11 +176,13 @@ def contamination(
     )
 
 
-def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` without the contaminated ones."""
-    found = contamination(documents, benchmark, window, key, text).where("contaminated")
+def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", nameless: bool = False) -> DataFrame:
+    """``documents`` without the contaminated ones. Rows without id all stay unless ``nameless`` has them judged by their text."""
+    name = F.struct(F.col(key).alias("id")) if nameless else F.col(key)  # a struct of null is not null, and equal to another
+    docs = documents.select(name.alias("doc"), F.col(text).alias("text"))
+    found = contamination(docs, benchmark, window, "doc", "text").where("contaminated")
     found = found.select(F.col("doc").alias("__doc"), F.col("version").alias("__version")).distinct()
-    same = (F.col(key) == F.col("__doc")) & (version_of(F.col(text)) == F.col("__version"))
+    same = (name == F.col("__doc")) & (version_of(F.col(text)) == F.col("__version"))
     return documents.join(small(stored(found, "contaminated")), same, "left_anti")
 
 
