@@ -1,8 +1,10 @@
 """The two classifiers: what they can learn, held-out accuracy, odd rows."""
 
+import zlib
+
 import numpy as np
 import pytest
-from llm_data import none, odd
+from llm_data import documents, none, odd, prose
 
 from tidegauge.llm import quality, toxicity
 from tidegauge.llm.features import Rows, byte_trigrams, hashed_terms
@@ -81,3 +83,29 @@ def test_odd_rows(spark):
     unlabelled = toxicity.fit_on(odd(spark), labels(spark, []))
     out = toxicity.score_toxicity(odd(spark), unlabelled, to="p")
     assert "p" in out.columns and all(r.p < 1e-6 for r in out.collect())
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark, monkeypatch):
+    pairs = [(1, prose(1, 30))] * 40 + [(2, prose(k, 30)) for k in range(100, 140)] + [(k, prose(k, 30)) for k in range(3, 9)]
+    pairs += [(11, prose(1, 30))] * 40 + [(12, prose(k, 30)) for k in range(200, 240)] + [(None, prose(k, 30)) for k in (300, 301, 301)]
+    marks = labels(spark, [(k, 1, k % 2) for k in range(1, 10)])
+    seen = {}
+    for module in (toxicity, quality):
+        def watched(texts, extract, bits, module=module, collected=module.collected):
+            seen[module] = [(r.id, r.text, r.label) for r in texts.collect()]
+            return collected(texts, extract, bits)
+
+        monkeypatch.setattr(module, "collected", watched)
+    for most in (5, 500):
+        toxicity.fit_on(documents(spark, pairs), marks, most)
+        quality.fit_on(documents(spark, pairs), marks, most)
+        trusted, rest = ([x for x in seen[quality] if x[2] == mark] for mark in (1, 0))
+        for rows in (seen[toxicity], trusted, rest):
+            assert len(rows) == len(set(rows)) <= most
+        if most == 5:
+            assert len({i for i, _, _ in trusted}) == 5 and len(rest) == 5
+            assert len({(i, t if i is None else "") for i, t, _ in rest}) >= 4
+        else:
+            fit_ids = {i for i, _ in pairs if i in range(1, 10) and zlib.crc32(str(i).encode()) % 4 != 2}
+            assert {(i, t) for i, t, _ in trusted} == {(i, t) for i, t in pairs if i in fit_ids}
+            assert {(i, t) for i, t, _ in rest} >= {(i, t) for i, t in pairs if i in (11, 12, None)}

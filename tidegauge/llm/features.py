@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm.batches import ALNUM, LOWER, Rolling, arrow_map, pieces, utf8, words
+from tidegauge.llm.decontam import version_of
+from tidegauge.session import stored
 
 
 @dataclass
@@ -115,22 +117,22 @@ def _extracting(extract: Extractor, bits: int):
                 rows = extract(*utf8(piece.column("text")), bits)
                 offsets = pa.array(rows.first, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), piece.column("label"), pa.ListArray.from_arrays(offsets, pa.array(rows.index)), pa.ListArray.from_arrays(offsets, pa.array(rows.value))],
-                    names=["id", "label", "index", "value"],
+                    [piece.column("id"), piece.column("version"), piece.column("label"), pa.ListArray.from_arrays(offsets, pa.array(rows.index)), pa.ListArray.from_arrays(offsets, pa.array(rows.value))],
+                    names=["id", "version", "label", "index", "value"],
                 )
 
     return task
 
 
 def collected(texts: DataFrame, extract: Extractor, bits: int) -> tuple[Rows, np.ndarray]:
-    """Features and labels of ``texts`` (id, text, label), on the driver, by id.
+    """Features and labels of ``texts`` (id, version, text, label), on the driver, by id and version.
 
-    Only for a sample with a fixed bound on its rows (see the callers).
+    Only for a sample with a fixed bound on its rows (see `sampled_texts`).
     """
     kind = texts.schema["id"].dataType.simpleString()
-    labelled = texts.select("id", "text", F.col("label").cast("int").alias("label"))
-    features = arrow_map(labelled, _extracting(extract, bits), f"id {kind}, label int, index array<int>, value array<float>")
-    table = features.toArrow().sort_by("id")
+    labelled = texts.select("id", "version", "text", F.col("label").cast("int").alias("label"))
+    features = arrow_map(labelled, _extracting(extract, bits), f"id {kind}, version long, label int, index array<int>, value array<float>")
+    table = features.toArrow().sort_by([("id", "ascending"), ("version", "ascending")])
     if not table.num_rows:
         return Rows(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64)), np.zeros(0, np.int32)
     index, value = (pa.concat_arrays(table.column(c).chunks) for c in ("index", "value"))
@@ -161,9 +163,35 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, most: int, key: str = "id") -> DataFrame:
-    """At most ``most`` rows, chosen by the hash of their key: the same ones in every run."""
-    return rows.orderBy(F.xxhash64(key), key).limit(most)
+def versions(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """``id``, ``version`` (a hash of the text) and ``text`` of all rows."""
+    return documents.select(F.col(key).alias("id"), version_of(F.col(text)).alias("version"), F.col(text).alias("text"))
+
+
+def sampled_texts(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` different pairs (id, version) of ``rows`` (id, version, more columns): the same ones in every run.
+
+    First one text of each id (that with the smallest hash), by the hash of the id, so that no id
+    fills the sample; what room they leave goes to other texts. Rows without id are told apart by their texts.
+    """
+    pairs = stored(rows.select("id", "version").distinct(), "versions")
+    nameless = F.when(F.col("id").isNull(), F.col("version"))
+    firsts = pairs.groupBy("id", nameless.alias("nameless")).agg(F.min("version").alias("version"))
+    order = [F.when(F.col("id").isNull(), F.xxhash64("version")).otherwise(F.xxhash64("id")), "id", "version"]
+    firsts = firsts.orderBy(*order).limit(most).select("id", "version", F.lit(0).alias("turn"))
+    # As many of all pairs as fit are enough to fill up with.
+    others = pairs.orderBy(F.xxhash64("id", "version"), "id", "version").limit(most).withColumn("turn", F.lit(1))
+    both = firsts.union(others).groupBy("id", "version").agg(F.min("turn").alias("turn"))
+    return both.orderBy("turn", F.xxhash64("id", "version"), "id", "version").limit(most).select("id", "version")
+
+
+def with_texts(texts: DataFrame, sample: DataFrame) -> DataFrame:
+    """``sample`` (id, version, label) with the texts (of ``texts``, see `versions`), a row each however often a text is repeated."""
+    wanted = F.broadcast(sample.select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct())
+    found = texts.join(wanted, F.col("id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__version")), "left_semi")
+    once = found.dropDuplicates(["id", "version"]).alias("t")
+    pairs = F.broadcast(sample).alias("s")
+    return once.join(pairs, F.col("t.id").eqNullSafe(F.col("s.id")) & (F.col("t.version") == F.col("s.version"))).select("t.id", "t.version", "t.text", "s.label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -13,11 +13,11 @@ ratio of the shares of unlabelled and of positive texts above a threshold (Garg
 
 The model is linear over hashed runs of three bytes and over marks for how often words
 repeat close by. The fit runs on the driver, on at most
-``max_rows`` texts of each kind chosen by the hash of their id (a documented bound); features
-are made by Spark tasks, and scoring is one narrow pass over all texts.
+``max_rows`` different texts of each kind chosen by the hash of their id (a documented bound: one
+text of each id first, others where there is room); features are made by Spark tasks, and scoring is one narrow pass over all texts.
 
 Defined cases: null and empty texts have no features and get the score of the bias alone;
-every row is scored by itself; an id is a trusted positive if any of its labels is 1; null
+every row is scored by itself, rows that repeat id and text are fit on once; an id is a trusted positive if any of its labels is 1; null
 labels and ids count as unlabelled; without positives the score is 0, without unlabelled
 texts it is 1; other columns are ignored.
 """
@@ -30,7 +30,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.features import Rows, bounded_sample, byte_trigrams, collected, held_out, scored, sigmoid
+from tidegauge.llm.features import Rows, byte_trigrams, collected, held_out, sampled_texts, scored, sigmoid, versions, with_texts
+from tidegauge.session import stored
 
 BITS = 14
 MAX_ROWS = 8_000
@@ -126,10 +127,11 @@ def fit(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: int = 500, ra
 def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, key: str = "doc_id", text: str = "text", label: str = "quality") -> LinearModel:
     """Fit on at most ``max_rows`` trusted positives outside the held-out fold and as many unlabelled documents."""
     known = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("quality"))
-    trusted = bounded_sample(known.where((F.col("quality") == 1) & ~held_out("id")), max_rows).select("id", F.lit(1).alias("label"))
-    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    unlabelled = bounded_sample(texts.select("id").join(known.where("quality is not null"), "id", "left_anti"), max_rows).select("id", F.lit(0).alias("label"))
-    rows, marks = collected(texts.join(F.broadcast(trusted.union(unlabelled)), "id"), byte_trigrams, BITS)
+    texts = versions(documents, key, text)
+    trusted = sampled_texts(texts.join(known.where((F.col("quality") == 1) & ~held_out("id")), "id", "left_semi"), max_rows)
+    unlabelled = sampled_texts(texts.join(known.where("quality is not null"), "id", "left_anti"), max_rows)
+    sample = stored(trusted.withColumn("label", F.lit(1)).union(unlabelled.withColumn("label", F.lit(0))), "sample")
+    rows, marks = collected(with_texts(texts, sample), byte_trigrams, BITS)
     return fit(rows.take(np.flatnonzero(marks == 1)), rows.take(np.flatnonzero(marks == 0)))
 
 

@@ -5,12 +5,12 @@ text adds the product of their vectors: an insult next to the mention of a group
 more than both alone, which a sum of weights can't express (Rendle, Factorization Machines,
 2010). The sum over all pairs costs no more than the sum over the terms.
 
-The fit runs on the driver, on at most ``max_rows`` labelled texts chosen by the hash of
-their id (a documented bound); features are made by Spark tasks. Scoring is one narrow pass
+The fit runs on the driver, on at most ``max_rows`` different labelled texts chosen by the hash of
+their id (a documented bound: one text of each id first, others where there is room); features are made by Spark tasks. Scoring is one narrow pass
 over all texts, with a model of fixed size broadcast to the tasks.
 
 Defined cases: null and empty texts have no terms and get the score of the bias alone;
-every row is scored by itself, so ties and repeated rows need no rule; of several labels of
+every row is scored by itself, rows that repeat id and text are fit on once; of several labels of
 an id the largest counts, null labels and ids don't; without any label of either kind the
 score is 0; other columns are ignored.
 """
@@ -23,7 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.features import Rows, bounded_sample, collected, hashed_terms, held_out, scored, sigmoid
+from tidegauge.llm.features import Rows, collected, hashed_terms, held_out, sampled_texts, scored, sigmoid, versions, with_texts
+from tidegauge.session import stored
 
 BITS = 18
 FACTORS = 6
@@ -90,9 +91,10 @@ def fit(rows: Rows, labels: np.ndarray, bits: int = BITS, factors: int = FACTORS
 def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> FactorizationMachine:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold."""
     known = labels.where(F.col(key).isNotNull() & ~held_out(key)).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("label"))
-    sample = bounded_sample(known.where("label is not null"), max_rows)
-    texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
-    rows, marks = collected(texts, hashed_terms, BITS)
+    known = known.where("label is not null")
+    texts = versions(documents, key, text)
+    sample = sampled_texts(texts.join(known, "id", "left_semi"), max_rows).join(known, "id")
+    rows, marks = collected(with_texts(texts, stored(sample, "sample")), hashed_terms, BITS)
     return fit(rows, marks.astype(np.float64))
 
 
