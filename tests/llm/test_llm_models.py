@@ -109,3 +109,11 @@ def test_a_hot_id_does_not_fill_the_sample(spark, monkeypatch):
             fit_ids = {i for i, _ in pairs if i in range(1, 10) and zlib.crc32(str(i).encode()) % 4 != 2}
             assert {(i, t) for i, t, _ in trusted} == {(i, t) for i, t in pairs if i in fit_ids}
             assert {(i, t) for i, t, _ in rest} >= {(i, t) for i, t in pairs if i in (11, 12, None)}
+
+
+def test_labels_may_cover_every_document(spark):
+    pairs = [(k, prose(k, 30) if k % 2 else " ".join(["buy now !!!"] * 15) + f" {k}") for k in range(400)]
+    df = documents(spark, pairs)
+    model = quality.fit_on(df, labels(spark, [(k, k % 2, 0) for k in range(400)]))
+    scores = {r.doc_id: r.p for r in quality.score_quality(df, model, to="p").collect()}
+    assert all((p > 0.5) == (k % 2 == 1) for k, p in scores.items())

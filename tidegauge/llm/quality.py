@@ -1,7 +1,7 @@
 """Quality classifier: positive-unlabelled learning with the non-negative risk.
 
 Trusted positives are the texts labelled good; the unlabelled ones are web text of both
-kinds. With the share ``prior`` of good texts among all, the risk of a classifier is
+kinds: all documents that may be fit on, whatever their label. With the share ``prior`` of good texts among all, the risk of a classifier is
 
     prior * R_p(+1) + max(0, R_u(-1) - prior * R_p(-1)),
 
@@ -18,8 +18,9 @@ text of each id first, others where there is room); features are made by Spark t
 
 Defined cases: null and empty texts have no features and get the score of the bias alone;
 every row is scored by itself, rows that repeat id and text are fit on once; an id is a trusted positive if any of its labels is 1; null
-labels and ids count as unlabelled; without positives the score is 0, without unlabelled
-texts it is 1; other columns are ignored.
+labels and ids count as unlabelled; a document with a label in the held-out fold is in neither
+set; without positives the score is 0, without unlabelled texts it is 1; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -125,11 +126,11 @@ def fit(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: int = 500, ra
 
 
 def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, key: str = "doc_id", text: str = "text", label: str = "quality") -> LinearModel:
-    """Fit on at most ``max_rows`` trusted positives outside the held-out fold and as many unlabelled documents."""
+    """Fit on at most ``max_rows`` trusted positives outside the held-out fold and as many documents regardless of their label."""
     known = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.max(label).alias("quality"))
     texts = versions(documents, key, text)
     trusted = sampled_texts(texts.join(known.where((F.col("quality") == 1) & ~held_out("id")), "id", "left_semi"), max_rows)
-    unlabelled = sampled_texts(texts.join(known.where("quality is not null"), "id", "left_anti"), max_rows)
+    unlabelled = sampled_texts(texts.join(known.where(F.col("quality").isNotNull() & held_out("id")), "id", "left_anti"), max_rows)
     sample = stored(trusted.withColumn("label", F.lit(1)).union(unlabelled.withColumn("label", F.lit(0))), "sample")
     rows, marks = collected(with_texts(texts, sample), byte_trigrams, BITS)
     return fit(rows.take(np.flatnonzero(marks == 1)), rows.take(np.flatnonzero(marks == 0)))
