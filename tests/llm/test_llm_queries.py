@@ -19,7 +19,7 @@ def test_query_matches_sql(spark, name):
     assert got[1]
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_one_query_for_each_operator(number):
     assert len([n for n in registry.QUERIES if n.startswith(f"op{number}_")]) == 1
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidegauge.llm import decontam, forest, ledger, licenses, piecewise, quality, repeats, shingle_join, toxicity, warc
+from tidegauge.llm import decontam, forest, ledger, licenses, manifest, part_codes, piecewise, quality, repeats, shingle_join, simhash, toxicity, warc
 
 QUERIES = {
     "op1_adaptive_prefix_join": shingle_join.op1_adaptive_prefix_join,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_interval_expansion": repeats.op8_interval_expansion,
     "op9_positive_unlabelled": quality.op9_positive_unlabelled,
     "op10_license_templates": licenses.op10_license_templates,
+    "op11_pigeonring_simhash": simhash.op11_pigeonring_simhash,
+    "op12_trie_codes": part_codes.op12_trie_codes,
+    "op13_merkle_manifest": manifest.op13_merkle_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -22,4 +25,6 @@ SQL: dict[str, str] = {
     "op3_content_addressed_warc": warc.OP3_SQL,
     "op5_positional_index": decontam.OP5_SQL,
     "op8_interval_expansion": repeats.OP8_SQL,
+    "op12_trie_codes": part_codes.OP12_SQL,
+    "op13_merkle_manifest": manifest.OP13_SQL,
 }
