@@ -382,6 +382,9 @@ ORACLE = {
         UNION ALL SELECT 'economic_indicators_yearly', CAST(year(date) AS int), count(*) FROM yearly GROUP BY 2"""),
     "read_series_docs": _sql(RAWPOINT, """
         SELECT series_id, year, period, period_name AS "periodName", value, footnotes FROM note"""),
+    "consolidated_object": _sql(RAWPOINT, r"""
+        SELECT series_id, year, period, period_name AS "periodName", value,
+               concat('[{"code":"}', code, '\"{[\\"}]') AS footnotes FROM rawpoint"""),
     "latest_doc_per_series": _sql(RAWPOINT, """
         SELECT series_id, year, period, period_name AS "periodName", value, footnotes FROM note
         WHERE period = 'M13' OR CAST(substr(series_id, 7) AS int) > 12"""),

@@ -297,6 +297,14 @@ def read_series_docs(spark, sf):
     return _points_of(documents.read_series_documents(spark, path, lines=True))
 
 
+def consolidated_object(spark, sf):
+    """All series in one indented object, with brackets in its literals."""
+    path = scratch(spark, "consolidated")
+    docs = s.rawdoc(s.bracketed(s.rawpoint(spark, sf)))
+    s.consolidated_lines(docs).write.text(path)
+    return _points_of(documents.read_consolidated(spark, path, "part-*.txt"))
+
+
 def latest_doc_per_series(spark, sf):
     """Every series delivered twice or once, both versions in the same files."""
     path = scratch(spark, "versions")
@@ -531,7 +539,7 @@ QUERIES = {
         cardinality, table_row_counts, recent_nulls, null_share, nulls_by_series, dup_keys, month_gaps,
         series_stats, outliers_3sigma, dedupe_rows,
         build_dim, map_series_ids, unmapped_counts, gold_by_year, gold_reload, gold_tables,
-        read_series_docs, latest_doc_per_series, standardize_series, annual_flag, period_to_date, footnotes_json,
+        read_series_docs, consolidated_object, latest_doc_per_series, standardize_series, annual_flag, period_to_date, footnotes_json,
         quarantine_points, silver_roundtrip, latest_snapshot,
         dq_structure, dq_types, dq_dup_points, dq_report, dq_summary, dq_shapes, dq_details,
         combine_catalogs, catalog_files_combined, catalog_roundtrip, duplicate_totals, series_by_type, apply_validation, validity_by_type,

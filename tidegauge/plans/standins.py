@@ -169,6 +169,21 @@ def raw_texts(docs: DataFrame) -> DataFrame:
     return docs.select(text.alias("value"))
 
 
+def bracketed(points: DataFrame) -> DataFrame:
+    """Points whose notes hold brackets, quotes and backslashes."""
+    return points.withColumn("code", F.concat(F.lit("}"), "code", F.lit('"{[\\')))
+
+
+def consolidated_lines(docs: DataFrame) -> DataFrame:
+    """Documents (series_id, points) as the lines of one indented object, in their order."""
+    document = F.struct(F.col("series_id").alias("seriesID"), F.col("points").alias("data"))
+    entry = F.to_json(F.struct(F.lit("industry").alias("series_type"), document.alias("data")), {"pretty": "true"})
+    mark = F.when(F.col("series_id") == docs.agg(F.min("series_id").alias("first")).scalar(), "{").otherwise(",")
+    lines = docs.select("series_id", F.concat(mark, F.lit('\n  "'), "series_id", F.lit('": '), entry).alias("value"))
+    end = docs.select(F.lit(None).cast("string").alias("series_id"), F.lit("}").alias("value")).limit(1)
+    return lines.unionByName(end).coalesce(1).sortWithinPartitions(F.asc_nulls_last("series_id")).select("value")
+
+
 def awkward(name: Column, series_id: Column) -> Column:
     """Names with all that a CSV file must quote, by the id's last digit."""
     digit = F.substring(series_id, -1, 1).cast("int")

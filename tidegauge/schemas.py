@@ -12,6 +12,7 @@ BATCH_SIZE = 50
 DAILY_LIMIT = 500
 NOT_FOUND = "Series not found in API response"
 BOOKKEEPING_FILES = ["extraction_results.json", "extraction_progress.json"]
+CONSOLIDATED_FILE = "consolidated_data.json"
 ANNUAL_TOLERANCE = 0.0001
 LOW_PRESSURE, MEDIUM_PRESSURE = 1.0, 2.5
 

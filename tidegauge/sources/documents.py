@@ -6,7 +6,8 @@ Four shapes occur, one JSON object each:
 * ``{"series_id": id, "data": [point, ...]}``
 * any object with a non-empty list: the first one holds the points and the id
   is the last ``_`` part of the file's stem
-* a consolidated object ``{id: {"series_type": t, "data": document}, ...}``
+* a consolidated object ``{id: {"series_type": t, "data": document}, ...}``, in the
+  consolidated file of any size
 
 A document may say in ``delivered`` when it was delivered (text that sorts by time).
 """
@@ -14,7 +15,8 @@ A document may say in ``delivered`` when it was delivered (text that sorts by ti
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegauge.schemas import BOOKKEEPING_FILES, POINT
+from tidegauge.schemas import BOOKKEEPING_FILES, CONSOLIDATED_FILE, POINT
+from tidegauge.sources.objects import read_entries
 
 JSON_FILES = "{*.json,part-*.txt}"  # Spark's text writer names its parts .txt
 _HEAD = "seriesID string, series_id string, data variant, delivered string"
@@ -25,18 +27,21 @@ _POINTS = f"array<{POINT.simpleString()}>"
 def read_json_text(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Objects as text with file name and time; one per file, or one per line.
 
-    Large collections belong in the line form: it splits within files, while an
-    object over many lines is one row however long it is. ``part`` tells objects
-    of one file apart.
+    ``part`` tells objects of one file apart. The consolidated file is one object of any
+    size, over one line or many: it is read in splits and gives an object for each entry.
     """
     text = spark.read.option("pathGlobFilter", JSON_FILES).text(path, wholetext=not lines)
     name = F.col("_metadata.file_name")
-    return text.where(~name.isin(BOOKKEEPING_FILES)).select(
+    objects = text.where(~name.isin(*BOOKKEEPING_FILES, CONSOLIDATED_FILE)).select(
         F.col("value").alias("json"),
         name.alias("file"),
         F.col("_metadata.file_modification_time").alias("modified"),
         F.monotonically_increasing_id().alias("part"),
     )
+    consolidated = spark.read.option("pathGlobFilter", CONSOLIDATED_FILE).text(path)
+    if not consolidated.inputFiles():
+        return objects
+    return objects.unionByName(read_entries(spark, path, CONSOLIDATED_FILE))
 
 
 def _is_list(value: Column) -> Column:
@@ -98,6 +103,11 @@ def with_points(documents: DataFrame) -> DataFrame:
     return documents.withColumn("points", points).drop("data")
 
 
+def read_consolidated(spark: SparkSession, path: str, names: str = CONSOLIDATED_FILE) -> DataFrame:
+    """Series documents of consolidated objects, which several tasks may read from one file."""
+    return with_points(parse_documents(read_entries(spark, path, names)))
+
+
 def read_series_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Series documents of a folder; one level of subfolders where it holds none itself."""
     found = parse_documents(read_json_text(spark, path, lines))
