@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,13 +28,19 @@ class Rows:
     def __len__(self) -> int:
         return len(self.first) - 1
 
+    def part(self, rows: np.ndarray) -> Part:
+        return Part(self, rows)
+
     def row(self) -> np.ndarray:
         return np.repeat(np.arange(len(self)), np.diff(self.first))
 
     def total(self, per_entry: np.ndarray) -> np.ndarray:
         """Sums of ``per_entry`` (one or more columns) by row."""
-        sums = np.concatenate([np.zeros((1, *per_entry.shape[1:])), np.cumsum(per_entry, axis=0, dtype=np.float64)])
-        return sums[self.first[1:]] - sums[self.first[:-1]]
+        out = np.zeros((len(self), *per_entry.shape[1:]))
+        some = np.flatnonzero(self.first[1:] > self.first[:-1])
+        if len(some):
+            out[some] = np.add.reduceat(per_entry, self.first[:-1][some], axis=0)
+        return out
 
     def take(self, rows: np.ndarray) -> Rows:
         size = np.diff(self.first)[rows]
@@ -42,6 +49,23 @@ class Rows:
         return Rows(self.index[at], self.value[at], first)
 
 
+@dataclass
+class Part:
+    """Some of the rows of a larger table, which stay where they are."""
+
+    rows: Rows
+    chosen: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.chosen)
+
+    def take(self, rows: np.ndarray) -> Rows:
+        return self.rows.take(self.chosen[rows])
+
+    def part(self, rows: np.ndarray) -> Part:
+        return Part(self.rows, self.chosen[rows])
+
+
 def _counted(per_text: list[np.ndarray], marks: list[np.ndarray] | None = None) -> Rows:
     """Distinct indices with the logarithm of their counts, each row of length 1; ``marks`` are more indices, of value 0.5."""
     index, value, first = [], [], [0]
@@ -78,6 +102,8 @@ def hashed_terms(data: np.ndarray, bounds: np.ndarray, bits: int) -> Rows:
 #: Upper bounds of the classes of a share of words.
 _SHARES = np.array([0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.5])
 MARKS = 2 * (len(_SHARES) + 1)
+#: In so many slices the driver takes the features of a sample.
+SLICES = 8
 
 
 def _repeats(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
@@ -111,13 +137,16 @@ Extractor = Callable[[np.ndarray, np.ndarray, int], Rows]
 
 
 def _extracting(extract: Extractor, bits: int):
+    """A task: features as pairs of 16-bit halves of the index and 32-bit values, to be small on their way."""
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 rows = extract(*utf8(piece.column("text")), bits)
                 offsets = pa.array(rows.first, pa.int32())
+                index = rows.index.astype(np.uint16).view(np.int16) if bits <= 16 else rows.index
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), piece.column("version"), piece.column("label"), pa.ListArray.from_arrays(offsets, pa.array(rows.index)), pa.ListArray.from_arrays(offsets, pa.array(rows.value))],
+                    [piece.column("id"), piece.column("version"), piece.column("label"), pa.ListArray.from_arrays(offsets, pa.array(index)), pa.ListArray.from_arrays(offsets, pa.array(rows.value))],
                     names=["id", "version", "label", "index", "value"],
                 )
 
@@ -127,17 +156,38 @@ def _extracting(extract: Extractor, bits: int):
 def collected(texts: DataFrame, extract: Extractor, bits: int) -> tuple[Rows, np.ndarray]:
     """Features and labels of ``texts`` (id, version, text, label), on the driver, by id and version.
 
-    Only for a sample with a fixed bound on its rows (see `sampled_texts`).
+    Only for a sample with a fixed bound on its rows (see `sampled_texts`). The features are
+    stored and ordered by Spark; the driver takes them in `SLICES` slices and holds one Arrow
+    table at a time beside the two arrays they end up in.
     """
     kind = texts.schema["id"].dataType.simpleString()
     labelled = texts.select("id", "version", "text", F.col("label").cast("int").alias("label"))
-    features = arrow_map(labelled, _extracting(extract, bits), f"id {kind}, version long, label int, index array<int>, value array<float>")
-    table = features.toArrow().sort_by([("id", "ascending"), ("version", "ascending")])
-    if not table.num_rows:
-        return Rows(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(1, np.int64)), np.zeros(0, np.int32)
-    index, value = (pa.concat_arrays(table.column(c).chunks) for c in ("index", "value"))
-    first = np.concatenate([[0], np.cumsum(np.asarray(index.value_lengths(), dtype=np.int64))])
-    return Rows(index.flatten().to_numpy(), value.flatten().to_numpy(), first), table.column("label").to_numpy()
+    number = "smallint" if bits <= 16 else "int"
+    features = arrow_map(labelled, _extracting(extract, bits), f"id {kind}, version long, label int, index array<{number}>, value array<float>")
+    features = stored(features, "features")
+    sizes = features.select("id", "version", F.col("label"), F.size("index").alias("n")).toArrow()
+    order = pc.sort_indices(sizes, [(c, "ascending") for c in ("id", "version", "label")]) if sizes.num_rows else pa.array([], pa.uint64())
+    sizes = sizes.take(order)
+    first = np.concatenate([[0], np.cumsum(sizes.column("n").to_numpy(), dtype=np.int64)])
+    kind_of_index = np.uint16 if bits <= 16 else np.int32
+    rows = Rows(np.empty(first[-1], kind_of_index), np.empty(first[-1], np.float32), first)
+    labels = sizes.column("label").to_numpy()
+    place = {key: i for i, key in enumerate(zip(*(sizes.column(c).to_pylist() for c in ("id", "version", "label")), strict=True))}
+    del sizes, order
+    part = F.pmod(F.xxhash64("version"), F.lit(SLICES))
+    for number in range(SLICES if len(labels) else 0):
+        table = features.where(part == number).toArrow()
+        for batch in table.to_batches():
+            bounds = np.concatenate([[0], np.cumsum(np.asarray(batch.column("index").value_lengths(), dtype=np.int64))])
+            index, value = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("index", "value"))
+            keys = zip(*(batch.column(c).to_pylist() for c in ("id", "version", "label")), strict=True)
+            for i, key in enumerate(keys):
+                at, a, b = first[place[key]], bounds[i], bounds[i + 1]
+                rows.index[at : at + b - a] = index[a:b].view(kind_of_index) if bits <= 16 else index[a:b]
+                rows.value[at : at + b - a] = value[a:b]
+        del table
+        pa.default_memory_pool().release_unused()
+    return rows, labels
 
 
 def scored(rows: DataFrame, text: str, extract: Extractor, bits: int, score: Callable[[Rows], np.ndarray], to: str = "score") -> DataFrame:
@@ -177,14 +227,29 @@ def sampled_texts(rows: DataFrame, most: int) -> DataFrame:
     pairs = stored(rows.select("id", "version").distinct(), "versions")
     nameless = F.when(F.col("id").isNull(), F.col("version"))
     firsts = pairs.groupBy("id", nameless.alias("nameless")).agg(F.min("version").alias("version"))
-    order = [F.when(F.col("id").isNull(), F.xxhash64("version")).otherwise(F.xxhash64("id")), "id", "version"]
-    firsts = firsts.orderBy(*order).limit(most).select("id", "version", F.lit(0).alias("turn"))
+    by_id = F.when(F.col("id").isNull(), F.xxhash64("version")).otherwise(F.xxhash64("id"))
+    firsts = _lowest(firsts, by_id, most).select("id", "version", F.lit(0).alias("turn"))
     # As many of all pairs as fit are enough to fill up with.
-    others = pairs.orderBy(F.xxhash64("id", "version"), "id", "version").limit(most).withColumn("turn", F.lit(1))
+    others = _lowest(pairs, F.xxhash64("id", "version"), most).withColumn("turn", F.lit(1))
     both = firsts.union(others).groupBy("id", "version").agg(F.min("turn").alias("turn"))
     return both.orderBy("turn", F.xxhash64("id", "version"), "id", "version").limit(most).select("id", "version")
 
 
+def _lowest(rows: DataFrame, by: Column, most: int) -> DataFrame:
+    """The ``most`` rows (with id, version) of the lowest hash ``by``.
+
+    A bound on the hash, from the number of rows, leaves little more than that of a table of
+    any size before anything is ordered; if chance leaves too few, the bound is doubled.
+    """
+    total = rows.count()
+    share = min(1.0, (1.5 * most + 100) / max(total, 1))
+    while True:
+        low = rows.where(by <= F.lit(int(share * (2**64 - 1025)) - 2**63)) if share < 1 else rows
+        if share >= 1 or low.count() >= most:
+            return low.orderBy(by, "id", "version").limit(most)
+        share = min(1.0, 2 * share)
+
+
 def with_texts(texts: DataFrame, sample: DataFrame) -> DataFrame:
     """``sample`` (id, version, label) with the texts (of ``texts``, see `versions`), a row each however often a text is repeated."""
     wanted = F.broadcast(sample.select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct())

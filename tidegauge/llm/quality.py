@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.features import Rows, byte_trigrams, collected, held_out, sampled_texts, scored, sigmoid, versions, with_texts
+from tidegauge.llm.features import Part, Rows, byte_trigrams, collected, held_out, sampled_texts, scored, sigmoid, versions, with_texts
 from tidegauge.session import stored
 
 BITS = 14
@@ -75,7 +75,13 @@ def _batches(n: int, size: int, rng: np.random.Generator):
             yield order[a : a + size]
 
 
-def estimated_prior(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: int = 200, seed: int = 11) -> float:
+def _margins(model: LinearModel, rows: Rows | Part) -> np.ndarray:
+    """The margins of all rows, some at a time."""
+    chunks = [model.margin(rows.take(np.arange(a, min(a + 1000, len(rows))))) for a in range(0, len(rows), 1000)]
+    return np.concatenate([np.zeros(0), *chunks])
+
+
+def estimated_prior(positive: Rows | Part, unlabelled: Rows | Part, bits: int = BITS, steps: int = 200, seed: int = 11) -> float:
     """The share of positives among the unlabelled, by the best bin of a scorer fit on the other half."""
     rng = np.random.default_rng(seed)
     half_p, half_u = rng.permutation(len(positive)), rng.permutation(len(unlabelled))
@@ -91,8 +97,8 @@ def estimated_prior(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: i
         return gp + gu, bp + bu
 
     scorer = _descend(LinearModel(0.0, np.zeros(1 << bits), 0.5), gradients, steps, 0.05, 1e-4)
-    p = np.sort(scorer.margin(positive.take(half_p[len(half_p) // 2 :])))
-    u = np.sort(scorer.margin(unlabelled.take(half_u[len(half_u) // 2 :])))
+    p = np.sort(_margins(scorer, positive.part(half_p[len(half_p) // 2 :])))
+    u = np.sort(_margins(scorer, unlabelled.part(half_u[len(half_u) // 2 :])))
     cuts = np.quantile(p, np.linspace(0, 0.9, 91))
     above_p = 1 - np.searchsorted(p, cuts) / len(p)
     above_u = 1 - np.searchsorted(u, cuts) / len(u)
@@ -101,7 +107,7 @@ def estimated_prior(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: i
     return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
-def fit(positive: Rows, unlabelled: Rows, bits: int = BITS, steps: int = 500, rate: float = 0.05, l2: float = 1e-5, seed: int = 5) -> LinearModel:
+def fit(positive: Rows | Part, unlabelled: Rows | Part, bits: int = BITS, steps: int = 500, rate: float = 0.05, l2: float = 1e-5, seed: int = 5) -> LinearModel:
     """Minimise the non-negative risk with the logistic loss."""
     if not len(positive) or not len(unlabelled):
         return LinearModel(-60.0 if len(unlabelled) or not len(positive) else 60.0, np.zeros(1 << bits), 0.5)
@@ -133,7 +139,7 @@ def fit_on(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, ke
     unlabelled = sampled_texts(texts.join(known.where(F.col("quality").isNotNull() & held_out("id")), "id", "left_anti"), max_rows)
     sample = stored(trusted.withColumn("label", F.lit(1)).union(unlabelled.withColumn("label", F.lit(0))), "sample")
     rows, marks = collected(with_texts(texts, sample), byte_trigrams, BITS)
-    return fit(rows.take(np.flatnonzero(marks == 1)), rows.take(np.flatnonzero(marks == 0)))
+    return fit(Part(rows, np.flatnonzero(marks == 1)), Part(rows, np.flatnonzero(marks == 0)))
 
 
 def score_quality(documents: DataFrame, model: LinearModel, text: str = "text", to: str = "score") -> DataFrame:
