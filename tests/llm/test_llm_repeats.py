@@ -78,3 +78,33 @@ def test_long_texts_are_cut_into_chunks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_FOLD", 2000)
     rows = corpus(3)
     assert found(documents(spark, rows)) == brute(rows)
+
+
+def test_many_texts_of_one_id_and_of_none(spark):
+    rng = random.Random(8)
+    passages = ["".join(rng.choice("abcdefgh") for _ in range(130)) for _ in range(40)]
+    rows = []
+    for k in range(3000):
+        text = "".join(rng.choice("klmnopqrst ") for _ in range(140))
+        if k % 25 == 0:
+            text = text[:70] + rng.choice(passages) + text[70:]
+        rows.append(((7, None, -(2**63))[k % 3], text))
+    hashes = [r[0] for r in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("xxhash64(t) & 9223372036854775807").collect()]
+    order = sorted(range(len(rows)), key=lambda k: (-(2**63) if rows[k][0] is None else rows[k][0], rows[k][0] is not None, -hashes[k] if rows[k][0] is None else hashes[k]))
+    seen, removed = set(), {}
+    for k in order:
+        data, cut = rows[k][1].encode(), set()
+        for a in range(len(data) - 99):
+            if data[a : a + 100] in seen:
+                cut.update(range(a, a + 100))
+            seen.add(data[a : a + 100])
+        removed[rows[k]] = bytes(b for i, b in enumerate(data) if i not in cut)
+    assert 60 < sum(len(removed[r]) < len(r[1]) for r in rows) < 130
+    got = repeats.remove_repeats(documents(spark, rows)).selectExpr("id", "string(kept) AS kept").collect()
+    assert sorted(((r.id, r.kept) for r in got), key=str) == sorted(((r[0], removed[r].decode()) for r in rows), key=str)
+
+
+def test_crowded_minimisers_go_through_the_transform(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CLASSES", ((2, 2), (5, 8)))
+    rows = corpus(4)
+    assert found(documents(spark, rows)) == brute(rows)

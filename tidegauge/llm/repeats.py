@@ -11,8 +11,8 @@ input. All strings are judged, none is sampled:
    minimisers that several different runs share go on, with one run of each kind.
 3. These runs are cut into classes by the place of the minimiser, and dealt out anew by the
    bytes that all strings of a class have in common. The more runs share a minimiser, the
-   narrower are the classes, down to single strings, so that no group of different runs is
-   large, however common a line is.
+   narrower are the classes, down to two neighbouring strings, so that no group of different
+   runs is large, however common a line is.
 4. Blocks of whole groups are bounded in bytes. A block's suffixes are ordered, and its
    interval expansion (`bwt`) gives the suffixes that agree on ``least`` bytes; of these, all
    but the earliest are repeats.
@@ -23,7 +23,8 @@ documents sends one row for many texts, and groups are streamed, not gathered.
 
 Defined cases: null and empty texts have no bytes and keep none; a missing id counts as the
 smallest; rows that repeat id and text are one document (each row gives its result); rows
-of one id with different texts are ordered by a hash of the text; an empty table gives no
+of one id with different texts are different documents, in the order of a hash of the text
+(63 bits, with the id what a text is known by); texts of any length are cut into parts; an empty table gives no
 rows; columns other than the two named ones are ignored. Ids must be whole numbers.
 """
 
@@ -50,19 +51,18 @@ _CHUNK = 1 << 20
 #: Bytes of text after which equal rows are folded and sent off.
 _FOLD = 8 << 20
 _POSITION = np.uint64((1 << 21) - 1)
-_RUNS = "key long, sh long, doc long, at long"
+_RUNS = "key long, sh long, doc long, version long, at long"
+_ORDER = ("key", "sh", "doc", "version", "at")
 
-# A stretch of a document in 63 bits: 17 of the text's hash, 32 of the start, 7 of the length
-# beyond `least`, 7 of the minimiser's place from the start. Ascending by (version, start).
-_VERSION_BITS = 17
 
+# A stretch of a document in 63 bits: 49 of the start, 7 of the length beyond `least`, 7 of
+# the minimiser's place from the start. Ascending by start.
+def _packed(start: np.ndarray, more: np.ndarray, place: np.ndarray | int = 0) -> np.ndarray:
+    return start.astype(np.int64) << 14 | more.astype(np.int64) << 7 | place
 
-def _packed(version: np.ndarray, start: np.ndarray, more: np.ndarray, place: np.ndarray | int = 0) -> np.ndarray:
-    return version.astype(np.int64) << 46 | start.astype(np.int64) << 14 | more.astype(np.int64) << 7 | place
 
-
-def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return at >> 46, at >> 14 & 0xFFFFFFFF, at >> 7 & 127, at & 127
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 14, at >> 7 & 127, at & 127
 
 
 def _runs(data: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
@@ -89,14 +89,19 @@ def _runs(data: np.ndarray, bounds: np.ndarray, least: int) -> tuple[np.ndarray,
     return grams[place], rolling.of(a, b + least), a, b - a, place - a
 
 
-def _folded(key: np.ndarray, sh: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _folded(key: np.ndarray, sh: np.ndarray, doc: np.ndarray, version: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows to keep: the first of each (key, sh). And rows that repeat one. Rows that are equal in all count once."""
-    order = np.lexsort((at, doc, sh, key))
-    key, sh, doc, at = key[order], sh[order], doc[order], at[order]
-    group = np.concatenate([[True], (key[1:] != key[:-1]) | (sh[1:] != sh[:-1])]) if len(key) else np.zeros(0, bool)
-    again = ~group
-    again[1:] &= (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
-    return order[group], order[again]
+    order = np.lexsort((at, version, doc, sh, key))
+    key, sh, doc, version, at = (c[order] for c in (key, sh, doc, version, at))
+    group = _changes(key, sh)
+    return order[group], order[~group & _changes(doc, version, at)]
 
 
 def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
@@ -132,20 +137,24 @@ def _finding(least: int):
                     part = data[low : low + _CHUNK + least - 1]
                     key, sh, start, more, place = _runs(part, np.clip(bounds - low, 0, len(part)), least)
                     text = np.searchsorted(bounds, start + low, side="right") - 1
-                    at = _packed(version[text], start + low - bounds[text], more, place)
-                    parts.append((key.view(np.int64), sh.view(np.int64), doc[text], at))
+                    at = _packed(start + low - bounds[text], more, place)
+                    parts.append((key.view(np.int64), sh.view(np.int64), doc[text], version[text], at))
             if not parts:
                 continue
-            key, sh, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            keep, again = _folded(key, sh, doc, at)
-            yield _batch({"key": key[keep], "sh": sh[keep], "doc": doc[keep], "at": at[keep]})
-            yield _batch({"key": mixed(doc[again].view(np.uint64)).view(np.int64), "sh": sh[again], "doc": doc[again], "at": ~at[again]})
+            key, sh, doc, version, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            keep, again = _folded(key, sh, doc, version, at)
+            yield _batch({"key": key[keep], "sh": sh[keep], "doc": doc[keep], "version": version[keep], "at": at[keep]})
+            yield _batch({"key": _spread(doc[again], version[again]), "sh": sh[again], "doc": doc[again], "version": version[again], "at": ~at[again]})
 
     return task
 
 
+def _spread(doc: np.ndarray, version: np.ndarray) -> np.ndarray:
+    return mixed(doc.view(np.uint64) ^ mixed(version.view(np.uint64))).view(np.int64)
+
+
 class _Groups:
-    """Streams rows sorted by (key, sh, doc, at): tells repeats, and the first rows of keys with several different sh."""
+    """Streams rows sorted by (key, sh, doc, version, at): tells repeats, and the first rows of keys with several different sh."""
 
     def __init__(self) -> None:
         self.pending: dict[str, np.ndarray] | None = None
@@ -155,12 +164,10 @@ class _Groups:
         """Repeats, rows of several to a key, and where a new key begins among the latter."""
         if self.pending is not None:
             rows = {c: np.concatenate([self.pending[c], x]) for c, x in rows.items()}
-        key, sh, doc, at = (rows[c] for c in ("key", "sh", "doc", "at"))
-        if not len(key):
+        if not len(rows["key"]):
             return rows, rows, np.zeros(0, bool)
-        new = np.concatenate([[True], (key[1:] != key[:-1]) | (sh[1:] != sh[:-1])])
-        again = ~new
-        again[1:] &= (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+        new = _changes(rows["key"], rows["sh"])
+        again = ~new & _changes(*(rows[c] for c in ("doc", "version", "at")))
         repeats = {c: x[again] for c, x in rows.items()}
         rows = {c: x[new] for c, x in rows.items()}
         key = rows["key"]
@@ -184,15 +191,15 @@ def _resolving():
     """A task over sorted runs: repeats (several false), and the first runs of minimisers that different runs share."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, names = _Groups(), ("key", "sh", "doc", "at")
+        groups = _Groups()
 
         def out(rows: dict[str, np.ndarray], several: bool) -> pa.RecordBatch:
-            return _batch({"several": np.full(len(rows["at"]), several), "key": rows["key"], "doc": rows["doc"], "at": rows["at"]})
+            return _batch({"several": np.full(len(rows["at"]), several), **{c: rows[c] for c in ("key", "doc", "version", "at")}})
 
         for batch in batches:
-            rows = _columns(batch, names)
+            rows = _columns(batch, _ORDER)
             known = rows["at"] < 0
-            yield _batch({"several": np.zeros(known.sum(), bool), "key": rows["key"][known], "doc": rows["doc"][known], "at": ~rows["at"][known]})
+            yield out({c: ~x[known] if c == "at" else x[known] for c, x in rows.items()}, False)
             repeats, more, _ = groups.take({c: x[~known] for c, x in rows.items()})
             yield out(repeats, False)
             yield out(more, True)
@@ -219,8 +226,8 @@ def _cutting(least: int):
                 fields = runs.flatten()
                 key, at, classes = (fields.field(c).to_numpy() for c in ("key", "at", "classes"))
                 text = np.repeat(np.arange(piece.num_rows), per_text)
-                version, start, more, place = _unpacked(at)
-                doc = piece.column("doc").to_numpy()[text]
+                start, more, place = _unpacked(at)
+                doc, version = (piece.column(c).to_numpy()[text] for c in ("doc", "version"))
                 spot = bounds[text] + start + place  # of the minimiser
                 for m in np.unique(classes).tolist():
                     width = -(-places // m)
@@ -231,17 +238,17 @@ def _cutting(least: int):
                         a, b = spot[some] - own_high[some], spot[some] - own_low[some] + least
                         shared = rolling.of(spot[some] - low, spot[some] - high + least)
                         new = mixed(key[some].view(np.uint64) ^ mixed(shared + np.uint64(c)))
-                        where = _packed(version[some], a - bounds[text[some]], b - a - least)
-                        parts.append((new.view(np.int64), rolling.of(a, b).view(np.int64), doc[some], where))
+                        where = _packed(a - bounds[text[some]], b - a - least)
+                        parts.append((new.view(np.int64), rolling.of(a, b).view(np.int64), doc[some], version[some], where))
                         texts += [data[x:y].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
             if not parts:
                 continue
-            key, sh, doc, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            keep, again = _folded(key, sh, doc, at)
+            key, sh, doc, version, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+            keep, again = _folded(key, sh, doc, version, at)
             kept = pa.array([texts[i] for i in keep.tolist()], pa.binary())
-            yield _batch({"key": key[keep], "sh": sh[keep], "doc": doc[keep], "at": at[keep], "bytes": kept})
+            yield _batch({"key": key[keep], "sh": sh[keep], "doc": doc[keep], "version": version[keep], "at": at[keep], "bytes": kept})
             none = pa.nulls(len(again), pa.binary())
-            yield _batch({"key": mixed(doc[again].view(np.uint64)).view(np.int64), "sh": sh[again], "doc": doc[again], "at": ~at[again], "bytes": none})
+            yield _batch({"key": _spread(doc[again], version[again]), "sh": sh[again], "doc": doc[again], "version": version[again], "at": ~at[again], "bytes": none})
 
     return task
 
@@ -250,23 +257,24 @@ def _expanding(least: int, block: int):
     """A task over sorted classes: the stretches that repeats cover, by transforms of blocks of whole groups."""
 
     def expanded(rows: list[dict[str, np.ndarray]]) -> pa.RecordBatch:
-        doc, at = (np.concatenate([r[c] for r in rows]) for c in ("doc", "at"))
+        doc, version, at = (np.concatenate([r[c] for r in rows]) for c in ("doc", "version", "at"))
         strings = [s for r in rows for s in r["bytes"]]
         rank = np.empty(len(strings), np.int64)
-        rank[np.lexsort((at, doc))] = np.arange(len(strings))
-        version, start, _, _ = _unpacked(at)
-        docs, ats = [], []
+        rank[np.lexsort((at, version, doc))] = np.arange(len(strings))
+        start, _, _ = _unpacked(at)
+        owner, ats = [], []
         for i, offsets in enumerate(repeated(strings, rank, least)):
             if len(offsets):
                 edge = np.flatnonzero(np.diff(offsets) != 1) + 1
                 a, b = offsets[np.concatenate([[0], edge])], offsets[np.concatenate([edge, [len(offsets)]]) - 1]
-                docs.append(np.full(len(a), doc[i]))
-                ats.append(_packed(np.full(len(a), version[i]), start[i] + a, b - a))
+                owner.append(np.full(len(a), i))
+                ats.append(_packed(start[i] + a, b - a))
         empty = np.zeros(0, np.int64)
-        return _batch({"doc": np.concatenate([empty, *docs]), "at": np.concatenate([empty, *ats])})
+        of = np.concatenate([empty, *owner])
+        return _batch({"doc": doc[of], "version": version[of], "at": np.concatenate([empty, *ats])})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, names = _Groups(), ("key", "sh", "doc", "at", "bytes")
+        groups, names, place = _Groups(), (*_ORDER, "bytes"), ("doc", "version", "at")
         waiting: list[dict[str, np.ndarray]] = []
         size = 0
 
@@ -280,15 +288,15 @@ def _expanding(least: int, block: int):
                     waiting.clear()
                     size = 0
                 if b > a:
-                    waiting.append({c: rows[c][a:b] for c in ("doc", "at", "bytes")})
+                    waiting.append({c: rows[c][a:b] for c in (*place, "bytes")})
                     size += int(lengths[b] - lengths[a])
 
         for batch in batches:
             rows = _columns(batch, names)
             known = rows["at"] < 0
-            yield _batch({"doc": rows["doc"][known], "at": ~rows["at"][known]})
+            yield _batch({c: ~rows[c][known] if c == "at" else rows[c][known] for c in place})
             repeats, more, starts = groups.take({c: x[~known] for c, x in rows.items()})
-            yield _batch({"doc": repeats["doc"], "at": repeats["at"]})
+            yield _batch({c: repeats[c] for c in place})
             yield from add(more, starts)
         if groups.pending is not None:
             _, more, starts = groups.take({c: x[:0] for c, x in groups.pending.items()}, last=True)
@@ -310,7 +318,7 @@ def _keeping(least: int):
                     data = (text.as_py() or "").encode()
                     merged: list[list[int]] = []
                     if cuts.is_valid:
-                        _, start, more, _ = _unpacked(np.sort(cuts.values.to_numpy()))
+                        start, more, _ = _unpacked(np.sort(cuts.values.to_numpy()))
                         for a, b in zip(start.tolist(), (start + more + least).tolist(), strict=True):
                             if merged and a <= merged[-1][1]:
                                 merged[-1][1] = max(merged[-1][1], b)
@@ -338,24 +346,26 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, key: str = "doc_id", tex
     """Per row: ``id``, ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``spans`` (start, end of what is cut out, in bytes)."""
     if not GRAM <= least <= GRAM + 104:
         raise ValueError(f"least must be from {GRAM} to {GRAM + 104}")
-    version = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit((1 << _VERSION_BITS) - 1))
+    # Rows without id come before those with the smallest one, and are told apart from them.
+    version = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(2**63 - 1))
+    version = F.when(F.col(key).isNull(), -1 - version).otherwise(version)
     number = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
     texts = docs.select(F.col(key).cast("long").alias("id"), number.alias("doc"), version.alias("version"), F.col(text).alias("text"))
-    order = ("key", "sh", "doc", "at")
     runs = arrow_map(texts.select("doc", "version", "text"), _finding(least), _RUNS)
-    first = arrow_map(runs.repartition("key").sortWithinPartitions(*order), _resolving(), "several boolean, key long, doc long, at long")
+    first = arrow_map(runs.repartition("key").sortWithinPartitions(*_ORDER), _resolving(), "several boolean, key long, doc long, version long, at long")
     first = stored(first, "runs")
     several = first.where("several").drop("several")
     crowds = several.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).where(F.col("crowd") > CLASSES[0][0])
     classes = F.when(F.coalesce("crowd", F.lit(0)) <= CLASSES[0][0], CLASSES[0][1]).when(F.col("crowd") <= CLASSES[1][0], CLASSES[1][1])
-    sized = several.join(crowds, "key", "left").withColumn("classes", classes.otherwise(least - GRAM + 1))
-    of_text = F.shiftright("at", 46).alias("version")
-    wanted = sized.groupBy("doc", of_text).agg(F.collect_list(F.struct("key", "at", "classes")).alias("runs"))
+    # At most two neighbouring strings to a class: of them all, no more than the bytes on both sides allow.
+    sized = several.join(crowds, "key", "left").withColumn("classes", classes.otherwise((least - GRAM + 2) // 2))
+    wanted = sized.groupBy("doc", "version").agg(F.collect_list(F.struct("key", "at", "classes")).alias("runs"))
     unique = texts.select("doc", "version", "text").join(wanted, ["doc", "version"])
     cut = arrow_map(unique, _cutting(least), _RUNS + ", bytes binary")
-    second = stored(arrow_map(cut.repartition("key").sortWithinPartitions(*order), _expanding(least, block), "doc long, at long"), "repeats")
-    marks = first.where("not several").select("doc", "at").union(second)
-    cuts = marks.groupBy("doc", of_text).agg(F.collect_list("at").alias("cuts"))
+    second = arrow_map(cut.repartition("key").sortWithinPartitions(*_ORDER), _expanding(least, block), "doc long, version long, at long")
+    second = stored(second, "repeats")
+    marks = first.where("not several").select("doc", "version", "at").union(second)
+    cuts = marks.groupBy("doc", "version").agg(F.collect_list("at").alias("cuts"))
     schema = "id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>"
     return arrow_map(texts.join(cuts, ["doc", "version"], "left").select("id", "text", "cuts"), _keeping(least), schema)
 
