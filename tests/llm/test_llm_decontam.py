@@ -3,8 +3,11 @@
 import random
 import re
 
+import duckdb
 from llm_data import LONG, documents, none, odd, prose
 
+from oracle_check import spark_rows, sql_rows
+
 from tidegauge.llm import decontam
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -23,7 +26,7 @@ def brute(docs, items, window=13):
     out = []
     for i, t in docs:
         w, hit, got = words(t), set(), set()
-        for item, p in phrases if i is not None else []:
+        for item, p in phrases:
             for s in range(len(w) - len(p) + 1):
                 if w[s : s + len(p)] == p:
                     hit.update(range(s, s + len(p)))
@@ -88,3 +91,16 @@ def test_proximity_equals_brute_force(spark):
     texts = decontam._texts(documents(spark, docs), "doc_id", "text")
     got = decontam.proximity_matches(texts, asked, within).collect()
     assert {(r.query_id, r.doc, r.start, r.end) for r in got} == want and len(got) == len(want)
+
+
+def test_query_and_sql_judge_rows_without_id(spark, tmp_path):
+    item = prose(1, 20)
+    rows = [(None, item), (None, "other " + item + " words"), (None, None), (1, item), (1, "clean"), (2, item[:20])]
+    documents(spark, rows).select("doc_id", "text").write.parquet(f"{tmp_path}/t/documents.parquet")
+    spark.createDataFrame([(5, item), (None, "clean")], "item_id long, text string").write.parquet(f"{tmp_path}/t/benchmark.parquet")
+    names, got = spark_rows(decontam.op5_positional_index(spark, f"{tmp_path}/t"))
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/t/{name}.parquet/*.parquet')")
+    assert (names, got) == sql_rows(con, decontam.OP5_SQL)
+    assert sorted((str(r[1]), r[3]) for r in got) == [("1", 1), ("1", 20), ("2", 0), ("None", 0), ("None", 20), ("None", 20)]

@@ -13,9 +13,11 @@ words, in any order.
 
 Words are the runs of 0-9, a-z and characters beyond ASCII, after A-Z became a-z.
 
-Defined cases: null and empty texts have no words; documents without id have their words
-counted, but no matches; rows that repeat id and text give a result each; rows of one id
-with different texts are different documents; benchmark items without id mark words as hit,
+Defined cases: null and empty texts have no words; very long texts are matched whole, a list
+of positions for each of their terms; documents without id are judged by their text like
+all others; rows that repeat id and text give a result each; rows of one id with different
+texts are different documents; of a phrase's terms that are equally rare the first ranks
+first; benchmark items without id mark words as hit,
 but aren't counted; items with the same id are one item; an empty benchmark or table gives
 documents without hits, or none; columns other than the named ones are ignored.
 """
@@ -152,7 +154,7 @@ def contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Per row of ``documents``: ``doc`` (the key), ``version``, ``n_words``, ``n_hit``, ``items`` (ascending, as strings) and ``contaminated``."""
-    docs = _texts(documents, key, text)
+    docs = _texts(documents.withColumns({key: F.struct(F.col(key).alias("id"))}), key, text)  # a struct of null equals another
     windows = stored(benchmark_windows(benchmark, window, item, item_text), "windows")
     found = stored(phrase_matches(docs, windows.select("phrase").distinct()), "matches")
     by_doc = ["doc", "version"]
@@ -168,7 +170,8 @@ def contamination(
     rows = docs.select(*by_doc, F.size(words_of(F.col("text"))).cast("long").alias("n_words")).join(small(marked), by_doc, "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.select(
-        *by_doc,
+        F.col("doc.id").alias("doc"),
+        "version",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -178,11 +181,11 @@ def contamination(
 
 def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", nameless: bool = False) -> DataFrame:
     """``documents`` without the contaminated ones. Rows without id all stay unless ``nameless`` has them judged by their text."""
-    name = F.struct(F.col(key).alias("id")) if nameless else F.col(key)  # a struct of null is not null, and equal to another
-    docs = documents.select(name.alias("doc"), F.col(text).alias("text"))
+    docs = documents.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     found = contamination(docs, benchmark, window, "doc", "text").where("contaminated")
     found = found.select(F.col("doc").alias("__doc"), F.col("version").alias("__version")).distinct()
-    same = (name == F.col("__doc")) & (version_of(F.col(text)) == F.col("__version"))
+    same_id = F.col(key).eqNullSafe(F.col("__doc")) if nameless else F.col(key) == F.col("__doc")
+    same = same_id & (version_of(F.col(text)) == F.col("__version"))
     return documents.join(small(stored(found, "contaminated")), same, "left_anti")
 
 
@@ -200,7 +203,7 @@ def op5_positional_index(spark, sf_dir: str) -> DataFrame:
 
 OP5_SQL = r"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
 b AS (
   SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -210,15 +213,15 @@ win AS (
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM win),
 place AS (
-  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS p
-  FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS s FROM d, sizes)),
-hit AS (SELECT doc_id, s, place.n, item_id FROM place JOIN win ON place.p = win.p AND place.n = win.n),
-pos AS (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS i FROM hit),
-n_pos AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
-item AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
-         FROM (SELECT DISTINCT doc_id, CAST(item_id AS varchar) AS i FROM hit) GROUP BY doc_id)
+  SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS p
+  FROM (SELECT r, w, n, unnest(range(1, greatest(len(w) - n + 1, 0) + 1)) AS s FROM d, sizes)),
+hit AS (SELECT r, s, place.n, item_id FROM place JOIN win ON place.p = win.p AND place.n = win.n),
+pos AS (SELECT DISTINCT r, unnest(range(s, s + n)) AS i FROM hit),
+n_pos AS (SELECT r, count(*) AS n_hit FROM pos GROUP BY r),
+item AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+         FROM (SELECT DISTINCT r, CAST(item_id AS varchar) AS i FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT d.doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN n_pos USING (doc_id) LEFT JOIN item USING (doc_id)
+FROM d LEFT JOIN n_pos USING (r) LEFT JOIN item USING (r)
 """
