@@ -1,12 +1,14 @@
 """Gold and silver storage, and the incremental views."""
 
 import datetime as dt
+import os
+import random
 
 import pytest
 
 from tidegauge.operators import views
 from tidegauge.session import scratch
-from tidegauge.sources import snapshots, tables
+from tidegauge.sources import files, snapshots, tables
 from tidegauge.streaming import views as streaming
 
 FACT = "series_id string, date date, value double, is_annual_avg boolean"
@@ -145,7 +147,7 @@ def test_incremental_views_equal_a_batch_run(spark, tmp_path, arrivals):
             stream = streaming.observation_stream(spark, landing, 1)
             streaming.maintain_periods(stream, f"{tmp_path}/{view}", f"{tmp_path}/{view}_at", start, True).awaitTermination()
         stream = streaming.observation_stream(spark, landing, 1)
-        streaming.maintain_changes(stream, f"{tmp_path}/changes", f"{tmp_path}/changes_at", 4, True).awaitTermination()
+        streaming.maintain_changes(stream, f"{tmp_path}/changes", f"{tmp_path}/changes_at", True).awaitTermination()
 
     run()
     late.coalesce(1).write.mode("append").parquet(landing)
@@ -158,11 +160,116 @@ def test_incremental_views_equal_a_batch_run(spark, tmp_path, arrivals):
     assert rows(changes) == rows(views.changes_by_rows(everything, dim))
 
 
+DIMENSIONS = [(s, s, s, "BLS") for s in "abc"]
+
+
 def test_a_replayed_batch_counts_once(spark, tmp_path):
+    log = streaming.period_log(spark, str(tmp_path / "s"), 2)
+    for batch_id in (0, 0, 1, 1, 0, 2):
+        streaming.add_period_batch(log, fact_of(spark, range(12)), batch_id, streaming.MONTHLY)
+    assert {r.value_count for r in streaming._merged(log.read("state")).collect()} == {3}
+    changes = streaming.changes_log(spark, str(tmp_path / "c"), 2)
+    for batch_id in (0, 0, 1, 1):
+        streaming.add_changes_batch(changes, fact_of(spark, range(12 * batch_id, 12 * batch_id + 12)), batch_id)
+    dim = spark.createDataFrame(DIMENSIONS, DIM)
+    assert rows(streaming.read_changes(spark, changes.root, dim)) == rows(views.changes_by_rows(fact_of(spark, range(24)), dim))
+
+
+def test_a_run_that_broke_off_leaves_no_trace(spark, tmp_path):
+    log = streaming.period_log(spark, str(tmp_path / "s"), 3)
     state = views.period_state(fact_of(spark, range(12)), streaming.MONTHLY(views.F.col("date")))
-    for batch_id in (0, 0, 1):
-        streaming._replace(state.withColumn("batch_id", views.F.lit(batch_id)), str(tmp_path / "s"), "batch_id")
-    dim = spark.createDataFrame([(s, s, s, "BLS") for s in "ab"], DIM)
-    merged = spark.read.parquet(str(tmp_path / "s")).groupBy("series_id", "date").agg(*views.merge_state())
-    assert {r.value_count for r in merged.collect()} == {2}
-    assert streaming.read_periods(spark, str(tmp_path / "s"), dim).count() == 24
+    log.write(log.begin(0), "state", state)  # and no commit
+    assert log.read("state").count() == 0 and not log.holds(0)
+    streaming.add_period_batch(log, fact_of(spark, range(12)), 0, streaming.MONTHLY)
+    assert {r.value_count for r in log.read("state").collect()} == {1}
+    assert len(files.names(spark, f"{tmp_path}/s/runs")) == 1
+
+
+def test_many_batches_leave_few_folders_and_readers_see_one_state(spark, tmp_path):
+    log, fanout = streaming.period_log(spark, str(tmp_path / "s"), 3), 3
+    for number in range(20):
+        before = streaming._merged(log.read("state"))  # opened before the batch and what it merges
+        streaming.add_period_batch(log, fact_of(spark, [number % 5], "a"), number, streaming.MONTHLY)
+        assert sum(r.value_count for r in before.collect()) == number
+        runs = log.state()[1]
+        assert len(runs) <= 2 * (fanout - 1) + 2 and [r.first for r in runs] == sorted(r.first for r in runs)
+    assert {r.level for r in runs} == {0, 2} and sum(r.last - r.first + 1 for r in runs) == 20
+    assert len(files.names(spark, f"{tmp_path}/s/runs")) <= 10
+    assert len(files.names(spark, f"{tmp_path}/s/manifest")) == 3
+
+
+def test_two_writers_of_one_log_are_told_apart(spark, tmp_path):
+    one, two = (streaming.period_log(spark, str(tmp_path / "s")) for _ in range(2))
+    state = views.period_state(fact_of(spark, range(12)), streaming.MONTHLY(views.F.col("date")))
+    runs = [log.begin(0) for log in (one, two)]
+    for log, run in zip((one, two), runs, strict=True):
+        log.write(run, "state", state)
+    path = f"{tmp_path}/x/1.json"
+    assert files.put_if_absent(spark, path, "a") and not files.put_if_absent(spark, path, "b")
+    assert spark.read.text(path).first()[0] == "a" and files.names(spark, f"{tmp_path}/x") == ["1.json"]
+    two.state = lambda: (0, [])  # saw nothing of the other
+    one.commit(runs[0])
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.commit(runs[1])
+
+
+def written(spark, log, batch_id):
+    return log.spark.read.parquet(*[f"{log.root}/runs/{r.folder}/changes" for r in log.state()[1] if r.first == batch_id])
+
+
+def test_a_late_batch_rewrites_only_what_looks_back_at_it(spark, tmp_path):
+    log = streaming.changes_log(spark, str(tmp_path / "c"))
+    dim = spark.createDataFrame(DIMENSIONS, DIM)
+    everything = fact_of(spark, range(120), "abc")
+    late = (views.F.col("series_id") == "b") & (views.F.col("date") == month(50))
+    streaming.add_changes_batch(log, everything.where(~late), 0)
+    folders = set(files.names(spark, f"{log.root}/runs"))
+    old = {f: sorted(os.listdir(f"{log.root}/runs/{f}/changes")) for f in folders}
+    streaming.add_changes_batch(log, everything.where(late), 1)
+    assert old == {f: sorted(os.listdir(f"{log.root}/runs/{f}/changes")) for f in folders}
+    made = written(spark, log, 1)
+    assert {r.series_id for r in made.collect()} == {"b"}
+    assert sorted(r.date for r in made.collect()) == [month(50 + k) for k in range(13)]
+    assert rows(streaming.read_changes(spark, log.root, dim)) == rows(views.changes_by_rows(everything, dim))
+
+
+def test_random_deliveries_equal_a_batch_run(spark, tmp_path):
+    rng = random.Random(6)
+    everything = [(rng.choice("abc"), month(rng.choice([rng.randrange(0, 30), rng.randrange(200, 240)])), float(rng.randrange(5)), rng.random() < 0.1) for _ in range(150)]
+    log = streaming.changes_log(spark, str(tmp_path / "c"), 3)
+    dim = spark.createDataFrame(DIMENSIONS, DIM)
+    for number in range(5):
+        streaming.add_changes_batch(log, spark.createDataFrame(everything[number * 30 : number * 30 + 30], FACT), number)
+    got = streaming.read_changes(spark, log.root, dim)
+    assert rows(got) == rows(views.changes_by_rows(spark.createDataFrame(everything, FACT), dim))
+
+
+def test_years_far_from_a_delivery_are_not_read(spark, tmp_path):
+    log = streaming.changes_log(spark, str(tmp_path / "c"))
+    streaming.add_changes_batch(log, fact_of(spark, range(240), "ab"), 0)
+    touched = spark.createDataFrame([("a", month(125))], "series_id string, date date")
+    needed = streaming._years_needed(touched, log.read("counts"))
+    assert rows(needed) == [("a", 2009), ("a", 2010), ("a", 2011)]
+
+
+def test_a_rerun_leaves_published_folders_alone_and_the_catalog_switches(spark, tmp_path):
+    gold = str(tmp_path / "gold")
+    dim = spark.createDataFrame(DIMENSIONS, DIM)
+    full = fact_of(spark, range(36)).withColumn("created_at", views.F.lit("2024-01-01").cast("timestamp"))
+    tables.publish({"values": full, "dim": dim}, gold, "1")
+    tables.register(spark, "rerun_test", gold, ["values", "dim"])
+    between, by_sql = tables.published(spark, gold, "values"), spark.table("rerun_test.values")
+    tables.publish({"values": full.where("year(date) < 2002"), "dim": dim}, gold, "1")
+    assert between.count() == by_sql.count() == 72  # as opened before the second write
+    assert spark.table("rerun_test.values").count() == 72  # not yet switched
+    tables.register(spark, "rerun_test", gold, ["values", "dim"])
+    assert spark.table("rerun_test.values").count() == 48
+    assert spark.table("rerun_test.values").where("year = 2002").count() == 0
+    assert tables.published(spark, gold, "values", 1).count() == 72
+    described = spark.sql("SHOW CREATE TABLE rerun_test.values").first()[0]
+    assert "DEFAULT" in described and "PARTITIONED BY (year)" in described
+    counts = {(r.table_name, r.year): r.row_count for r in tables.published_counts(spark, gold).collect()}
+    assert counts == {("values", 2000): 24, ("values", 2001): 24, ("dim", None): 3}
+    tables.forget(spark, gold, 1)
+    assert len(files.names(spark, f"{gold}/runs")) == 1 and tables.published(spark, gold, "values").count() == 48
+    spark.sql("DROP DATABASE rerun_test CASCADE")

@@ -68,6 +68,12 @@ changes AS (
   FROM obs v JOIN dim m ON v.series_id = m.series_id WHERE NOT is_annual_avg
   WINDOW w AS (PARTITION BY v.series_id ORDER BY date))"""
 
+GOLD_ROWS = """SELECT 'economic_indicators_metadata' AS table_name, CAST(NULL AS int) AS year, count(*) AS n_rows FROM dim
+UNION ALL SELECT 'economic_indicators_values', CAST(year(date) AS int), count(*) FROM obs GROUP BY 2
+UNION ALL SELECT 'economic_indicators_monthly', CAST(year(date) AS int), count(*) FROM monthly GROUP BY 2
+UNION ALL SELECT 'economic_indicators_changes', CAST(year(date) AS int), count(*) FROM changes GROUP BY 2
+UNION ALL SELECT 'economic_indicators_yearly', CAST(year(date) AS int), count(*) FROM yearly GROUP BY 2"""
+
 RAWPOINT = (
     CELL
     + """,
@@ -374,12 +380,11 @@ ORACLE = {
         WHERE series_id NOT IN (SELECT raw_series_id FROM stage_map) GROUP BY series_id"""),
     "gold_by_year": _sql(OBS, "SELECT *, CAST(year(date) AS int) AS year FROM obs"),
     "gold_reload": _sql(OBS, "SELECT *, CAST(year(date) AS int) AS year FROM obs WHERE year(date) <> 1997"),
-    "gold_tables": _sql(OBS, DIM, VIEWS, """
-        SELECT 'economic_indicators_metadata' AS table_name, CAST(NULL AS int) AS year, count(*) AS n_rows FROM dim
-        UNION ALL SELECT 'economic_indicators_values', CAST(year(date) AS int), count(*) FROM obs GROUP BY 2
-        UNION ALL SELECT 'economic_indicators_monthly', CAST(year(date) AS int), count(*) FROM monthly GROUP BY 2
-        UNION ALL SELECT 'economic_indicators_changes', CAST(year(date) AS int), count(*) FROM changes GROUP BY 2
-        UNION ALL SELECT 'economic_indicators_yearly', CAST(year(date) AS int), count(*) FROM yearly GROUP BY 2"""),
+    "gold_rerun": _sql(OBS, """
+        SELECT 'first' AS run, *, CAST(year(date) AS int) AS year FROM obs
+        UNION ALL SELECT 'second', *, CAST(year(date) AS int) FROM obs WHERE year(date) <> 1997"""),
+    "gold_row_counts": _sql(OBS, DIM, VIEWS, GOLD_ROWS.replace("n_rows", "row_count")),
+    "gold_tables": _sql(OBS, DIM, VIEWS, GOLD_ROWS),
     "read_series_docs": _sql(RAWPOINT, """
         SELECT series_id, year, period, period_name AS "periodName", value, footnotes FROM note"""),
     "consolidated_object": _sql(RAWPOINT, r"""
@@ -471,5 +476,7 @@ ORACLE = {
     "stream_yearly": _sql(OBS, DIM, VIEWS, """
         SELECT series_id, raw_series_id, source, indicator_name, date, round(avg_value, 6) AS avg_value,
                min_value, max_value FROM yearly"""),
+    "stream_compacted": _sql(OBS, DIM, VIEWS, MONTHLY),
     "stream_changes": _sql(OBS, DIM, VIEWS, CHANGES),
+    "stream_changes_late": _sql(OBS, DIM, VIEWS, CHANGES),
 }

@@ -260,14 +260,36 @@ def gold_reload(spark, sf):
     return tables.published(spark, gold, "values")
 
 
-def gold_tables(spark, sf):
-    """Rows of the gold tables as SQL users see them, by year where they have one."""
-    gold, database = scratch(spark, "gold"), f"gold_{uuid.uuid4().hex}"
+def gold_rerun(spark, sf):
+    """A run, and another of the same stamp that lacks a year: a table opened between them stays as it is."""
+    gold, fact = scratch(spark, "gold"), s.obs(spark, sf)
+    tables.publish({"values": fact}, gold, "20240101_000000")
+    first = tables.published(spark, gold, "values")
+    tables.publish({"values": fact.where("year(date) <> 1997")}, gold, "20240101_000000")
+    runs = {"first": first, "second": tables.published(spark, gold, "values")}
+    named = [run.select(F.lit(name).alias("run"), "*") for name, run in runs.items()]
+    return named[0].unionByName(named[1])
+
+
+def _published(spark, sf):
+    gold = scratch(spark, "gold")
     fact, dim = _fact_dim(spark, sf)
     found = {"economic_indicators_metadata": dim, "economic_indicators_values": fact}
     found |= {f"economic_indicators_{name}": view for name, view in _views(fact, dim).items()}
     tables.publish(found, gold, "20240101_000000")
-    tables.register(spark, database, gold, list(found))
+    return gold, list(found)
+
+
+def gold_row_counts(spark, sf):
+    """Rows by table and year, as the manifest of a run has them."""
+    return tables.published_counts(spark, _published(spark, sf)[0])
+
+
+def gold_tables(spark, sf):
+    """Rows of the gold tables as SQL users see them, by year where they have one."""
+    database = f"gold_{uuid.uuid4().hex}"
+    gold, found = _published(spark, sf)
+    tables.register(spark, database, gold, found)
     counts = []
     for name in found:
         table = spark.table(f"{database}.{name}")
@@ -521,9 +543,28 @@ def stream_yearly(spark, sf):
     return _rounded(_stream_periods(spark, sf, streaming.YEARLY), "avg_value")
 
 
+def stream_compacted(spark, sf):
+    """A batch for each month in turn, the latest months first, so that runs are merged at several levels."""
+    log = streaming.period_log(spark, scratch(spark, "states"), fanout=2)
+    rows = _stored(spark, s.obs(spark, sf), "observations").drop("year")
+    for number in range(12):
+        streaming.add_period_batch(log, rows.where(F.month("date") == 12 - number), number, streaming.MONTHLY)
+    return _rounded(streaming.read_periods(spark, log.root, s.dim(spark, sf)), "avg_value")
+
+
+def stream_changes_late(spark, sf):
+    """All but a few months of every other series, then these, which other rows look back at."""
+    log = streaming.changes_log(spark, scratch(spark, "changes"))
+    rows = _stored(spark, s.obs(spark, sf), "observations").drop("year")
+    late = (F.year("date") == 1998) & (F.month("date") <= 3) & (F.conv(F.substring("series_id", 1, 1), 16, 10) % 2 == 0)
+    for number, part in enumerate((rows.where(~late), rows.where(late))):
+        streaming.add_changes_batch(log, part, number)
+    return streaming.read_changes(spark, log.root, s.dim(spark, sf))
+
+
 def stream_changes(spark, sf):
     path, checkpoint = scratch(spark, "changes"), scratch(spark, "progress")
-    query = streaming.maintain_changes(_arrivals(spark, sf), path, checkpoint, buckets=8, available_now=True)
+    query = streaming.maintain_changes(_arrivals(spark, sf), path, checkpoint, available_now=True)
     query.awaitTermination()
     return streaming.read_changes(spark, path, s.dim(spark, sf))
 
@@ -538,13 +579,13 @@ QUERIES = {
         annual_mismatch, annual_summary, annual_rows_by_indicator, view_profile, view_coverage, date_coverage,
         cardinality, table_row_counts, recent_nulls, null_share, nulls_by_series, dup_keys, month_gaps,
         series_stats, outliers_3sigma, dedupe_rows,
-        build_dim, map_series_ids, unmapped_counts, gold_by_year, gold_reload, gold_tables,
+        build_dim, map_series_ids, unmapped_counts, gold_by_year, gold_reload, gold_rerun, gold_row_counts, gold_tables,
         read_series_docs, consolidated_object, latest_doc_per_series, standardize_series, annual_flag, period_to_date, footnotes_json,
         quarantine_points, silver_roundtrip, latest_snapshot,
         dq_structure, dq_types, dq_dup_points, dq_report, dq_summary, dq_shapes, dq_details,
         combine_catalogs, catalog_files_combined, catalog_roundtrip, duplicate_totals, series_by_type, apply_validation, validity_by_type,
         pending_series, retry_series, missing_series, request_batches, batches_within_budget, upsert_consolidated,
         status_by_type,
-        stream_monthly, stream_yearly, stream_changes,
+        stream_monthly, stream_yearly, stream_compacted, stream_changes, stream_changes_late,
     ]
 }

@@ -1,11 +1,14 @@
 """Gold tables: definitions, writing by year, reading with pruning, inventory."""
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidegauge.schemas import CHANGES_VIEW, DIMENSION, FACT, PERIOD_VIEW, YEARLY_VIEW
-from tidegauge.sources.snapshots import finished_runs
+from tidegauge.sources import files
 
 MAX_RECORDS_PER_FILE = 50_000_000
 
@@ -47,45 +50,116 @@ def create_tables(spark: SparkSession, database: str, root: str) -> None:
 
 
 def publish(contents: dict[str, DataFrame], root: str, stamp: str) -> None:
-    """Write tables as one run; readers see all of it once its last mark is set, and nothing of earlier runs.
+    """Write tables as one run and make it the state that readers open.
 
-    Tables with a date are partitioned by year. A run that is written again replaces itself.
+    Tables with a date are partitioned by year. Every run has a folder of its own, also one
+    with a stamp that was there before, so a reader of an earlier run isn't disturbed. The
+    run counts once its manifest is there: which files' folders, rows and years it has.
     """
     spark = next(iter(contents.values())).sparkSession
+    run = f"{stamp}-{uuid.uuid4().hex[:8]}"
+    described = {}
     for name, table in contents.items():
-        path = f"{root}/runs/{stamp}/{name}"
+        path = f"{root}/runs/{run}/{name}"
         if "date" in table.columns:
             write_by_year(table, path, whole=True)
         else:
             write_table(table, path)
-    named = spark.createDataFrame([(name,) for name in contents], "table_name string")
-    named.coalesce(1).write.mode("overwrite").json(f"{root}/published/run={stamp}")
+        described[name] = _described(table, path)
+    manifest = json.dumps({"run": run, "tables": described})
+    while not files.put_if_absent(spark, _manifest(root, _last_version(spark, root) + 1), manifest):
+        pass  # another run was first, and this one comes after it
+
+
+def _described(table: DataFrame, path: str) -> dict:
+    """Schema and rows of a written table, by year where it has years; the files' footers tell, no column is read."""
+    by_year = "date" in table.columns
+    kept = StructType([f for f in table.schema if f.name != "year"] if by_year else table.schema.fields)
+    schema = StructType([*kept.fields, StructField("year", IntegerType())]) if by_year else kept
+    schema = StructType([StructField(f.name, f.dataType, True) for f in schema])
+    written = table.sparkSession.read.schema(schema).parquet(path)
+    described = {"schema": schema.jsonValue()}
+    if by_year:
+        counts = written.groupBy("year").count().collect()  # as many rows as years
+        described["years"] = {str(r["year"]): r["count"] for r in counts}
+        described["rows"] = sum(r["count"] for r in counts)
+    else:
+        described["rows"] = written.count()
+    return described
+
+
+def _manifest(root: str, version: int) -> str:
+    return f"{root}/published/{version:012d}.json"
+
+
+def _last_version(spark: SparkSession, root: str) -> int:
+    found = files.names(spark, f"{root}/published")
+    return int(found[-1].removesuffix(".json")) if found else 0
+
+
+def published_version(spark: SparkSession, root: str, version: int | None = None) -> dict:
+    """The manifest published last, or that with a number: its run and, by table, schema, rows and rows by year."""
+    version = version or _last_version(spark, root)
+    if not version:
+        raise ValueError(f"nothing is published in {root}")
+    return json.loads(spark.read.text(_manifest(root, version), wholetext=True).first()[0])
 
 
-def _run_folder(spark: SparkSession, root: str) -> str:
-    runs = finished_runs(spark, f"{root}/published", "run")
-    if not runs:
-        raise ValueError(f"nothing is published in {root}")
-    return f"{root}/runs/{runs[-1]}"
+def published(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """A table of the run published last, or of an earlier one by its number."""
+    manifest = published_version(spark, root, version)
+    schema = StructType.fromJson(manifest["tables"][name]["schema"])
+    return spark.read.schema(schema).parquet(f"{root}/runs/{manifest['run']}/{name}")
+
 
+def published_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, year, row_count) of the run published last, from its manifest alone; no year for tables without."""
+    rows = []
+    for name, table in published_version(spark, root)["tables"].items():
+        years = table.get("years")
+        rows += [(name, None, table["rows"])] if years is None else [(name, None if y == "None" else int(y), n) for y, n in years.items()]
+    return spark.createDataFrame(rows, "table_name string, year int, row_count long")
 
-def published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the run published last."""
-    return spark.read.parquet(f"{_run_folder(spark, root)}/{name}")
+
+def forget(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all but the ``keep`` runs published last; their readers must be done."""
+    versions = files.names(spark, f"{root}/published")
+    numbers = [int(name.removesuffix(".json")) for name in versions]
+    kept = {published_version(spark, root, n)["run"] for n in numbers[-keep:]}
+    for number in numbers[:-keep]:
+        run = published_version(spark, root, number)["run"]
+        if run not in kept:
+            files.delete(spark, f"{root}/runs/{run}")
+        files.delete(spark, _manifest(root, number))
 
 
 def register(spark: SparkSession, database: str, root: str, names: list[str]) -> None:
-    """Name the tables of the run published last in the catalog, with their partitions, in place of earlier ones."""
-    folder = _run_folder(spark, root)
+    """Name the tables of the run published last in the catalog; a table that is there is switched to that run.
+
+    Definitions keep their defaults. The catalog holds no partitions: a query lists the years
+    below the table's location, so that changing the location switches all of them at once.
+    """
+    manifest = published_version(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name in names:
-        table = spark.read.parquet(f"{folder}/{name}")
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        by_year = " PARTITIONED BY (year)" if "year" in table.columns else ""
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-        spark.sql(f"CREATE TABLE {database}.{name} ({columns}) USING parquet{by_year} LOCATION '{folder}/{name}'")
-        if by_year:
-            spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+    tracked = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(tracked)
+    spark.conf.set(tracked, "false")
+    try:
+        for name in names:
+            schema = StructType.fromJson(manifest["tables"][name]["schema"])
+            table, location = f"{database}.{name}", f"{root}/runs/{manifest['run']}/{name}"
+            by_year = "years" in manifest["tables"][name]
+            columns = _columns(StructType([f for f in schema if not (by_year and f.name == "year")]))
+            if spark.catalog.tableExists(table):
+                if spark.table(table).schema.simpleString() == schema.simpleString():
+                    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+                    spark.catalog.refreshTable(table)
+                    continue
+                spark.sql(f"DROP TABLE {table}")  # other columns: another table
+            defined = f"({columns}, year int) USING parquet PARTITIONED BY (year)" if by_year else f"({columns}) USING parquet"
+            spark.sql(f"CREATE TABLE {table} {defined} LOCATION '{location}'")
+    finally:
+        spark.conf.set(tracked, before)
 
 
 def write_by_year(df: DataFrame, path: str, whole: bool = False) -> None:
