@@ -67,14 +67,26 @@ def test_no_task_windows_over_a_whole_hot_key(spark):
     assert len(by_key) == 2 and any("collect_list(_end" in line for line in by_key)
 
 
-@pytest.mark.parametrize("digits", [1, 4])
-def test_positions_count_copies_once_each(spark, digits):
+def test_lags_start_no_job_and_may_be_told_the_sizes(spark):
+    rows = _rows(3)
+    df = spark.createDataFrame(rows, "key string, month int, value double")
+    sizes = spark.createDataFrame(hot.key_sizes(df, "key", "month").collect(), "key string, month int, n long")
+    spark.sparkContext.setJobGroup("planning", "no job")
+    lagged = hot.with_lags(df, "key", "month", "value", OFFSETS, 100, 20, sizes)
+    lagged._jdf.queryExecution().executedPlan()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setJobGroup("running", "all others")
+    assert sorted((tuple(r) for r in lagged.collect()), key=repr) == _expected(spark, rows)
+
+
+def test_positions_count_copies_once_each(spark):
     rows = [("t", f"s{i % 37}") for i in range(400)] + [("u", f"s{i}") for i in range(60)] + [("t", "s1")] * 300
     df = spark.createDataFrame(rows, "type string, id string")
-    placed = hot.with_positions(df, ["type"], "id", digits).collect()
+    placed = hot.with_positions(df, ["type"], "id").collect()
     for group in "tu":
         spans = sorted((r.start, r.start + r.copies) for r in placed if r.type == group)
         assert spans[0][0] == 0
+        assert [r.id for r in sorted((r for r in placed if r.type == group), key=lambda r: r.start)] == sorted({r[1] for r in rows if r[0] == group})
         assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
         assert spans[-1][1] == sum(1 for r in rows if r[0] == group)
 

@@ -6,7 +6,8 @@ import random
 
 import pytest
 
-from tidegauge.operators import views
+from tidegauge.operators import quality_gold, views
+from tidegauge.plans import reports
 from tidegauge.session import scratch
 from tidegauge.sources import files, snapshots, tables
 from tidegauge.streaming import views as streaming
@@ -273,3 +274,34 @@ def test_a_rerun_leaves_published_folders_alone_and_the_catalog_switches(spark,
     tables.forget(spark, gold, 1)
     assert len(files.names(spark, f"{gold}/runs")) == 1 and tables.published(spark, gold, "values").count() == 48
     spark.sql("DROP DATABASE rerun_test CASCADE")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_rows_come_from_the_newest_years_that_suffice(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    fact = fact_of(spark, range(60), "ab").unionByName(fact_of(spark, range(0, 20), "c"))
+    tables.write_by_year(fact, path)
+    dim = spark.createDataFrame([(s, s, f"{s} index", "BLS", "i", "") for s in "abc"], DIM + ", industry_name string, seasonal_adjustment string")
+    kept = spark.read.parquet(path)
+    assert tables.years_of(kept) == [2004, 2003, 2002, 2001, 2000]
+    for pattern, year in (("%index", 2004), ("c %", 2000)):
+        got = reports.latest_like(kept, dim, pattern)
+        assert f">= {year})" in plan_of(got).split("PartitionFilters: [")[1].split("]")[0]
+        assert rows(got) == rows(reports.latest_like(fact, dim, pattern))
+    recent = reports.values_recent(kept, dim, dt.date(2003, 6, 1))
+    assert ">= 2004" in plan_of(recent) and rows(recent) == rows(reports.values_recent(fact, dim, dt.date(2003, 6, 1)))
+    few = reports.latest_like(kept, dim, "no such %")
+    assert few.count() == 0
+
+
+def test_checks_read_each_table_once(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    tables.write_by_year(fact_of(spark, range(24)).unionByName(fact_of(spark, [3, 3, 5])), path)
+    fact = spark.read.parquet(path)
+    found = quality_gold.duplicate_keys({"a": (fact, ["series_id", "date"]), "b": (fact, ["date"]), "c": (fact, ["series_id", "value"])}, 1)
+    plan = plan_of(found)  # before it runs, there is one plan
+    assert plan.count("FileScan") == 1 and plan.count("HashAggregate") == 2
+    assert rows(found) == [("a", "a|2000-04-01", 3), ("b", "2000-04-01", 6), ("c", "a|103.0", 3)]

@@ -6,22 +6,18 @@ keys into buckets that respect the order and carry only small summaries (counts,
 the last few values) from bucket to bucket.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.session import stored
 
 HOT_ROWS = 1_000_000
-SLOT_ROWS = 100_000  # rows of one order value that stay in one bucket
-MAX_SLOT_BITS = 12  # beyond which an order value is not cut any finer
+SLOT_ROWS = 100_000  # rows of one order value that stay in one bucket, about
 EXPAND = 10_000  # copies of one row that a task writes out at a time
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``rows / hot_rows`` of them."""
-    counts = df.groupBy(key).agg(F.count("*").alias("_n"))
-    return counts.where(F.col("_n") > hot_rows).select(key)
+def key_sizes(df: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, order, n): rows of each order value of each key. Sums of several such tables are that of their rows."""
+    return df.groupBy(key, order).agg(F.count("*").alias("n"))
 
 
 def with_lags(
@@ -32,23 +28,26 @@ def with_lags(
     offsets: dict[str, int],
     hot_rows: int = HOT_ROWS,
     slot_rows: int = SLOT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per offset, the value that many rows earlier within the key.
 
     ``df`` has the columns key, order and value and no others. Rows of one key
     that tie on ``order`` are taken in the order of their value's hash, which
     makes the result repeatable and lets a tie of any size be cut into slots.
-    Whether there is any hot key is looked up first, reading the key column only.
+
+    Which keys are hot and how finely their order values are cut is a part of the plan, no
+    job runs before it: ``sizes`` (see `key_sizes`) tells, kept with the table or made from
+    ``df``. Keys that it lacks count as usual ones.
     """
-    hot = hot_keys(df, key, hot_rows)
-    if hot.isEmpty():
-        return _window_lags(df, key, order, value, offsets)
-    hot = stored(hot, "hot-keys")
-    usual, crowded = df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
-    # One number for the driver: the rows of the fullest order value.
-    fullest = crowded.groupBy(key, order).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    bits = min(MAX_SLOT_BITS, math.ceil(math.log2(max(fullest / slot_rows, 1))))
-    split = _bucket_lags(crowded, key, order, value, offsets, bits)
+    sizes = key_sizes(df, key, order) if sizes is None else sizes
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / slot_rows)).cast("int"))
+    cut = F.collect_list(F.when(bits > 0, F.struct(order, bits.alias("bits"))))
+    totals = sizes.groupBy(key).agg(F.sum("n").alias("n"), cut.alias("_cuts"))
+    # At most one key for every ``hot_rows`` rows, with at most one entry for every ``slot_rows``.
+    hot = F.broadcast(totals.where(F.col("n") > hot_rows).select(key, "_cuts"))
+    usual, crowded = df.join(hot.select(key), key, "left_anti"), df.join(hot, key)
+    split = _bucket_lags(crowded, key, order, value, offsets)
     return _window_lags(usual, key, order, value, offsets).unionByName(split)
 
 
@@ -66,25 +65,28 @@ def _last(values: Column, k: int) -> Column:
     return F.when(F.size(values) > k, F.slice(values, -k, k)).otherwise(values)
 
 
-def _bucket_lags(df, key, order, value, offsets, slot_bits) -> DataFrame:
+def _bucket_lags(df, key, order, value, offsets) -> DataFrame:
     deepest = max(offsets.values())
     bucket = [key, order, "_slot"]
+    own = F.filter("_cuts", lambda cut: cut[order].eqNullSafe(F.col(order)))
+    df = df.withColumn("_bits", F.coalesce(F.get(own, F.lit(0))["bits"], F.lit(0))).drop("_cuts")
 
     # Copies of a row become one run with a count, already on the map side. Past
     # ``deepest`` copies a run looks back into itself and all its copies are
     # alike, so that one row with a count stands for them.
     runs = (
-        df.groupBy(key, order, value)
+        df.groupBy(key, order, "_bits", value)
         .agg(F.count("*").alias("_n"))
         .withColumn("_tie", _tie(value))
-        .withColumn("_slot", F.shiftright("_tie", 64 - slot_bits) if slot_bits else F.lit(0))
+        .withColumn("_slot", F.expr("CASE WHEN _bits > 0 THEN shiftright(_tie, 64 - _bits) ELSE 0 END"))
+        .drop("_bits")
     )
     copy = F.explode(F.sequence(F.lit(0), F.least("_n", F.lit(deepest + 1)).cast("int") - 1))
     alike = F.when(F.col("_copy") == deepest, F.col("_n") - deepest).otherwise(F.lit(1))
     rows = runs.withColumn("_copy", copy).withColumn("_alike", alike).drop("_n")
 
-    # The last values of each bucket, then of all buckets before it. A key has
-    # at most 4096 buckets per order value, whatever its number of rows.
+    # The last values of each bucket, then of all buckets before it. Only these meet by
+    # key: a few values for every ``slot_rows`` rows.
     backwards = W.partitionBy(*bucket).orderBy(F.desc("_tie"), F.desc(value), F.desc("_copy"))
     ends = (
         rows.withColumn("_back", F.row_number().over(backwards))
@@ -116,28 +118,23 @@ def _write_out(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def with_positions(df: DataFrame, groups: list[str], key: str, digits: int = 4) -> DataFrame:
-    """Number the rows of each group, copies of a key counted but kept together.
+def with_positions(df: DataFrame, groups: list[str], key: str) -> DataFrame:
+    """Number the rows of each group in the order of the key, copies of a key counted but kept together.
 
-    Keys are taken in the order of their hash. Its first hex digits cut a group
-    into even buckets, so only the bucket totals (at most ``16 ** digits`` per
-    group) meet in one task. Returns the groups, the key, its ``copies`` and the
-    position ``start`` of its first copy, counted from 0.
+    The keys are laid out in ranges of about equal numbers, by splitters from a sample. A
+    range is numbered by itself; only the totals of ranges meet by group. Returns the
+    groups, the key, its ``copies`` and the position ``start`` of its first copy, from 0.
     """
-    bucket = [*groups, "_bucket"]
-    runs = (
-        df.groupBy(*groups, key)
-        .agg(F.count("*").alias("copies"))
-        .withColumn("_hash", F.md5(F.col(key).cast("string")))
-        .withColumn("_bucket", F.substring("_hash", 1, digits))
-    )
-    sums = runs.groupBy(*bucket).agg(F.sum("copies").alias("_total"))
-    lower = W.partitionBy(*groups).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(*bucket, F.coalesce(F.sum("_total").over(lower), F.lit(0)).alias("_offset"))
-    within = W.partitionBy(*bucket).orderBy("_hash", key).rowsBetween(W.unboundedPreceding, -1)
-    inner = F.coalesce(F.sum("copies").over(within), F.lit(0))
-    return (
-        runs.withColumn("_inner", inner)
-        .join(offsets, bucket)
-        .select(*groups, key, "copies", (F.col("_offset") + F.col("_inner")).alias("start"))
-    )
+    runs = df.groupBy(*groups, key).agg(F.count("*").alias("copies"))
+    ranges = runs.repartitionByRange(*groups, key).withColumn("_range", F.spark_partition_id())
+    ranges = stored(ranges, "ranges")  # both uses below must see the same splitters
+    sums = ranges.groupBy(*groups, "_range").agg(F.sum("copies").alias("_total"))
+    lower = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.withColumn("_offset", F.coalesce(F.sum("_total").over(lower), F.lit(0)))
+    named = offsets.select(*[F.col(g).alias(f"_of_{g}") for g in groups], F.col("_range").alias("_of_range"), "_offset")
+    within = W.partitionBy(*groups, "_range").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    placed = ranges.withColumn("_inner", F.coalesce(F.sum("copies").over(within), F.lit(0)))
+    same = F.col("_range") == F.col("_of_range")
+    for g in groups:
+        same &= F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return placed.join(named, same).select(*groups, key, "copies", (F.col("_offset") + F.col("_inner")).alias("start"))

@@ -1,6 +1,8 @@
 """Checks on the gold tables and views."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+import functools
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions import columns as c
 from tidegauge.operators.star import with_names
@@ -62,17 +64,13 @@ def annual_rows_by_indicator(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def view_profile(views: dict[str, DataFrame]) -> DataFrame:
-    """Rows and distinct dates per indicator, for each named view."""
-    profiles = [
-        view.groupBy(F.lit(name).alias("view_name"), "indicator_name").agg(
-            F.count("*").alias("total_rows"), F.count_distinct("date").alias("unique_dates")
-        )
-        for name, view in views.items()
-    ]
-    result = profiles[0]
-    for profile in profiles[1:]:
-        result = result.unionByName(profile)
-    return result
+    """Rows and distinct dates per indicator, for each named view: one aggregation over all of them."""
+    named = [view.select(F.lit(name).alias("view_name"), "indicator_name", "date") for name, view in views.items()]
+    return (
+        functools.reduce(DataFrame.unionByName, named)
+        .groupBy("view_name", "indicator_name")
+        .agg(F.count("*").alias("total_rows"), F.count_distinct("date").alias("unique_dates"))
+    )
 
 
 def gold_keys(dim: DataFrame, fact: DataFrame, monthly: DataFrame, changes: DataFrame) -> dict[str, tuple[DataFrame, list[str]]]:
@@ -87,19 +85,37 @@ def gold_keys(dim: DataFrame, fact: DataFrame, monthly: DataFrame, changes: Data
 
 
 def duplicate_keys(tables: dict[str, tuple[DataFrame, list[str]]], top: int = 5) -> DataFrame:
-    """The ``top`` most repeated keys of each table, given as check name: (table, key columns)."""
-    result = None
+    """The ``top`` most repeated keys of each table, given as check name: (table, key columns).
+
+    Every row is tagged with its check, and one aggregation counts all keys of all checks;
+    of each check only the first ``top`` of a task travel on. Checks of one table share its scan.
+    """
+    shared: list[tuple[DataFrame, dict[str, list[str]]]] = []
     for name, (table, keys) in tables.items():
-        # A missing part shows as such: (a, missing) and (missing, a) are different keys.
-        key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
-        groups = table.groupBy(*keys).agg(F.count("*").alias("n_rows")).where(F.col("n_rows") > 1)
-        most = (
-            groups.select(F.lit(name).alias("check_name"), key.alias("key"), "n_rows")
-            .orderBy(F.desc("n_rows"), "key")
-            .limit(top)
-        )
-        result = most if result is None else result.unionByName(most)
-    return result
+        known = next((checks for other, checks in shared if other is table), None)
+        if known is None:
+            shared.append((table, {name: keys}))
+        else:
+            known[name] = keys
+    # Keys stay lists, so that a missing part and where a part ends tell them apart.
+    tagged = [
+        table.select(
+            F.explode(
+                F.array(
+                    *[
+                        F.struct(F.lit(name).alias("check_name"), F.array(*[F.col(k).cast("string") for k in keys]).alias("parts"))
+                        for name, keys in checks.items()
+                    ]
+                )
+            ).alias("tag")
+        ).select("tag.*")
+        for table, checks in shared
+    ]
+    counts = functools.reduce(DataFrame.unionByName, tagged).groupBy("check_name", "parts").agg(F.count("*").alias("n_rows"))
+    key = F.array_join("parts", "|", "null")
+    groups = counts.where(F.col("n_rows") > 1).select("check_name", key.alias("key"), "n_rows")
+    turn = F.row_number().over(W.partitionBy("check_name").orderBy(F.desc("n_rows"), "key"))
+    return groups.withColumn("_turn", turn).where(F.col("_turn") <= top).drop("_turn")
 
 
 def recent_nulls(fact: DataFrame, dim: DataFrame, months: int = 3) -> DataFrame:

@@ -69,10 +69,13 @@ def yearly_values(fact: DataFrame) -> DataFrame:
     return view.withColumn("calculated_annual_value", F.col("avg_value"))
 
 
-def row_changes(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Month and year changes by position: against 1 and 12 rows earlier in the series."""
+def row_changes(fact: DataFrame, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+    """Month and year changes by position: against 1 and 12 rows earlier in the series.
+
+    ``sizes`` (series_id, date, n) spares a look at the fact for series that hold very many rows.
+    """
     rows = monthly_rows(fact).select("series_id", "date", "value")
-    lagged = with_lags(rows, "series_id", "date", "value", {"_1": 1, "_12": 12}, hot_rows)
+    lagged = with_lags(rows, "series_id", "date", "value", {"_1": 1, "_12": 12}, hot_rows, sizes=sizes)
     return lagged.select(
         "series_id",
         "date",

@@ -132,7 +132,7 @@ validated AS (
 
 BATCH = """
 numbered AS MATERIALIZED (
-  SELECT series_type, series_id, row_number() OVER (PARTITION BY series_type ORDER BY md5(series_id)) AS number
+  SELECT series_type, series_id, row_number() OVER (PARTITION BY series_type ORDER BY series_id) AS number
   FROM combined),
 batch AS (SELECT series_type, series_id, CAST((number - 1) // 50 + 1 AS bigint) AS batch FROM numbered)"""
 

@@ -94,17 +94,23 @@ def changes_calendar(spark, sf):
 # --- reports ----------------------------------------------------------------
 
 
+def _kept_fact_dim(spark, sf):
+    """The fact as the table it is in use, by year."""
+    return _stored(spark, s.obs(spark, sf), "fact"), s.dim(spark, sf)
+
+
 def latest_like(spark, sf):
-    return reports.latest_like(*_fact_dim(spark, sf), PATTERN)
+    return reports.latest_like(*_kept_fact_dim(spark, sf), PATTERN)
 
 
 def monthly_recent(spark, sf):
     fact, dim = _fact_dim(spark, sf)
-    return _rounded(reports.monthly_recent(views.monthly(fact, dim), dim, RECENT), "avg_value")
+    monthly = _stored(spark, views.monthly(fact, dim), "monthly")
+    return _rounded(reports.monthly_recent(monthly, dim, RECENT), "avg_value")
 
 
 def values_recent(spark, sf):
-    return reports.values_recent(*_fact_dim(spark, sf), RECENT)
+    return reports.values_recent(*_kept_fact_dim(spark, sf), RECENT)
 
 
 def latest_changes_top(spark, sf):
@@ -113,11 +119,11 @@ def latest_changes_top(spark, sf):
 
 
 def last_12_months(spark, sf):
-    return reports.last_12_months(*_fact_dim(spark, sf), PATTERN)
+    return reports.last_12_months(*_kept_fact_dim(spark, sf), PATTERN)
 
 
 def last_12_months_by_series(spark, sf):
-    return reports.last_12_months_by_series(*_fact_dim(spark, sf), PATTERN)
+    return reports.last_12_months_by_series(*_kept_fact_dim(spark, sf), PATTERN)
 
 
 def cross_indicator_pairs(spark, sf):
@@ -184,7 +190,8 @@ def table_row_counts(spark, sf):
 
 
 def recent_nulls(spark, sf):
-    return quality_gold.recent_nulls(*_dirty_dim(spark, sf))
+    fact, dim = _dirty_dim(spark, sf)
+    return quality_gold.recent_nulls(_stored(spark, fact, "fact"), dim)
 
 
 def null_share(spark, sf):

@@ -5,33 +5,45 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.operators.star import with_names
-from tidegauge.sources.tables import latest_date, since
+from tidegauge.sources.tables import latest_date, newest_first, since
 
 
 def latest_like(fact: DataFrame, dim: DataFrame, pattern: str, top: int = 10) -> DataFrame:
-    """The latest values of indicators whose name matches, with their metadata."""
+    """The latest values of indicators whose name matches, with their metadata; older years are read only if needed."""
     named = dim.where(F.col("indicator_name").like(pattern))
     attributes = ["indicator_name", "source", "industry_name", "seasonal_adjustment"]
-    return (
-        with_names(fact, named, *attributes)
-        .select("series_id", "date", "value", "is_annual_avg", *attributes)
-        .orderBy(F.desc("date"), "series_id", "is_annual_avg", "value")
-        .limit(top)
-    )
+
+    def report(rows: DataFrame) -> DataFrame:
+        return (
+            with_names(rows, named, *attributes)
+            .select("series_id", "date", "value", "is_annual_avg", *attributes)
+            .orderBy(F.desc("date"), "series_id", "is_annual_avg", "value")
+            .limit(top)
+        )
+
+    return newest_first(fact, report, top)
 
 
 def monthly_recent(monthly: DataFrame, dim: DataFrame, start: dt.date, top: int = 20) -> DataFrame:
     """Monthly averages from a date on, newest first."""
-    view = since(monthly, start).select("series_id", "date", "avg_value", "min_value", "max_value")
-    rows = with_names(view, dim, "indicator_name", "industry_name")
-    return rows.orderBy(F.desc("date"), "indicator_name", "series_id").limit(top)
+
+    def report(part: DataFrame) -> DataFrame:
+        view = since(part, start).select("series_id", "date", "avg_value", "min_value", "max_value")
+        rows = with_names(view, dim, "indicator_name", "industry_name")
+        return rows.orderBy(F.desc("date"), "indicator_name", "series_id").limit(top)
+
+    return newest_first(monthly, report, top)
 
 
 def values_recent(fact: DataFrame, dim: DataFrame, start: dt.date, top: int = 20) -> DataFrame:
     """Values from a date on, newest first."""
-    view = since(fact, start).select("series_id", "date", "value", "is_annual_avg")
-    rows = with_names(view, dim, "indicator_name", "industry_name")
-    return rows.orderBy(F.desc("date"), "indicator_name", "series_id", "is_annual_avg", "value").limit(top)
+
+    def report(part: DataFrame) -> DataFrame:
+        view = since(part, start).select("series_id", "date", "value", "is_annual_avg")
+        rows = with_names(view, dim, "indicator_name", "industry_name")
+        return rows.orderBy(F.desc("date"), "indicator_name", "series_id", "is_annual_avg", "value").limit(top)
+
+    return newest_first(fact, report, top)
 
 
 def _percent(change: str) -> Column:

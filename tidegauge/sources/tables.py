@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -217,6 +219,30 @@ def latest_date(table: DataFrame) -> Column:
     return table.agg(F.max("date").alias("d")).scalar()
 
 
+def years_of(table: DataFrame) -> list[int]:
+    """The years of a table that is partitioned by them, newest first, from the names of its folders."""
+    found = {re.search(r"/year=(\d+)/", name) for name in table.inputFiles()}
+    return sorted({int(hit[1]) for hit in found if hit}, reverse=True)
+
+
+def newest_first(table: DataFrame, report: Callable[[DataFrame], DataFrame], top: int) -> DataFrame:
+    """``report`` over as few of the newest years of ``table`` as give ``top`` rows.
+
+    ``report`` takes a table with a date and gives its first ``top`` rows, latest date
+    first. The newest year is tried alone, then more and more older ones; once there are
+    enough rows, the date of the last bounds what is read in the end.
+    """
+    years = years_of(table) if "year" in table.columns else []
+    taken, step = 0, 1
+    while taken < len(years):
+        taken, step = min(len(years), taken + step), 2 * step
+        recent = table.where(F.col("year") >= years[taken - 1])
+        found = report(recent).agg(F.count("*").alias("n"), F.min("date").alias("first")).first()
+        if found["n"] >= top:
+            return report(recent.where(F.col("date") >= F.lit(found["first"])))
+    return report(table)
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Number of rows per named table."""
     counts = [
