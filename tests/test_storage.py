@@ -6,11 +6,11 @@ import random
 
 import pytest
 
-from tidegauge.operators import quality_gold, views
+from tidegauge.operators import catalog, quality_gold, quality_raw, views
 from tidegauge.plans import reports
 from tidegauge.session import scratch
 from tidegauge.sources import files, snapshots, tables
-from tidegauge.streaming import views as streaming
+from tidegauge.streaming import stats, views as streaming
 
 FACT = "series_id string, date date, value double, is_annual_avg boolean"
 DIM = "series_id string, raw_series_id string, indicator_name string, source string"
@@ -305,3 +305,39 @@ def test_checks_read_each_table_once(spark, tmp_path):
     plan = plan_of(found)  # before it runs, there is one plan
     assert plan.count("FileScan") == 1 and plan.count("HashAggregate") == 2
     assert rows(found) == [("a", "a|2000-04-01", 3), ("b", "2000-04-01", 6), ("c", "a|103.0", 3)]
+
+
+def test_statistics_after_late_deliveries_equal_a_full_run(spark, tmp_path):
+    rng = random.Random(2)
+    values = [(s, month(m), rng.choice([None, 1e6 + rng.random(), 1e6 + rng.random(), 1e6 + rng.random(), 1e6 + rng.choice([1, 1, 1, 60]) * rng.random()]), False) for s in "abc" for m in range(60)] + [("d", month(1), None, False)]
+    rng.shuffle(values)
+    log = stats.stats_log(spark, str(tmp_path / "s"), 3)
+    for number in range(7):
+        stats.add_stats_batch(log, spark.createDataFrame(values[number::7], FACT), number)
+        stats.add_stats_batch(log, spark.createDataFrame(values[number::7], FACT), number)
+    everything = spark.createDataFrame(values, FACT)
+    want = {r.series_id: r for r in quality_raw.series_stats(everything).collect()}
+    got = {r.series_id: r for r in stats.read_stats(log).collect()}
+    assert set(got) == set(want)
+    for key, row in got.items():
+        assert (row.min_value, row.max_value, row.n_values) == (want[key].min_value, want[key].max_value, want[key].n_values)
+        assert row.mean_value == (want[key].mean_value and pytest.approx(want[key].mean_value, rel=1e-15))
+        assert row.std_value == (want[key].std_value and pytest.approx(want[key].std_value, rel=1e-7))
+    places = ["series_id", "date", "value"]
+    found = stats.read_outliers(log)
+    assert rows(found.select(places)) == rows(quality_raw.outliers(everything).select(places)) and found.count() > 0
+
+
+def test_an_update_of_few_keys_leaves_all_other_files(spark, tmp_path):
+    log = catalog.document_log(spark, str(tmp_path / "d"))
+    old = spark.range(1000).selectExpr("concat('s', id) series_id", "'t' series_type", "concat('old', id) document")
+    catalog.upsert_documents(log, old, 0)
+    before = {os.path.join(d, f) for d, _, names in os.walk(f"{tmp_path}/d/runs") for f in names}
+    few = spark.range(0, 1100, 110).selectExpr("concat('s', id) series_id", "'u' series_type", "concat('new', id) document")
+    for _ in range(2):
+        catalog.upsert_documents(log, few, 1)
+    assert before <= {os.path.join(d, f) for d, _, names in os.walk(f"{tmp_path}/d/runs") for f in names}
+    (run,) = [r for r in log.state()[1] if r.first == 1]
+    assert log.read("documents", [run]).count() == 10
+    now = catalog.current_documents(log)
+    assert rows(now) == rows(catalog.upsert_consolidated(old, few)) and now.where("document LIKE 'new%'").count() == 10

@@ -1,9 +1,19 @@
 """Series catalogs, extraction ledger and request batches."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidegauge.operators.hot import with_positions
 from tidegauge.schemas import BATCH_SIZE, DAILY_LIMIT, NOT_FOUND, SERIES_TYPES
+from tidegauge.sources.runs import FANOUT, RunLog, Table
+
+_VERSION = T.StructType(
+    [
+        T.StructField("series_id", T.StringType()),
+        T.StructField("series_type", T.StringType()),
+        T.StructField("document", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 
 
 def combine_catalogs(aggregation: DataFrame, commodity: DataFrame, industry: DataFrame) -> DataFrame:
@@ -147,6 +157,32 @@ def upsert_consolidated(existing: DataFrame, new: DataFrame) -> DataFrame:
     return new.unionByName(existing.join(replaced, "series_id", "left_anti").select(new.columns))
 
 
+def _newest_version(versions: DataFrame) -> DataFrame:
+    """Of each series the document of its last batch. Only ids and numbers are compared, documents move once."""
+    last = versions.groupBy("series_id").agg(F.max("batch_id").alias("batch_id"))
+    return versions.join(last, ["series_id", "batch_id"], "left_semi")
+
+
+def document_log(spark: SparkSession, path: str, fanout: int = FANOUT) -> RunLog:
+    """Documents by key, to be updated at the cost of what is new: an update writes its own documents only."""
+    return RunLog(spark, path, {"documents": Table(_VERSION, _newest_version)}, fanout)
+
+
+def upsert_documents(log: RunLog, new: DataFrame, batch_id: int) -> None:
+    """Add new versions of documents (series_id, series_type, document), once; one of each series in a batch counts."""
+    if log.holds(batch_id):
+        return
+    run = log.begin(batch_id)
+    one = new.select("series_id", "series_type", "document").dropDuplicates(["series_id"])
+    log.write(run, "documents", one.withColumn("batch_id", F.lit(batch_id).cast("long")))
+    log.commit(run)
+    log.compact()
+
+
+def current_documents(log: RunLog) -> DataFrame:
+    return _newest_version(log.read("documents")).drop("batch_id")
+
+
 def status_by_type(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("series_type").agg(
         F.count_if(F.col("status") == "success").alias("n_success"),

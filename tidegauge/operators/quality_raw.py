@@ -154,9 +154,13 @@ def outliers(observations: DataFrame, key: str = "series_id", deviations: float
     The statistics are aggregated and joined back rather than computed in a
     window, which would hand a whole series to one task.
     """
-    stats = series_stats(observations, key).select(key, "mean_value", "std_value")
+    return far_from_mean(observations, series_stats(observations, key), key, deviations)
+
+
+def far_from_mean(observations: DataFrame, stats: DataFrame, key: str = "series_id", deviations: float = 3.0) -> DataFrame:
+    """Observations strictly more than ``deviations`` standard deviations off the mean, by given statistics."""
     far = F.abs(F.col("value") - F.col("mean_value")) > deviations * F.col("std_value")
-    return observations.join(stats, key).where(far)
+    return observations.join(stats.select(key, "mean_value", "std_value"), key).where(far)
 
 
 def _differences(sorted_values: Column) -> Column:

@@ -374,7 +374,13 @@ ORACLE = {
         FROM validated"""),
     "map_series_ids": _sql(SILVER, DIM, """
         SELECT m.series_id, date, value, is_annual_avg
-        FROM silver v JOIN dim m ON v.series_id = m.raw_series_id JOIN stage_map g ON v.series_id = g.raw_series_id"""),
+        FROM silver v JOIN dim m ON v.series_id = m.raw_series_id"""),
+    "metadata_roundtrip": _sql(CATALOG, "SELECT *, '2024-01-01 00:00:00' AS processed_timestamp FROM validated"),
+    "run_times": _sql(SILVER, DIM, """
+        SELECT 'silver' AS table_name, '2024-01-01 00:00:00' AS at, count(*) AS n_rows FROM silver
+        UNION ALL SELECT 'fact', '2024-01-01 00:00:00', 2 * count(*) FROM silver v JOIN dim m ON v.series_id = m.raw_series_id"""),
+    "sorted_files": _sql(OBS, """
+        SELECT CAST(year(date) AS int) AS year, count(*) AS n_rows, CAST(0 AS bigint) AS n_unsorted FROM obs GROUP BY 1"""),
     "unmapped_counts": _sql(SILVER, DIM, """
         SELECT series_id AS raw_series_id, count(*) AS n_unmapped FROM silver
         WHERE series_id NOT IN (SELECT raw_series_id FROM stage_map) GROUP BY series_id"""),
@@ -468,6 +474,13 @@ ORACLE = {
         UNION ALL
         SELECT series_id, series_type, 'old' FROM ledger
         WHERE series_id NOT IN (SELECT series_id FROM combined WHERE series_type <> 'aggregated')"""),
+    "upsert_log": _sql(CATALOG, """
+        SELECT coalesce(c.series_id, l.series_id) AS series_id, coalesce(c.series_type, l.series_type) AS series_type,
+               coalesce(c.document, 'old') AS document
+        FROM (SELECT series_id, series_type, CASE WHEN series_id LIKE '%77' THEN 'few' ELSE 'new' END AS document
+              FROM combined WHERE series_type <> 'aggregated' OR series_id LIKE '%77') c
+        FULL JOIN ledger l ON c.series_id = l.series_id"""),
+    "series_of_type": _sql(CATALOG, "SELECT * FROM validated WHERE series_type = 'commodity' AND is_valid"),
     "status_by_type": _sql(CATALOG, """
         SELECT series_type, count(*) FILTER (status = 'success') AS n_success,
                count(*) FILTER (status = 'error') AS n_error, count(*) AS n_total
@@ -480,3 +493,8 @@ ORACLE = {
     "stream_changes": _sql(OBS, DIM, VIEWS, CHANGES),
     "stream_changes_late": _sql(OBS, DIM, VIEWS, CHANGES),
 }
+
+# The same results by another way.
+ORACLE["stream_stats"] = ORACLE["series_stats"]
+ORACLE["stream_outliers"] = ORACLE["outliers_3sigma"]
+ORACLE["report_json"] = ORACLE["dq_summary"]

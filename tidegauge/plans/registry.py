@@ -8,13 +8,13 @@ import datetime as dt
 import functools
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidegauge.operators import catalog, quality_gold, quality_raw, silver, star, views
 from tidegauge.plans import reports, stages, standins as s
 from tidegauge.session import scratch
 from tidegauge.sources import catalogs as catalog_files, documents, snapshots, tables
-from tidegauge.streaming import views as streaming
+from tidegauge.streaming import stats, views as streaming
 
 PATTERN = "%PPI%"
 RECENT = dt.date(2001, 1, 1)
@@ -244,7 +244,7 @@ def build_dim(spark, sf):
 
 
 def map_series_ids(spark, sf):
-    fact = star.build_fact(_silver(spark, sf), _staged_dim(spark, sf), RUN)
+    fact = star.build_fact(_silver(spark, sf), s.dim(spark, sf), RUN)
     return fact.drop("created_at", "updated_at")
 
 
@@ -252,6 +252,34 @@ def unmapped_counts(spark, sf):
     return star.unmapped_counts(_silver(spark, sf), _staged_dim(spark, sf))
 
 
+def metadata_roundtrip(spark, sf):
+    """Series metadata as written and read, with the time of the run in every row."""
+    path = scratch(spark, "metadata")
+    snapshots.write_metadata(silver.series_metadata(_validated(spark, sf), RUN), path)
+    metadata = snapshots.read_metadata(spark, path)
+    return metadata.withColumn("processed_timestamp", F.date_format("processed_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+def run_times(spark, sf):
+    """The times of a run in silver and in the fact: one for all rows."""
+    rows = _silver(spark, sf)
+    fact = star.build_fact(rows, s.dim(spark, sf), RUN)
+    times = [rows.select(F.lit("silver").alias("table_name"), F.col("extraction_timestamp").alias("at"))]
+    times += [fact.select(F.lit("fact").alias("table_name"), F.col(c).alias("at")) for c in ("created_at", "updated_at")]
+    text = F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at")
+    return functools.reduce(DataFrame.unionByName, times).groupBy("table_name", text).agg(F.count("*").alias("n_rows"))
+
+
+def sorted_files(spark, sf):
+    """Rows by year of the stored fact, and how many of them come before the row ahead of them in their file."""
+    path = scratch(spark, "gold")
+    tables.write_by_year(s.obs(spark, sf), path)
+    rows = spark.read.parquet(path).select("year", "series_id", "date", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    ahead = F.lag(F.struct("series_id", "date")).over(W.partitionBy("year", "file").orderBy("at"))
+    early = F.count_if(F.struct("series_id", "date") < F.col("ahead"))
+    return rows.withColumn("ahead", ahead).groupBy("year").agg(F.count("*").alias("n_rows"), early.alias("n_unsorted"))
+
+
 def gold_by_year(spark, sf):
     path = scratch(spark, "gold")
     tables.write_by_year(s.obs(spark, sf), path)
@@ -420,6 +448,13 @@ def dq_report(spark, sf):
     return found.withColumn("n_violations", F.col("n_violations").cast("bigint"))
 
 
+def report_json(spark, sf):
+    """The summary as a JSON report, read back."""
+    path = scratch(spark, "report")
+    catalog_files.write_report(dq_summary(spark, sf), path)
+    return spark.read.schema("total_files bigint, valid_files bigint, invalid_files bigint, success_rate string").json(path)
+
+
 def dq_summary(spark, sf):
     return quality_raw.report_summary(quality_raw.judge_documents(_inspected(spark, sf)))
 
@@ -511,6 +546,22 @@ def upsert_consolidated(spark, sf):
     return catalog.upsert_consolidated(existing, new)
 
 
+def upsert_log(spark, sf):
+    """The earlier documents, an update of all but one type, and one of a few series."""
+    log = catalog.document_log(spark, scratch(spark, "documents"))
+    old = s.ledger(spark, sf).select("series_id", "series_type", F.lit("old").alias("document"))
+    combined = _combined(spark, sf)
+    new = combined.where("series_type <> 'aggregated'").withColumn("document", F.lit("new"))
+    few = combined.where("series_id LIKE '%77'").withColumn("document", F.lit("few"))
+    for number, documents_of in enumerate((old, new, few)):
+        catalog.upsert_documents(log, documents_of, number)
+    return catalog.current_documents(log)
+
+
+def series_of_type(spark, sf):
+    return catalog.series_of_type(_validated(spark, sf), "commodity", valid_only=True)
+
+
 def status_by_type(spark, sf):
     return catalog.status_by_type(s.ledger(spark, sf))
 
@@ -550,6 +601,24 @@ def stream_yearly(spark, sf):
     return _rounded(_stream_periods(spark, sf, streaming.YEARLY), "avg_value")
 
 
+def _stats(spark, sf):
+    """Statistics over three deliveries, the earliest rows last."""
+    log = stats.stats_log(spark, scratch(spark, "stats"), fanout=2)
+    rows = _stored(spark, s.obs_dirty(spark, sf), "observations").drop("year")
+    for number, years in enumerate(("> 1999", "BETWEEN 1997 AND 1999", "< 1997")):
+        stats.add_stats_batch(log, rows.where(f"year(date) {years}"), number)
+    return log
+
+
+def stream_stats(spark, sf):
+    return _rounded(_rounded(stats.read_stats(_stats(spark, sf)), "mean_value"), "std_value", digits=4)
+
+
+def stream_outliers(spark, sf):
+    found = stats.read_outliers(_stats(spark, sf))
+    return found.select("series_id", "date", "value", F.round("mean_value", 6).alias("mean_value"))
+
+
 def stream_compacted(spark, sf):
     """A batch for each month in turn, the latest months first, so that runs are merged at several levels."""
     log = streaming.period_log(spark, scratch(spark, "states"), fanout=2)
@@ -586,13 +655,13 @@ QUERIES = {
         annual_mismatch, annual_summary, annual_rows_by_indicator, view_profile, view_coverage, date_coverage,
         cardinality, table_row_counts, recent_nulls, null_share, nulls_by_series, dup_keys, month_gaps,
         series_stats, outliers_3sigma, dedupe_rows,
-        build_dim, map_series_ids, unmapped_counts, gold_by_year, gold_reload, gold_rerun, gold_row_counts, gold_tables,
+        build_dim, map_series_ids, unmapped_counts, metadata_roundtrip, run_times, sorted_files, gold_by_year, gold_reload, gold_rerun, gold_row_counts, gold_tables,
         read_series_docs, consolidated_object, latest_doc_per_series, standardize_series, annual_flag, period_to_date, footnotes_json,
         quarantine_points, silver_roundtrip, latest_snapshot,
-        dq_structure, dq_types, dq_dup_points, dq_report, dq_summary, dq_shapes, dq_details,
+        dq_structure, dq_types, dq_dup_points, dq_report, dq_summary, report_json, dq_shapes, dq_details,
         combine_catalogs, catalog_files_combined, catalog_roundtrip, duplicate_totals, series_by_type, apply_validation, validity_by_type,
-        pending_series, retry_series, missing_series, request_batches, batches_within_budget, upsert_consolidated,
-        status_by_type,
-        stream_monthly, stream_yearly, stream_compacted, stream_changes, stream_changes_late,
+        pending_series, retry_series, missing_series, request_batches, batches_within_budget, upsert_consolidated, upsert_log,
+        series_of_type, status_by_type,
+        stream_monthly, stream_yearly, stream_compacted, stream_changes, stream_changes_late, stream_stats, stream_outliers,
     ]
 }
