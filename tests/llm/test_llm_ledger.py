@@ -105,3 +105,20 @@ def test_whole_keys_are_redacted(spark, tmp_path):
     assert out.pop(10) == "[secret] is how a key starts"
     assert out.pop(9) == "before [secret]\n[secret]\nafter it - that is all"
     assert set(out.values()) == {"before [secret]\nafter it - that is all"}
+
+
+def test_copies_are_scanned_once_and_scans_count_once(spark, tmp_path):
+    path = f"{tmp_path}/l"
+    df = documents(spark, [TEXTS[0]] * 500 + [(7, TEXTS[0][1]), (None, TEXTS[1][1])])
+    first = ledger.scan_history(df.repartition(4), path, ledger.BASE_RULES, "doc_id", "text").collect()
+    assert len(first) == 502 and spark.read.parquet(path).count() == 2  # a row for each blob that was scanned
+    spark.read.parquet(path).write.parquet(f"{tmp_path}/copy")
+    spark.read.parquet(f"{tmp_path}/copy").write.mode("append").parquet(path)  # as a second writer leaves it
+    again = ledger.scan_history(df, path, ledger.BASE_RULES, "doc_id", "text").collect()
+    assert spans(again) == spans(first) == {1: base(TEXTS[0][1]), 7: base(TEXTS[0][1]), None: base(TEXTS[1][1])}
+
+
+def test_beyond_the_broadcast_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "SMALL", 1)
+    got = spans(ledger.scan_history(documents(spark, TEXTS), f"{tmp_path}/l", ledger.BASE_RULES, "doc_id", "text").collect())
+    assert got == {i: base(t) for i, t in TEXTS}

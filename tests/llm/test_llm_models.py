@@ -31,6 +31,48 @@ def test_pairs_are_learned():
     assert ((model.score(rows) > 0.5) == labels).mean() > 0.95
 
 
+def test_machine_equals_a_loop_over_pairs():
+    rng = np.random.default_rng(3)
+    model = toxicity.FactorizationMachine(0.3, rng.normal(size=16).astype(np.float32), rng.normal(size=(16, 3)).astype(np.float32))
+    sets = [{1, 4, 9}, set(), {0}, {2, 3, 5, 7, 11, 13}]
+    rows = rows_of(sets, 0.7)
+    for got, own in zip(model.margin(rows), (sorted(s) for s in sets), strict=True):
+        want = model.bias + sum(0.7 * model.weights[i] for i in own)
+        want += sum(0.49 * float(model.vectors[i] @ model.vectors[j]) for a, i in enumerate(own) for j in own[a + 1 :])
+        assert abs(got - want) < 1e-5
+
+
+def test_risk_gradients_equal_differences():
+    """The descent direction is that of the risk, and turns on its second part once that is negative."""
+    rng = np.random.default_rng(4)
+    positive, unlabelled = (rows_of([{int(x) for x in rng.integers(0, 16, 5)} for _ in range(40)], 0.4) for _ in range(2))
+    for prior, scale in ((0.4, 0.5), (0.95, 3.0)):
+        model = quality.LinearModel(0.1, scale * rng.normal(size=16), prior)
+
+        def parts(weights, bias):
+            p, u = (rows.total(weights[rows.index] * rows.value) + bias for rows in (positive, unlabelled))
+            return prior * np.logaddexp(0, -p).mean(), np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+
+        good, bad = parts(model.weights, model.bias)
+        risk = (lambda w, b: -parts(w, b)[1]) if bad < 0 else (lambda w, b: sum(parts(w, b)))  # noqa: B023
+        g, gb = quality.risk_gradient(model, positive, unlabelled, prior, 4)
+        for k in range(16):
+            step = np.zeros(16)
+            step[k] = 1e-5
+            assert abs((risk(model.weights + step, model.bias) - risk(model.weights - step, model.bias)) / 2e-5 - g[k]) < 1e-6
+        assert abs((risk(model.weights, model.bias + 1e-5) - risk(model.weights, model.bias - 1e-5)) / 2e-5 - gb) < 1e-6
+
+
+def test_errors_of_both_kinds_are_bounded(spark):
+    documents_, labels_ = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    model = quality.fit_on(documents_, labels_)
+    scores = quality.score_quality(documents_.select("doc_id", "text"), model).join(labels_, "doc_id").toPandas()
+    held = scores[[zlib.crc32(str(i).encode()) % 4 == 2 for i in scores["doc_id"]]].dropna(subset=["quality"])
+    good, bad = held[held["quality"] == 1]["score"], held[held["quality"] == 0]["score"]
+    assert (good < 0.7).mean() < 0.02 and (bad >= 0.7).mean() < 0.3
+    assert abs(model.prior - (held["quality"] == 1).mean()) < 0.08
+
+
 def test_one_kind_of_label_only():
     rows = rows_of([{1}, {2}])
     assert (toxicity.fit(rows, np.zeros(2), bits=4).score(rows) < 1e-6).all()

@@ -5,14 +5,15 @@ ledger is one Parquet table: a row per blob and scan, with the rule versions tha
 applied and the spans they found (possibly none). A scan
 
 1. hashes all versions and leaves out the pairs of blob and rule version that the ledger has,
-2. reads the text of one version of each blob that is left, and applies the missing rules,
+2. takes one text of each blob that is left, and applies the missing rules,
 3. appends to the ledger in one write, so that a lost job leaves either all rows or none,
 4. joins the findings back to all paths that hold, or once held, the blob.
 
 A rule whose version is raised is run again over all blobs; all others are not.
 
 Defined cases: null content is the empty text; null paths are kept; repeated rows give
-repeated results, but are scanned once; an empty table gives no rows; columns other than
+repeated results, but are scanned once; spans that start together are ordered by their rule;
+very long texts are scanned whole; a scan that two writers did counts once; an empty table gives no rows; columns other than
 the two named ones are ignored, whatever their names.
 """
 
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidegauge.llm.batches import arrow_map
-from tidegauge.llm.decontam import small
-from tidegauge.session import scratch
+from tidegauge.llm.decontam import SMALL, small
+from tidegauge.session import scratch, stored
 
 SPAN = "struct<kind:string,start:int,end:int>"
 LEDGER = f"blob binary, rules array<string>, spans array<{SPAN}>"
@@ -115,20 +116,25 @@ def read_ledger(spark, ledger: str) -> DataFrame:
 
 
 def scan_new(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> None:
-    """Scan what the ledger lacks. ``versions``: path, blob, content (not null)."""
+    """Scan what the ledger lacks, each blob once. ``versions``: path, blob, content (not null).
+
+    Copies of a blob meet on the map side, so one of each travels on, however many there are.
+    """
     spark = versions.sparkSession
     done = read_ledger(spark, ledger).groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("done"))
     wanted = F.array(*[F.lit(r.name) for r in rules])
     todo = (
-        versions.groupBy("blob")
-        .agg(F.min("path").alias("path"))
+        versions.select("blob")
+        .distinct()
         .join(done, "blob", "left")
-        .select("path", "blob", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))).alias("rules"))
+        .select("blob", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))).alias("rules"))
         .where(F.size("rules") > 0)
     )
-    texts = todo.alias("t").join(versions.alias("v"), F.col("t.path").eqNullSafe(F.col("v.path")) & (F.col("t.blob") == F.col("v.blob")))
-    found = arrow_map(texts.select("t.blob", "t.rules", "v.content"), _scanner(rules), LEDGER)
-    found.dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
+    todo = stored(todo, "unseen")
+    few = todo.limit(SMALL + 1).count() <= SMALL
+    unseen = versions.join(F.broadcast(todo.select("blob")), "blob", "left_semi") if few else versions
+    once = unseen.groupBy("blob").agg(F.any_value("content").alias("content")).join(todo, "blob")
+    arrow_map(once.select("blob", "rules", "content"), _scanner(rules), LEDGER).write.mode("append").parquet(ledger)
 
 
 def _versions(history: DataFrame, path: str, content: str) -> DataFrame:
@@ -152,7 +158,8 @@ def findings(spark, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     # A row's spans are those of its rule versions; only wanted versions count.
     wanted = F.transform(F.array_intersect("rules", names), lambda name: F.substring_index(name, "@", 1))
     own = F.filter("spans", lambda s: F.array_contains(wanted, s["kind"]))
-    rows = read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", own.alias("spans")).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    rows = read_ledger(spark, ledger).where(F.size("spans") > 0).select("blob", own.alias("spans")).groupBy("blob")
+    rows = rows.agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))  # a scan that was done twice counts once
     sortable = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     ordered = F.transform(F.array_sort(sortable), lambda s: F.struct(s["kind"], s["start"], s["end"]))
     return rows.where(F.size("spans") > 0).select("blob", ordered.alias("spans"))

@@ -107,6 +107,20 @@ def estimated_prior(positive: Rows | Part, unlabelled: Rows | Part, bits: int =
     return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
+def risk_gradient(model: LinearModel, p: Rows, u: Rows, prior: float, bits: int) -> tuple[np.ndarray, float]:
+    """The direction of the non-negative risk, by weights and by bias; where its second part is negative, against that part."""
+    margin_p, margin_u = model.margin(p), model.margin(u)
+    as_bad = np.logaddexp(0, margin_u).mean() - prior * np.logaddexp(0, margin_p).mean()
+    bad_p, bad_u = -prior * sigmoid(margin_p) / len(p), sigmoid(margin_u) / len(u)
+    if as_bad < 0:  # overfit: climb on this part alone
+        gp, bp = _gradient(p, -bad_p, bits)
+        gu, bu = _gradient(u, -bad_u, bits)
+    else:
+        gp, bp = _gradient(p, prior * (sigmoid(margin_p) - 1) / len(p) + bad_p, bits)
+        gu, bu = _gradient(u, bad_u, bits)
+    return gp + gu, bp + bu
+
+
 def fit(positive: Rows | Part, unlabelled: Rows | Part, bits: int = BITS, steps: int = 500, rate: float = 0.05, l2: float = 1e-5, seed: int = 5) -> LinearModel:
     """Minimise the non-negative risk with the logistic loss."""
     if not len(positive) or not len(unlabelled):
@@ -116,17 +130,7 @@ def fit(positive: Rows | Part, unlabelled: Rows | Part, bits: int = BITS, steps:
     batches_p, batches_u = _batches(len(positive), 512, rng), _batches(len(unlabelled), 512, rng)
 
     def gradients(model, _):
-        p, u = positive.take(next(batches_p)), unlabelled.take(next(batches_u))
-        margin_p, margin_u = model.margin(p), model.margin(u)
-        as_bad = np.logaddexp(0, margin_u).mean() - prior * np.logaddexp(0, margin_p).mean()
-        bad_p, bad_u = -prior * sigmoid(margin_p) / len(p), sigmoid(margin_u) / len(u)
-        if as_bad < 0:  # overfit: climb on this part alone
-            gp, bp = _gradient(p, -bad_p, bits)
-            gu, bu = _gradient(u, -bad_u, bits)
-        else:
-            gp, bp = _gradient(p, prior * (sigmoid(margin_p) - 1) / len(p) + bad_p, bits)
-            gu, bu = _gradient(u, bad_u, bits)
-        return gp + gu, bp + bu
+        return risk_gradient(model, positive.take(next(batches_p)), unlabelled.take(next(batches_u)), prior, bits)
 
     return _descend(LinearModel(float(np.log(prior / (1 - prior))), np.zeros(1 << bits), prior), gradients, steps, rate, l2)
 
