@@ -53,10 +53,27 @@ def test_pipeline(spark):
 
 def test_stages_bear_odd_tables(spark):
     for docs in (odd(spark), none(spark)):
-        for _, stage in corpus_pipeline.STAGES[1:]:
+        for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, docs, SF).count() <= docs.count()
 
 
+def test_planted_documents_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    clean = [prose(700 + k, 120, 5000) for k in range(4)]
+    near = clean[0].split()
+    near[60] = "changed"
+    planted = [(900_000 + i, t) for i, t in enumerate([*clean, clean[1], " ".join(near), f"before {item} after", f"{clean[3]} password=hunter2hunter2 end"])]
+    table = docs.where("false").unionByName(documents(spark, planted).select(docs.columns))
+    once = corpus_pipeline.near_duplicates(spark, table, SF)
+    assert sorted(r.doc_id for r in once.collect()) == [900_000, 900_001, 900_002, 900_003, 900_006]
+    left = corpus_pipeline.benchmark_free(spark, table, SF)
+    assert sorted(r.doc_id for r in left.collect()) == [900_000 + k for k in range(8) if k != 6]
+    kept = {r.doc_id: r for r in corpus_pipeline.secrets(spark, table, SF).collect()}
+    assert len(kept) == 8 and "hunter2" not in kept[900_007].text and kept[900_007].n_chars == len(kept[900_007].text)
+    assert all(kept[i].text == t for i, t in planted[:7])
+
+
 def test_rows_without_id_are_judged(spark):
     a, b, c = (prose(k, 50) for k in (1, 2, 3))
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text

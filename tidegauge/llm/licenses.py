@@ -7,8 +7,9 @@ advanced word by word. A text is accepted from a word on if all mandatory words
 exactly, whatever stands in the free regions.
 
 Words are the runs of 0-9, A-Z, a-z and characters beyond ASCII; A-Z counts as a-z. Null
-and empty texts have no words and no labels; every row is judged on its own, so repeated
-rows and ties need no rule; columns other than the two named ones are ignored.
+and empty texts have no words and no labels; very long texts are read whole, a word at a
+time; an empty table stays empty; every row is judged on its own, so repeated rows and ties
+need no rule; columns other than the two named ones are ignored.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ text exactly.
 Defined cases: the empty text has no pieces; null stays null, both ways; a null key draws
 like any other key; every row stands by itself, so repeated rows need no rule (equal keys
 and texts have equal pieces); ids that don't come from `encode` and make no valid UTF-8 are
-decoded with replacement characters; other columns are passed through.
+decoded with replacement characters; of paths that weigh alike the draw decides; very long texts
+are cut into stretches, as the module says, and coded whole; an empty table stays empty; other columns are passed through.
 """
 
 from __future__ import annotations

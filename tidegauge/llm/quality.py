@@ -19,8 +19,9 @@ text of each id first, others where there is room); features are made by Spark t
 Defined cases: null and empty texts have no features and get the score of the bias alone;
 every row is scored by itself, rows that repeat id and text are fit on once; an id is a trusted positive if any of its labels is 1; null
 labels and ids count as unlabelled; a document with a label in the held-out fold is in neither
-set; without positives the score is 0, without unlabelled texts it is 1; other columns are
-ignored.
+set; without positives the score is 0, without unlabelled texts it is 1; very long texts
+are scored whole; equal hashes of ids are ordered by the ids when a sample is chosen; an empty
+table has no scores; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ over all texts, with a model of fixed size broadcast to the tasks.
 Defined cases: null and empty texts have no terms and get the score of the bias alone;
 every row is scored by itself, rows that repeat id and text are fit on once; of several labels of
 an id the largest counts, null labels and ids don't; without any label of either kind the
-score is 0; other columns are ignored.
+score is 0; very long texts are scored whole; equal hashes of ids are ordered by the ids when a
+sample is chosen; an empty table has no scores and makes the model without labels; other
+columns are ignored.
 """
 
 from __future__ import annotations
