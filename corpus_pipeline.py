@@ -2,7 +2,8 @@
 
 Repeated rows: stages judge rows by id and text; only near duplicates folds rows that repeat
 both. Rows without id are judged like all others, by their text. Null texts count as empty: they have no class to share, no windows and no secrets, and
-are kept if the classifier keeps the empty text. An empty table stays empty.
+are kept if the classifier keeps the empty text. Very long texts are judged whole. Of equally good documents of a class
+the smallest id stays. Columns beside those of documents pass the stages, also with names that stages use. An empty table stays empty.
 """
 
 from __future__ import annotations
