@@ -8,7 +8,7 @@ import pytest
 
 from tidegauge.operators import catalog, quality_gold, quality_raw, views
 from tidegauge.plans import reports
-from tidegauge.session import scratch
+from tidegauge.session import clear_scratch, scratch, stored
 from tidegauge.sources import files, snapshots, tables
 from tidegauge.streaming import stats, views as streaming
 
@@ -125,6 +125,14 @@ def test_scratch_folders_lie_in_the_shared_folder(spark):
     assert shared is None or one.startswith(shared)
 
 
+def test_scratch_folders_can_be_cleared(spark):
+    kept = stored(fact_of(spark, range(3)), "kept")
+    assert kept.count() == 6
+    clear_scratch(spark)
+    folder = kept.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(os.path.dirname(folder))
+
+
 ORDERS = [
     [range(0, 12), range(12, 24), range(24, 30)],
     [range(24, 30), range(0, 12), range(12, 24)],

@@ -1,10 +1,14 @@
 """Session settings and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.sources.files import delete
+
 
 def local_session(cores: int | str = "*", app: str = "tidegauge", **conf: str) -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
@@ -35,7 +39,19 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tidegauge-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    made = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(made)
+    return made
+
+
+_made: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the folders that `scratch` has named so far; for when the results made from them are written."""
+    while _made:
+        delete(spark, _made.pop())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
