@@ -48,6 +48,15 @@ def test_lags_are_the_same_on_every_path(spark, seed, hot_rows, slot_rows):
     assert sorted((tuple(r) for r in got), key=repr) == _expected(spark, rows)
 
 
+@pytest.mark.parametrize("hot_rows, slot_rows", [(0, 1), (100, 20), (10**9, 1)])
+def test_stored_parts_give_the_same_lags(spark, hot_rows, slot_rows):
+    rows = _rows(5)
+    df = spark.createDataFrame(rows, "key string, month int, value double")
+    parts = hot.laid_out(df, "key", "month", "value", 12, hot_rows, slot_rows)
+    got = hot.lags_of_parts(parts, "key", "month", "value", OFFSETS).drop("part").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == _expected(spark, rows)
+
+
 def test_copies_beyond_one_piece_are_all_written(spark):
     n = 3 * hot.EXPAND + 7
     df = spark.range(n).selectExpr("'a' AS key", "1 AS month", "5.0D AS value")

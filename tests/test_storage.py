@@ -60,12 +60,34 @@ def test_views_over_a_bucketed_table_need_no_shuffle(spark, tmp_path):
     spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/db'")
     tables.write_bucketed(fact_of(spark, range(36)), "bucketed.fact", 4)
     fact = spark.table("bucketed.fact")
-    for view in (views.period_state(fact, streaming.MONTHLY(views.F.col("date"))), views.row_changes(fact)):
+    for view in (views.period_state(fact, streaming.MONTHLY(views.F.col("date"))), views.row_changes(fact, None)):
         assert "Exchange" not in view._jdf.queryExecution().executedPlan().toString()
         assert view.count() == 72
     spark.sql("DROP DATABASE bucketed CASCADE")
 
 
+def test_a_dominating_series_is_spread_over_buckets_and_needs_no_shuffle(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE parts_test LOCATION '{tmp_path}/db'")
+    rng = random.Random(7)
+    hot = [("hot", month(rng.randrange(24)), rng.random(), False) for _ in range(3000)]
+    usual = [(s, month(m), rng.random(), False) for s in "abc" for m in range(30)]
+    fact = spark.createDataFrame(hot + usual, FACT)
+    dim = spark.createDataFrame([(s, s, s, "BLS") for s in ("a", "b", "c", "hot")], DIM)
+    tables.write_parts(views.change_parts(fact, hot_rows=500, slot_rows=20), dim, "parts_test", 8)
+    parts, names = spark.table("parts_test.change_parts"), spark.table("parts_test.dimension_parts")
+    sizes = [r["count"] for r in parts.where("series_id = 'hot'").groupBy(views.F.input_file_name()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 3 * min(sizes)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = views.changes_of_parts(parts, names)
+        assert "Exchange" not in plan_of(view)
+        assert rows(view) == rows(views.changes_by_rows(fact, dim))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    spark.sql("DROP DATABASE parts_test CASCADE")
+
+
 def test_table_definitions(spark, tmp_path):
     for _ in range(2):
         tables.create_tables(spark, "macro_test", str(tmp_path))

@@ -26,7 +26,7 @@ def with_lags(
     order: str,
     value: str,
     offsets: dict[str, int],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     slot_rows: int = SLOT_ROWS,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
@@ -38,17 +38,26 @@ def with_lags(
 
     Which keys are hot and how finely their order values are cut is a part of the plan, no
     job runs before it: ``sizes`` (see `key_sizes`) tells, kept with the table or made from
-    ``df``. Keys that it lacks count as usual ones.
+    ``df``. Keys that it lacks count as usual ones. With None for ``hot_rows`` all are usual.
     """
+    if hot_rows is None:
+        return _window_lags(df, key, order, value, offsets)
+    usual, crowded = _parted(df, key, order, hot_rows, slot_rows, sizes)
+    split = _bucket_lags(crowded, key, order, value, offsets)
+    return _window_lags(usual, key, order, value, offsets).unionByName(split)
+
+
+def _parted(df, key, order, hot_rows, slot_rows, sizes) -> tuple[DataFrame, DataFrame]:
+    """Rows of usual keys, and those of hot ones with the bits (``_bits``) that their order value is cut by."""
     sizes = key_sizes(df, key, order) if sizes is None else sizes
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / slot_rows)).cast("int"))
     cut = F.collect_list(F.when(bits > 0, F.struct(order, bits.alias("bits"))))
     totals = sizes.groupBy(key).agg(F.sum("n").alias("n"), cut.alias("_cuts"))
     # At most one key for every ``hot_rows`` rows, with at most one entry for every ``slot_rows``.
     hot = F.broadcast(totals.where(F.col("n") > hot_rows).select(key, "_cuts"))
-    usual, crowded = df.join(hot.select(key), key, "left_anti"), df.join(hot, key)
-    split = _bucket_lags(crowded, key, order, value, offsets)
-    return _window_lags(usual, key, order, value, offsets).unionByName(split)
+    own = F.filter("_cuts", lambda cut: cut[order].eqNullSafe(F.col(order)))
+    crowded = df.join(hot, key).withColumn("_bits", F.coalesce(F.get(own, F.lit(0))["bits"], F.lit(0))).drop("_cuts")
+    return df.join(hot.select(key), key, "left_anti"), crowded
 
 
 def _tie(value: str) -> Column:
@@ -66,10 +75,19 @@ def _last(values: Column, k: int) -> Column:
 
 
 def _bucket_lags(df, key, order, value, offsets) -> DataFrame:
-    deepest = max(offsets.values())
+    whole = _with_lead_ins(df, key, order, value, max(offsets.values()))
+    w = W.partitionBy(key, order, "_slot").orderBy(F.asc_nulls_last("_place"), "_tie", value, "_copy")
+    lagged = whole.withColumns({name: F.lag(value, k).over(w) for name, k in offsets.items()})
+    kept = lagged.where("_place IS NULL").select(key, order, value, "_tie", "_alike", *offsets)
+    return _write_out(kept, [key, order, "_tie"]).drop("_tie", "_alike")
+
+
+def _with_lead_ins(df, key, order, value, deepest) -> DataFrame:
+    """Runs of equal rows by buckets (key, order, ``_slot``), each bucket with the ``deepest`` values before it.
+
+    Lent values have a ``_place`` and only serve the rows behind them.
+    """
     bucket = [key, order, "_slot"]
-    own = F.filter("_cuts", lambda cut: cut[order].eqNullSafe(F.col(order)))
-    df = df.withColumn("_bits", F.coalesce(F.get(own, F.lit(0))["bits"], F.lit(0))).drop("_cuts")
 
     # Copies of a row become one run with a count, already on the map side. Past
     # ``deepest`` copies a run looks back into itself and all its copies are
@@ -98,12 +116,41 @@ def _bucket_lags(df, key, order, value, offsets) -> DataFrame:
     before = ends.select(*bucket, F.flatten(F.collect_list("_end").over(earlier)).alias("_before"))
     halo = before.select(*bucket, F.posexplode(_last(F.col("_before"), deepest)).alias("_place", value))
 
-    # Each bucket behind the values before it; those only lend their values.
-    whole = rows.withColumn("_place", F.lit(None).cast("int")).unionByName(halo, allowMissingColumns=True)
-    w = W.partitionBy(*bucket).orderBy(F.asc_nulls_last("_place"), "_tie", value, "_copy")
-    lagged = whole.withColumns({name: F.lag(value, k).over(w) for name, k in offsets.items()})
-    kept = lagged.where("_place IS NULL").select(key, order, value, "_tie", "_alike", *offsets)
-    return _write_out(kept, [key, order, "_tie"]).drop("_tie", "_alike")
+    return rows.withColumn("_place", F.lit(None).cast("int")).unionByName(halo, allowMissingColumns=True)
+
+
+def laid_out(
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    deepest: int,
+    hot_rows: int = HOT_ROWS,
+    slot_rows: int = SLOT_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Rows in parts that can be windowed by themselves, to be stored by key and ``part``.
+
+    A usual key is one part. A hot key has many, each with the values before it that its
+    rows look back at. `lags_of_parts` needs no other rows than a part's.
+    """
+    usual, crowded = _parted(df, key, order, hot_rows, slot_rows, sizes)
+    columns = [key, "part", order, value, "_tie", "_copy", "_alike", "_place"]
+    nothing = F.lit(None).cast("int")
+    plain = usual.withColumns(
+        {"part": F.lit(0).cast("long"), "_tie": _tie(value), "_copy": F.lit(0), "_alike": F.lit(1).cast("long"), "_place": nothing}
+    )
+    whole = _with_lead_ins(crowded, key, order, value, deepest)
+    parts = whole.withColumn("part", F.xxhash64(order, "_slot")).withColumn("_alike", F.col("_alike").cast("long"))
+    return plain.select(*columns).unionByName(parts.select(*columns))
+
+
+def lags_of_parts(parts: DataFrame, key: str, order: str, value: str, offsets: dict[str, int]) -> DataFrame:
+    """Per row of `laid_out` rows, with its ``part``, the values ``offsets`` rows earlier within the key."""
+    w = W.partitionBy(key, "part").orderBy(F.asc_nulls_last("_place"), order, "_tie", value, "_copy")
+    lagged = parts.withColumns({name: F.lag(value, k).over(w) for name, k in offsets.items()})
+    kept = lagged.where("_place IS NULL").select(key, "part", order, value, "_alike", *offsets)
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_alike"))).drop("_copy", "_alike")
 
 
 def _write_out(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -3,10 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidegauge.functions import columns as c
-from tidegauge.operators.hot import HOT_ROWS, with_lags
+from tidegauge.operators.hot import HOT_ROWS, SLOT_ROWS, key_sizes, laid_out, lags_of_parts, with_lags
 from tidegauge.operators.star import with_names
 
 NAMES = ["raw_series_id", "source", "indicator_name"]
+LAGS = {"_1": 1, "_12": 12}
 
 
 def monthly_rows(fact: DataFrame) -> DataFrame:
@@ -69,25 +70,51 @@ def yearly_values(fact: DataFrame) -> DataFrame:
     return view.withColumn("calculated_annual_value", F.col("avg_value"))
 
 
-def row_changes(fact: DataFrame, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
+def row_changes(fact: DataFrame, hot_rows: int | None = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Month and year changes by position: against 1 and 12 rows earlier in the series.
 
-    ``sizes`` (series_id, date, n) spares a look at the fact for series that hold very many rows.
+    ``sizes`` (series_id, date, n) spares a look at the fact for series that hold very many
+    rows; None for ``hot_rows`` says that there are none.
     """
     rows = monthly_rows(fact).select("series_id", "date", "value")
-    lagged = with_lags(rows, "series_id", "date", "value", {"_1": 1, "_12": 12}, hot_rows, sizes=sizes)
-    return lagged.select(
-        "series_id",
-        "date",
-        "value",
+    lagged = with_lags(rows, "series_id", "date", "value", LAGS, hot_rows, sizes=sizes)
+    return lagged.select("series_id", "date", "value", *_changes())
+
+
+def _changes() -> list[Column]:
+    return [
         c.change(F.col("value"), F.col("_1")).alias("mom_change"),
         c.change(F.col("value"), F.col("_12")).alias("yoy_change"),
+    ]
+
+
+def change_parts(fact: DataFrame, hot_rows: int = HOT_ROWS, slot_rows: int = SLOT_ROWS) -> DataFrame:
+    """The fact's monthly rows in parts of which each holds all that its changes need, to be stored in buckets."""
+    rows = monthly_rows(fact).select("series_id", "date", "value")
+    return laid_out(rows, "series_id", "date", "value", max(LAGS.values()), hot_rows, slot_rows)
+
+
+def changes_of_parts(parts: DataFrame, dim_parts: DataFrame) -> DataFrame:
+    """The changes view over stored parts and the dimension copied to them; bucketed alike, they need no shuffle."""
+    lagged = lags_of_parts(parts, "series_id", "date", "value", LAGS)
+    changes = lagged.select("series_id", "part", "date", "value", *_changes())
+    return changes.join(dim_parts, ["series_id", "part"]).select(
+        "series_id", *NAMES, "date", "value", "mom_change", "yoy_change"
     )
 
 
-def changes_by_rows(fact: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def changes_by_rows(
+    fact: DataFrame, dim: DataFrame, hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None
+) -> DataFrame:
     """The changes view: positional changes with the series' names."""
-    return named(row_changes(fact, hot_rows), dim)
+    return named(row_changes(fact, hot_rows, sizes), dim)
+
+
+def large_series(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(series_id, date, n): rows of the series above the limit, to be kept with the fact for `row_changes`."""
+    sizes = key_sizes(monthly_rows(fact), "series_id", "date")
+    large = sizes.groupBy("series_id").agg(F.sum("n").alias("all")).where(F.col("all") > hot_rows)
+    return sizes.join(large.select("series_id"), "series_id", "left_semi")
 
 
 def changes_by_calendar(fact: DataFrame, dim: DataFrame) -> DataFrame:

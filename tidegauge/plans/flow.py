@@ -120,7 +120,10 @@ def build_gold(spark: SparkSession, silver: str, gold: str, run_at: dt.datetime)
     newest = snapshots.newest_snapshot(spark, f"{silver}/{OBSERVATIONS}")
     tables.write_by_year(star.build_fact(newest, dim, F.lit(run_at)), f"{staged}/{FACT}", whole=True)
     fact = spark.read.parquet(f"{staged}/{FACT}")
-    built = {name: build(fact, dim) for name, build in zip(VIEWS, (views.monthly, views.changes_by_rows, views.yearly))}
+    tables.write_table(views.large_series(fact), f"{staged}/large_series")
+    sizes = spark.read.parquet(f"{staged}/large_series")
+    changes = views.changes_by_rows(fact, dim, sizes=sizes)
+    built = dict(zip(VIEWS, (views.monthly(fact, dim), changes, views.yearly(fact, dim))))
     tables.publish({DIMENSION: dim, FACT: fact, **built}, gold, _stamp(run_at))
 
 

@@ -498,3 +498,4 @@ ORACLE = {
 ORACLE["stream_stats"] = ORACLE["series_stats"]
 ORACLE["stream_outliers"] = ORACLE["outliers_3sigma"]
 ORACLE["report_json"] = ORACLE["dq_summary"]
+ORACLE["changes_bucketed"] = ORACLE["changes_rows"]

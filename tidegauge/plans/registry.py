@@ -87,6 +87,15 @@ def changes_rows(spark, sf):
     return views.changes_by_rows(*_fact_dim(spark, sf))
 
 
+def changes_bucketed(spark, sf):
+    """The changes view over bucketed parts; the row limit makes hot series of all with many rows."""
+    database = f"parts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(spark, 'parts')}'")
+    fact, dim = _fact_dim(spark, sf)
+    tables.write_parts(views.change_parts(fact, hot_rows=82, slot_rows=1), dim, database, 8)
+    return views.changes_of_parts(spark.table(f"{database}.change_parts"), spark.table(f"{database}.dimension_parts"))
+
+
 def changes_calendar(spark, sf):
     return views.changes_by_calendar(*_dirty_dim(spark, sf))
 
@@ -649,7 +658,7 @@ QUERIES = {
     query.__name__: query
     for query in [
         stage_pressure, stage_observations, stage_index, stage_yoy, stage_yoy_wide,
-        monthly_agg, yearly_agg, changes_rows, changes_calendar,
+        monthly_agg, yearly_agg, changes_rows, changes_bucketed, changes_calendar,
         latest_like, monthly_recent, values_recent, latest_changes_top, last_12_months,
         last_12_months_by_series, cross_indicator_pairs,
         annual_mismatch, annual_summary, annual_rows_by_indicator, view_profile, view_coverage, date_coverage,

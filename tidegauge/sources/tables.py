@@ -206,6 +206,23 @@ def write_bucketed(df: DataFrame, table: str, buckets: int) -> None:
     )
 
 
+def write_parts(parts: DataFrame, dim: DataFrame, database: str, buckets: int) -> None:
+    """Write change parts (see `operators.views.change_parts`) and the dimension, copied to each part, as tables in equal buckets.
+
+    The parts of a series that dominates lie in many buckets, so none holds much more than
+    its share, and views over both tables need no shuffle.
+    """
+    key = ["series_id", "part"]
+    _in_buckets(parts, f"{database}.change_parts", buckets, key, ["date"])
+    stored = parts.sparkSession.table(f"{database}.change_parts")
+    _in_buckets(stored.select(*key).distinct().join(dim, "series_id"), f"{database}.dimension_parts", buckets, key, [])
+
+
+def _in_buckets(df: DataFrame, table: str, buckets: int, key: list[str], order: list[str]) -> None:
+    spread = df.repartition(buckets, *key).write.mode("overwrite").format("parquet")
+    spread.bucketBy(buckets, *key).sortBy(*key, *order).saveAsTable(table)
+
+
 def since(table: DataFrame, start: dt.date | Column) -> DataFrame:
     """Rows from ``start`` on; skips earlier years where the table has that column."""
     rows = table.where(F.col("date") >= F.lit(start))
