@@ -63,3 +63,40 @@ def test_odd_rows(spark):
     assert found(vectors(spark, odd[:3])) == {}
     assert found(vectors(spark, [])) == {}
     assert found(vectors(spark, [(0, [1.0, 2.0])])) == {}
+
+
+def test_extreme_components_have_right_cosines(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(60, 6))
+    rows = [(i, (v * 10.0 ** rng.choice([-200, 0, 150])).tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, ids string")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = found(df, trees=3, leaf=8, leaves=10**6)
+    for q in (0, 50):
+        score = unit @ unit[q]
+        best = [j for j in np.argsort(-score) if j != q][:5]
+        assert [i for i, _ in got[q]] == best and np.allclose([s for _, s in got[q]], score[best], atol=1e-9)
+
+
+def test_scaling_changes_no_digit():
+    rng = np.random.default_rng(10)
+    a, b = rng.normal(size=(2, 500, 9)).astype(np.float32).astype(np.float64)
+    dot = lambda x, y: np.einsum("ij,ij->i", x, y)
+    assert (forest.cosine(a, b) == dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))).all()
+
+
+def test_a_bounded_sample_indexes_all(spark, monkeypatch):
+    monkeypatch.setattr(forest, "SAMPLE_BYTES", 8 * 4 * 30)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(500)]
+    assert found(vectors(spark, rows), trees=2, leaf=8, leaves=10**6) == brute(rows, 5)
+
+
+def test_recall_of_the_query(spark):
+    """The registered query with its own settings, on the whole table, against all vectors."""
+    path = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
+    want, got = brute(rows, 5), {}
+    for r in forest.op7_projection_forest(spark, path).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)

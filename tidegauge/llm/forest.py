@@ -6,8 +6,9 @@ taken wait in one priority queue, by how far the query lies from the closest pla
 wrong side, and the nearest branch of any tree goes on, until ``leaves`` leaves are reached.
 The vectors in these leaves are compared exactly, in double precision.
 
-The planes are fit on at most ``sample`` different vectors, chosen by hash (a documented
-bound, which also bounds the broadcast forest); every vector is indexed. Leaves hold about
+The planes are fit on at most ``sample`` different vectors, chosen by hash, and on no more
+than `SAMPLE_BYTES` of them (documented bounds, which also bound the broadcast forest: it has
+``trees`` planes for every ``leaf`` vectors of the sample); every vector is indexed. Leaves hold about
 ``leaf`` vectors of the sample, so a larger table wants a larger sample, or fuller leaves.
 
 Equal vectors are indexed once, with their ``k`` + 1 smallest ids: of more equal candidates a
@@ -42,6 +43,8 @@ TREES = 40
 LEAF = 32
 LEAVES = 640
 SAMPLE = 60_000
+#: Bytes of the sampled vectors, as the driver holds them in double precision.
+SAMPLE_BYTES = 64 << 20
 K = 5
 
 
@@ -129,8 +132,13 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision, always summed in one order."""
+    """Row by row, in double precision, always summed in one order.
+
+    Vectors are first scaled by powers of two, which changes no digit, so that very large or
+    small components neither overflow nor vanish when squared.
+    """
     dot = lambda x, y: np.einsum("ij,ij->i", x, y)
+    a, b = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None]) for x in (a, b))
     return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
 
 
@@ -158,10 +166,16 @@ def nearest(
     if sizes is None:
         return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "id", "score")
     dims = sizes["dims"]
-    rows = rows.where(F.size("vector") == dims)
+    rows = rows.where(F.size("vector") == dims).distinct()
+    sample = max(1, min(sample, SAMPLE_BYTES // (8 * dims)))
     smallest = rows.withColumn("turn", F.dense_rank().over(W.partitionBy("vector").orderBy("id"))).where(F.col("turn") <= k + 1)
     points = stored(smallest.groupBy("vector").agg(F.array_sort(F.collect_set("id")).alias("ids")), "points")
-    fit_on = points.orderBy(F.xxhash64("vector"), "vector").limit(sample).select("vector").toArrow().combine_chunks()
+    number = points.count()
+    by_hash, share = F.xxhash64("vector"), min(1.0, (1.5 * sample + 100) / max(number, 1))
+    # A bound on the hash leaves little more than the sample before anything is ordered.
+    low = points.where(by_hash <= F.lit(int(share * (2**64 - 1025)) - 2**63)) if share < 1 else points
+    low = points if low.count() < min(sample, number) else low
+    fit_on = low.orderBy(by_hash, "vector").limit(sample).select("vector").toArrow().combine_chunks()
     matrix = np.concatenate([_matrix(c, dims) for c in fit_on.column("vector").chunks])
     forest = spark.sparkContext.broadcast(fit(_unit(matrix), trees, leaf))
 
@@ -199,10 +213,11 @@ def nearest(
 
     element = points.schema["vector"].dataType.simpleString()
     cells = arrow_map(points, index, f"cell long, ids array<long>, vector {element}")
-    asked = rows.where(queries).select(F.col("id").alias("query_id"), F.col("vector").alias("query")).distinct()
+    asked = rows.where(queries).select(F.col("id").alias("query_id"), F.col("vector").alias("query"))
+    asked = asked.repartition(2 * spark.sparkContext.defaultParallelism)  # a walk costs much more than its row weighs
     visits = arrow_map(asked, walk, f"cell long, query_id long, query {element}")
     # A leaf grows with the table once the sample is full; its blocks don't.
-    part = F.pmod(F.xxhash64("ids"), F.lit(max(1, -(-points.count() // sample))))
+    part = F.pmod(F.xxhash64("ids"), F.lit(max(1, -(-number // sample))))
     blocks = cells.groupBy("cell", part.alias("part")).agg(F.collect_list(F.struct("ids", "vector")).alias("block"))
     scored = arrow_map(visits.join(blocks, "cell").select("query_id", "query", "block"), rerank, schema).distinct()
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
