@@ -73,13 +73,14 @@ def write_archive(pages: DataFrame, archive: str, key: str = "page_id", url: str
     same = F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("two payloads have one address"))).otherwise(F.col("response"))
     groups = groups.select("address", same.alias("response"))
     stored = records.groupBy("address").agg(F.any_value("payload").alias("payload"), F.count(F.lit(1)).alias("uses"))
-    stored.write.mode("overwrite").parquet(f"{archive}/payloads")
+    stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{archive}/payloads")
     refers = F.when((F.col("payload_bytes") >= least) & (F.col("page_id") < F.col("response")), F.col("response"))
     (
         described.join(groups, "address")
         .withColumn("refers_to", refers)
         .select(_header(date).alias("header"), "address")
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .parquet(f"{archive}/headers")
     )
 
