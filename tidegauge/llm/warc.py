@@ -72,8 +72,8 @@ def write_archive(pages: DataFrame, archive: str, key: str = "page_id", url: str
     groups = described.groupBy("address").agg(F.max("page_id").alias("response"), F.min(check).alias("low"), F.max(check).alias("high"))
     same = F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("two payloads have one address"))).otherwise(F.col("response"))
     groups = groups.select("address", same.alias("response"))
-    stored = records.groupBy("address").agg(F.any_value("payload").alias("payload"), F.count(F.lit(1)).alias("uses"))
-    stored.write.mode("overwrite").option("compression", "zstd").parquet(f"{archive}/payloads")
+    payloads = records.groupBy("address").agg(F.any_value("payload").alias("payload"), F.count(F.lit(1)).alias("uses"))
+    payloads.write.mode("overwrite").option("compression", "zstd").parquet(f"{archive}/payloads")
     refers = F.when((F.col("payload_bytes") >= least) & (F.col("page_id") < F.col("response")), F.col("response"))
     (
         described.join(groups, "address")
@@ -87,10 +87,10 @@ def write_archive(pages: DataFrame, archive: str, key: str = "page_id", url: str
 
 def read_payloads(spark, archive: str) -> DataFrame:
     """``address``, ``payload`` (verified) and ``uses``, the number of records that have it."""
-    stored = spark.read.parquet(f"{archive}/payloads")
+    kept = spark.read.parquet(f"{archive}/payloads")
     right = F.unhex(F.sha2("payload", 256)) == F.col("address")
     payload = F.when(right, F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload doesn't match its address")))
-    return stored.select("address", payload.alias("payload"), "uses")
+    return kept.select("address", payload.alias("payload"), "uses")
 
 
 def _fields(text: Column) -> dict[str, Column]:
