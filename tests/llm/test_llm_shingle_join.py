@@ -138,3 +138,25 @@ def test_components(spark):
 def test_percent_is_checked(spark):
     with pytest.raises(ValueError):
         shingle_join.classes(none(spark), percent=0)
+
+
+def brute_links(rows, n, percent):
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    linked = lambda x, y: bool(x) and 100 * len(x & y) >= percent * len(x | y)
+    return sorted(((i, None if i is None else sum(1 for b, (j, y) in enumerate(sets) if b != a and j is not None and linked(x, y))) for a, (i, x) in enumerate(sets)), key=str)
+
+
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_every_link_is_counted(spark, n, percent):
+    # Near copies of one text: links inside the group are not all with its typical members.
+    rows = corpus(n + 40) + [(9001, "a b c"), (9002, "A b  c"), (9003, None), (9004, ""), (None, prose(1, 40)), (9005, prose(1, 40))]
+    found = shingle_join.classes_and_links(documents(spark, rows), n, percent).collect()
+    assert sorted(((r.id, r.n_links) for r in found), key=str) == brute_links(rows, n, percent)
+    assert sorted(((r.id, r.n_shingles, r["class"]) for r in found), key=str) == brute(rows, n, percent)
+
+
+def test_op1_counts_links(spark, tmp_path):
+    rows = corpus(43) + [(9001, "a b c"), (9002, "A b  c"), (9004, "")]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = shingle_join.op1_adaptive_prefix_join(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == brute_links(rows, 3, 90)

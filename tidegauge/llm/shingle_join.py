@@ -218,12 +218,13 @@ class Join:
     roots: DataFrame
 
 
-def similar_sets(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> Join:
+def similar_sets(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", every_link: bool = False) -> Join:
     """Join the shingle sets of ``docs``.
 
     ``links`` are verified pairs of different sets, enough of them to connect all that any
     links connect: those with the typical sets that make the first classes, and all
-    candidates between these classes.
+    candidates between these classes. With ``every_link``, each node is its own class, so
+    ``links`` are all pairs of different sets that are similar, each once.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be from 1 to 100")
@@ -242,6 +243,9 @@ def similar_sets(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc
     sets = stored(sets.join(small(some.select("node")), "node", "left_semi").dropDuplicates(["node"]), "whole-sets")
     sets = stored(_without_partners(sets.select(F.explode("tokens").alias("token"), "node"), sets, percent), "whole-sets")
     postings = stored(_postings(sets, percent), "postings")
+    if every_link:
+        links = stored(_linked(_candidates(postings.withColumn("class", F.col("node")), percent), sets, percent), "links")
+        return Join(rows, nodes, links, components(links))
     typical = stored(_typical_links(postings, sets, percent), "typical-links")
     early = components(typical).select("node", F.col("root").alias("class"))
     in_class = postings.join(early, "node", "left").withColumn("class", F.coalesce("class", "node"))
@@ -273,14 +277,33 @@ def classes(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id",
 
     The root tells classes apart that have the same smallest id; it is null for empty sets and rows without id.
     """
-    found = similar_sets(docs, n, percent, key, text)
+    return _classes(similar_sets(docs, n, percent, key, text)).drop("node")
+
+
+def classes_and_links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``classes`` and ``n_links``: how many other rows with an id have a set similar to the row's, equal sets included.
+
+    All links between different sets are found and verified; rows of one set are counted, not paired.
+    Empty sets have 0, rows without id null.
+    """
+    found = similar_sets(docs, n, percent, key, text, every_link=True)
+    named = found.rows.where("id is not null and n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
+    pairs = found.links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(named.select(F.col("node").alias("b"), "rows"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("rows").alias("linked_rows"))
+    counts = named.join(others, "node", "left").select("node", (F.col("rows") - 1 + F.coalesce("linked_rows", F.lit(0))).alias("links"))
+    n_links = F.when(F.col("id").isNotNull(), F.coalesce("links", F.lit(0)))
+    return _classes(found).join(counts, "node", "left").select("id", "version", "n_shingles", "class", "root", n_links.alias("n_links"))
+
+
+def _classes(found: Join) -> DataFrame:
     rows, nodes, roots = found.rows, found.nodes, found.roots
     named_roots = nodes.join(roots, "node", "left").select("node", "low_id", F.coalesce("root", "node").alias("root"))
     lowest = named_roots.groupBy("root").agg(F.min("low_id").alias("class"))
     by_node = named_roots.join(lowest, "root").select("node", "class", "root")
     own = F.when(F.col("n") == 0, F.col("id")).otherwise(F.when(F.col("id").isNotNull(), F.col("class")))
     root = F.when(F.col("id").isNotNull(), F.col("root"))
-    return rows.select("id", "version", "node", "n").join(by_node, "node", "left").select("id", "version", F.col("n").alias("n_shingles"), own.alias("class"), root.alias("root"))
+    return rows.select("id", "version", "node", "n").join(by_node, "node", "left").select("id", "version", "node", F.col("n").alias("n_shingles"), own.alias("class"), root.alias("root"))
 
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", nameless: bool = False) -> DataFrame:
@@ -308,8 +331,8 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_
 
 
 def op1_adaptive_prefix_join(spark, sf_dir: str) -> DataFrame:
-    found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
-    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("class").alias("component_id"))
+    found = classes_and_links(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("class").alias("component_id"), "n_links")
 
 
 OP1_SQL = r"""
@@ -324,6 +347,7 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.
 l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
 e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r AS (SELECT doc_id AS x, doc_id AS root FROM d UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.x)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, coalesce(k.n_links, 0) AS n_links
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(root) AS component_id FROM r GROUP BY x) m USING (doc_id)
+LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM e GROUP BY x) k USING (doc_id)
 """
