@@ -70,3 +70,30 @@ def test_foreign_ids_are_decoded(spark):
     broken = [int(v.byte_ids[0xE2]), int(v.byte_ids[0x41]), 1, 2]
     rows = spark.createDataFrame([(broken,), ([],), (None,)], "ids array<int>")
     assert [r.decoded for r in piecewise.decode(rows).collect()] == ["�A", "", None]
+
+
+def test_memory_follows_the_piece_not_the_batch():
+    """A batch of a thousand texts of 1 kB is sampled in pieces, whose arcs stay far below the 100 MB of one 1 MB piece."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tidegauge.llm.batches import pieces, utf8
+
+    v = piecewise.load()
+    words = ["tide", "gauge", "harbour", "level", "mean", "surge", "datum", "station"]
+    texts = [" ".join(words[(i * 7 + k * 3) % len(words)] + str(k % 13) for k in range(150))[:1000] for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    whole = sampled(texts[:50], range(50), v)
+    tracemalloc.start()
+    try:
+        out = []
+        for piece in pieces(batch, "text", piecewise._PIECE_BYTES):
+            data, bounds = utf8(piece.column("text"))
+            ids, first = piecewise.sample(data, bounds, np.arange(piece.num_rows, dtype=np.uint64), v)
+            out += [tuple(ids[a:b].tolist()) for a, b in zip(first[:-1], first[1:], strict=True)]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40e6
+    assert out[:50] == whole  # the same pieces, whatever else the piece holds

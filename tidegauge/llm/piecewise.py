@@ -44,7 +44,9 @@ ALPHA = 0.5
 SEED = 20240501
 SPACE = 0x20
 BLANK = "▁"
-_PIECE_BYTES = 1 << 20
+#: Text bytes sampled at once. The arcs of a piece take some hundred times its size in a worker; pieces of 1 MB
+#: took 100 MB more per worker and, with the workers of the stages before, an executor beyond its memory.
+_PIECE_BYTES = 1 << 17
 _SLOT_BITS = 21
 _SLOT = np.uint64((1 << _SLOT_BITS) - 1)
 _SHIFTS = (np.uint64(43), np.uint64(20))
