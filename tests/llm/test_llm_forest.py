@@ -92,6 +92,32 @@ def test_a_bounded_sample_indexes_all(spark, monkeypatch):
     assert found(vectors(spark, rows), trees=2, leaf=8, leaves=10**6) == brute(rows, 5)
 
 
+def test_nothing_is_broadcast_but_the_forest(spark):
+    """A query and all its leaves passed for as little as the query, and were sent to the driver for a join."""
+    rng = np.random.default_rng(12)
+    df = vectors(spark, [(i, rng.normal(size=8).tolist()) for i in range(300)])
+    rows = forest.nearest(df, F.col("id") % 50 == 0)
+    assert len(rows.collect()) == 30
+    assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_small_groups(spark, monkeypatch):
+    """Few vectors and queries meet in a group. Ids have several vectors, and some cosines differ less than single precision tells."""
+    monkeypatch.setattr(forest, "MEET_BYTES", 1 << 11)
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(300, 6))
+    rows = [*enumerate(x)] + [(300 + i, x[50] + 1e-9 * rng.normal(size=6)) for i in range(60) if i]
+    rows += [(i, x[i] * 2) for i in range(40, 60)] + [(i, x[-1 - i]) for i in range(0, 160, 10)]
+    rows += [(7, (x[100] + 1e-3) * 2.0**j) for j in range(12)]  # one id and score
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    ids, x, want = np.array([i for i, _ in rows]), np.array([v for _, v in rows]), {}
+    for q in set(ids[ids % 50 == 0].tolist()):
+        scores = [forest.cosine(np.repeat(v[None], len(x), axis=0), x) for v in x[ids == q]]
+        pairs = {(i, s) for score in scores for i, s in zip(ids.tolist(), score.tolist(), strict=True) if i != q}
+        want[q] = [(i, round(s, 9)) for i, s in sorted(pairs, key=lambda p: (-p[1], p[0]))[:5]]
+    assert found(df, trees=3, leaf=8, leaves=10**6) == want
+
+
 def test_recall_of_the_query(spark):
     """The registered query with its own settings, on the whole table, against all vectors."""
     path = "/root/testdata/sf0.1"

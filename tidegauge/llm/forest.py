@@ -12,9 +12,12 @@ than `SAMPLE_BYTES` of them (documented bounds, which also bound the broadcast f
 ``leaf`` vectors of the sample, so a larger table wants a larger sample, or fuller leaves.
 
 Equal vectors are indexed once, with their ``k`` + 1 smallest ids: of more equal candidates a
-query could not return any. Leaves are stored in blocks of about ``leaf`` vectors, however
-many fall into one; a join pairs queries with the blocks of their leaves, and each batch
-keeps only the ``k`` best of a query.
+query could not return any. Vectors with their leaves are dealt out to parts and queries with
+theirs to chunks, both bounded in bytes (`MEET_BYTES`), and every part meets every chunk in one
+group, which keeps only the ``k`` best of a query. So neither a vector nor a query is copied for
+each leaf, and nothing but the forest is broadcast. A group looks up the vectors in a query's
+leaves and leaves out, by cosines in single precision and a bound on their error, those that
+can't be among its ``k`` best.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components
 take no part, nor do those of another than the most common length (of equally common ones
@@ -30,7 +33,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,10 @@ LEAVES = 640
 SAMPLE = 60_000
 #: Bytes of the sampled vectors, as the driver holds them in double precision.
 SAMPLE_BYTES = 64 << 20
+#: Bytes of the vectors, and of the queries, that meet in one group, each with its leaves.
+MEET_BYTES = 32 << 20
+#: Vectors of a part at least, where parts are made only to keep all cores busy.
+PART = 512
 K = 5
 
 
@@ -142,6 +148,63 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
 
 
+def _top(query_id: int, query: np.ndarray, near: np.ndarray, met: np.ndarray, vectors: np.ndarray, cuts: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the ``k`` best of the vectors ``met``. ``near``: cosines with all vectors in single precision.
+
+    ``slack`` is more than any error of ``near``. With ``need`` vectors at ``floor`` + ``slack`` or above by
+    ``near``, those left out are below ``floor``; if they have ``k`` results at ``floor`` or above, none is missed.
+    """
+    slack, need = (vectors.shape[1] + 16) * 2.0**-23, k + 1
+    rough = near[met].astype(np.float64)
+    while True:
+        floor = np.partition(rough, -need)[-need] - slack if need < len(met) else -np.inf
+        taken = met[rough >= floor - slack]
+        score = cosine(np.repeat(query[None], len(taken), axis=0), vectors[taken])
+        own = np.repeat(np.arange(len(taken)), cuts[taken + 1] - cuts[taken])
+        found, score = ids[_stretches(cuts[taken], cuts[taken + 1])], score[own]
+        order = np.lexsort((found, -score))
+        order = order[found[order] != query_id]
+        found, score = found[order], score[order]
+        new = np.concatenate([[True], (found[1:] != found[:-1]) | (score[1:] != score[:-1])])[: len(found)]
+        found, score = found[new][:k], score[new][:k]
+        if floor == -np.inf or (len(found) == k and score[-1] >= floor):
+            return found, score
+        need *= 4
+
+
+def _stretches(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to its end, one stretch after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _cuts(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _meet(points: pa.Table, asked: pa.Table, dims: int, cells: int, k: int) -> pa.Table:
+    """``query_id``, ``id`` and ``score`` of the ``k`` best that each query meets in its cells (leaves of all trees)."""
+    whole = lambda table, name: table.column(name).combine_chunks()
+    vectors, queries = _matrix(whole(points, "vector"), dims), _matrix(whole(asked, "query"), dims)
+    units, asking = _unit(vectors), _unit(queries)
+    in_cell = whole(points, "cells").flatten().to_numpy()
+    member = (np.argsort(in_cell, kind="stable") // (len(in_cell) // len(units))).astype(np.int32)
+    cuts = _cuts(np.bincount(in_cell, minlength=cells))
+    ids, id_cuts = whole(points, "ids").flatten().to_numpy(), _cuts(whole(points, "ids").value_lengths().to_numpy())
+    visited, visit_cuts = whole(asked, "cells").flatten().to_numpy(), _cuts(whole(asked, "cells").value_lengths().to_numpy())
+    query_ids, best = whole(asked, "query_id").to_numpy(), []
+    step = max(1, MEET_BYTES // (8 * len(units)))
+    for first in range(0, len(asking), step):
+        for q, near in enumerate(asking[first : first + step] @ units.T, first):
+            at = visited[visit_cuts[q] : visit_cuts[q + 1]]
+            seen = np.zeros(len(units), bool)
+            seen[member[_stretches(cuts[at], cuts[at + 1])]] = True
+            best.append(_top(query_ids[q], queries[q], near, np.flatnonzero(seen), vectors, id_cuts, ids, k))
+    found = np.concatenate([ids for ids, _ in best])
+    asker = np.repeat(query_ids, [len(ids) for ids, _ in best])
+    return pa.table({"query_id": asker, "id": found, "score": np.concatenate([score for _, score in best])})
+
+
 def _usable(vector: str) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0)
@@ -179,47 +242,41 @@ def nearest(
     matrix = np.concatenate([_matrix(c, dims) for c in fit_on.column("vector").chunks])
     forest = spark.sparkContext.broadcast(fit(_unit(matrix), trees, leaf))
 
+    cells = forest.value.counts.size
+    first_cell = np.arange(trees) * (cells // trees)
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                leaf = forest.value.leaf_of(_unit(_matrix(batch.column("vector"), dims)))
-                for t in range(leaf.shape[1]):
-                    yield pa.RecordBatch.from_arrays([pa.array(leaf[:, t] << 16 | t), batch.column("ids"), batch.column("vector")], names=["cell", "ids", "vector"])
+                cell = forest.value.leaf_of(_unit(_matrix(batch.column("vector"), dims))) + first_cell
+                cell = pa.ListArray.from_arrays(pa.array(np.arange(len(cell) + 1) * trees, pa.int32()), pa.array(cell.ravel(), pa.int32()))
+                yield pa.RecordBatch.from_arrays([cell, batch.column("ids"), batch.column("vector")], names=["cells", "ids", "vector"])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                found = [forest.value.search(v, leaves, k + 1) for v in _unit(_matrix(batch.column("query"), dims))]
-                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                cell = pa.array([leaf << 16 | t for f in found for t, leaf in f], pa.int64())
-                yield pa.RecordBatch.from_arrays([cell, batch.column("query_id").take(pa.array(row)), batch.column("query").take(pa.array(row))], names=["cell", "query_id", "query"])
+                found = (forest.value.search(v, leaves, k + 1) for v in _unit(_matrix(batch.column("query"), dims)))
+                cell = pa.array([np.array([first_cell[t] + leaf for t, leaf in f], np.int32) for f in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([cell, batch.column("query_id"), batch.column("query")], names=["cells", "query_id", "query"])
 
-    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                block = part.column("block")
-                sizes = np.asarray(block.value_lengths(), dtype=np.int64)
-                fields = block.flatten()
-                points, ids = _matrix(fields.field("vector"), dims), fields.field("ids")
-                row = np.repeat(np.arange(part.num_rows), sizes)
-                score = cosine(_matrix(part.column("query"), dims)[row], points)
-                copies = np.asarray(ids.value_lengths(), dtype=np.int64)
-                asker = part.column("query_id").to_numpy()[row]
-                found = pd.DataFrame({"query_id": np.repeat(asker, copies), "id": ids.flatten().to_numpy(), "score": np.repeat(score, copies)})
-                found = found[found["query_id"] != found["id"]].drop_duplicates()
-                found = found.sort_values(["query_id", "score", "id"], ascending=[True, False, True]).groupby("query_id").head(k)
-                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
+    def meet(points: pa.Table, asked: pa.Table) -> pa.Table:
+        if points.num_rows and asked.num_rows:
+            return _meet(points, asked, dims, cells, k)
+        return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
     element = points.schema["vector"].dataType.simpleString()
-    cells = arrow_map(points, index, f"cell long, ids array<long>, vector {element}")
+    indexed = arrow_map(points, index, f"cells array<int>, ids array<long>, vector {element}")
     asked = rows.where(queries).select(F.col("id").alias("query_id"), F.col("vector").alias("query"))
     asked = asked.repartition(2 * spark.sparkContext.defaultParallelism)  # a walk costs much more than its row weighs
-    visits = arrow_map(asked, walk, f"cell long, query_id long, query {element}")
-    # A leaf grows with the table once the sample is full; its blocks don't.
-    part = F.pmod(F.xxhash64("ids"), F.lit(max(1, -(-number // sample))))
-    blocks = cells.groupBy("cell", part.alias("part")).agg(F.collect_list(F.struct("ids", "vector")).alias("block"))
-    scored = arrow_map(visits.join(blocks, "cell").select("query_id", "query", "block"), rerank, schema).distinct()
+    visits = stored(arrow_map(asked, walk, f"cells array<int>, query_id long, query {element}"), "visits")
+    in_bytes = lambda n, each: max(1, -(-n * 4 * (dims + each) // MEET_BYTES))
+    chunks = in_bytes(visits.count(), min(leaves, cells))
+    parts = max(in_bytes(number, trees), min(-(-4 * spark.sparkContext.defaultParallelism // chunks), -(-number // PART)))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda n, *by: F.pmod(F.xxhash64(*by), F.lit(n)).cast("int")
+    indexed = indexed.withColumn("part", dealt(parts, "vector")).withColumn("chunk", each(chunks))
+    visits = visits.withColumn("chunk", dealt(chunks, "query_id", "query")).withColumn("part", each(parts))
+    scored = indexed.groupBy("part", "chunk").cogroup(visits.groupBy("part", "chunk")).applyInArrow(meet, schema).distinct()
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
